@@ -357,9 +357,11 @@ def needed(text: str) -> list[str]:
     return list(seen)
 
 
-def with_relations(query: str) -> str:
-    """``query`` preceded by the definitions of the relations it reads."""
-    parts = [f"{name} AS ({RELATIONS[name]})" for name in needed(query)]
+def with_relations(query: str, **steps: str) -> str:
+    """``query`` preceded by the relations it reads and by the named ``steps``, in that order."""
+    text = " ".join([*steps.values(), query])
+    parts = [f"{name} AS ({RELATIONS[name]})" for name in needed(text)]
+    parts += [f"{name} AS ({step})" for name, step in steps.items()]
     return f"WITH {', '.join(parts)} {query}" if parts else query
 
 
