@@ -24,7 +24,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/quayside/{name}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder, so that later steps all read the same rows."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def settled(df: DataFrame, name: str = "settled") -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    This cuts lineage: later steps all read the same rows, whatever executors are lost, and each
+    reads only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Ids that share a slice are joined to text together; slices are then joined in order.
 SLICE_WIDTH = 65536
 
 
+def _glued(items: Column) -> Column:
+    """Texts joined by ``,``; NULL if there is none."""
+    texts = F.filter(items, lambda x: x.isNotNull())
+    return F.when(F.size(texts) > 0, F.array_join(texts, ","))
+
+
 def id_lists(links: DataFrame, key: str, order: str, **lists: str) -> DataFrame:
     """One row per ``key`` with each ``lists`` column joined by ``,`` in ``order``.
 
     NULL items are skipped and repeats are kept. The sort runs per (key, slice of ids), so one
     hot key is spread over many tasks; the last step only glues the sorted pieces together.
     """
-
-    def glue(item: str, by: str):
-        return F.expr(f"listagg(cast({item} as string), ',') within group (order by {by})")
-
-    sliced = links.filter(F.col(key).isNotNull()).withColumn("_slice", F.floor(F.col(order) / F.lit(SLICE_WIDTH)))
-    pieces = sliced.groupBy(key, "_slice").agg(*[glue(item, order).alias(name) for name, item in lists.items()])
-    return pieces.groupBy(key).agg(*[glue(name, "_slice").alias(name) for name in lists])
+    item = F.struct(F.col(order).alias("at"), *[F.col(source).cast("string").alias(n) for n, source in lists.items()])
+    sliced = links.filter(F.col(key).isNotNull()).select(
+        key, F.floor(F.col(order) / F.lit(SLICE_WIDTH)).alias("slice"), item.alias("item")
+    )
+    sorted_items = F.sort_array(F.collect_list("item"))
+    pieces = sliced.groupBy(key, "slice").agg(sorted_items.alias("items"))
+    pieces = pieces.select(key, F.struct(F.col("slice").alias("at"), *[_glued(F.col(f"items.{n}")).alias(n) for n in lists]).alias("item"))
+    whole = pieces.groupBy(key).agg(sorted_items.alias("items"))
+    return whole.select(key, *[_glued(F.col(f"items.{n}")).alias(n) for n in lists])
 
 
 def attach_lists(rows: DataFrame, key: str, links: DataFrame, link_key: str, order: str, **lists: str) -> DataFrame:

@@ -35,43 +35,42 @@ def best_tier(
     """``asks`` with the ``take`` columns of the tier that has the same ``by`` values and the highest
     ``floor`` not above ``ask``; the lowest id wins a tie. No such tier: NULLs.
 
-    Rows are never paired. Each distinct asked amount and each tier becomes a mark on a line, and a
+    Tiers nobody asks for are dropped first. Rows are never paired: each distinct asked amount and each tier becomes a mark on a line, and a
     mark takes the last tier at or before it. The line is cut into bands of amount, so a hot key
     spreads over many tasks; what a band inherits from lower ones is worked out per band, of which a
     key has a bounded number.
     """
+    first, last = Window.unboundedPreceding, Window.unboundedFollowing
     tier = F.struct(*take)
+    asked = asks.dropna(subset=[*by, ask])
     steps = (
         tiers.dropna(subset=[*by, floor])
+        .join(asked.select(*by).distinct(), [*by], "left_semi")
         .groupBy(*by, F.col(floor).cast("double").alias("_at"))
         .agg(F.min_by(tier, "id").alias("_tier"))
         .withColumn("_band", band(F.col("_at")))
     )
     nothing = F.lit(None).cast(steps.schema["_tier"].dataType)
     wanted = (
-        asks.dropna(subset=[*by, ask])
-        .select(*by, F.col(ask).cast("double").alias("_at"))
+        asked.select(*by, F.col(ask).cast("double").alias("_at"))
         .distinct()
         .withColumns({"_tier": nothing, "_band": band(F.col("_at"))})
     )
 
-    in_band = steps.groupBy(*by, "_band").agg(F.max_by("_tier", "_at").alias("_top"))
-    asked_bands = wanted.groupBy(*by, "_band").agg(F.first(nothing).alias("_top"))
-    bands = in_band.unionByName(asked_bands).groupBy(*by, "_band").agg(F.first("_top", ignorenulls=True).alias("_top"))
-    below = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
-    inherited = bands.select(*by, "_band", F.last("_top", ignorenulls=True).over(below).alias("_tier"))
-
-    marks = (
-        inherited.withColumns({"_at": F.lit(None).cast("double"), "_kind": F.lit(0)})
-        .unionByName(steps.withColumn("_kind", F.lit(1)))
-        .unionByName(wanted.withColumn("_kind", F.lit(2)))
-    )
-    so_far = Window.partitionBy(*by, "_band").orderBy(F.col("_at").asc_nulls_first(), "_kind")
-    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = (
-        marks.withColumn("_best", F.last("_tier", ignorenulls=True).over(so_far))
-        .filter("_kind = 2")
-        .select(*by, F.col("_at").alias("_ask"), *[F.col(f"_best.{c}").alias(c) for c in take])
+    marks = steps.withColumn("_kind", F.lit(1)).unionByName(wanted.withColumn("_kind", F.lit(2)))
+    line = Window.partitionBy(*by, "_band").orderBy("_at", "_kind")
+    in_band = marks.select(
+        *by,
+        "_band",
+        "_at",
+        "_kind",
+        F.last("_tier", ignorenulls=True).over(line.rowsBetween(first, Window.currentRow)).alias("_here"),
+        F.last("_tier", ignorenulls=True).over(line.rowsBetween(first, last)).alias("_top"),
     )
+    below = Window.partitionBy(*by).orderBy("_band").rowsBetween(first, -1)
+    bands = in_band.select(*by, "_band", "_top").distinct()
+    inherited = bands.select(*by, "_band", F.last("_top", ignorenulls=True).over(below).alias("_below"))
+    best = in_band.filter("_kind = 2").join(inherited, [*by, "_band"]).withColumn("_best", F.coalesce("_here", "_below"))
+    found = best.select(*by, F.col("_at").alias("_ask"), *[F.col(f"_best.{c}").alias(c) for c in take])
     keyed = asks.withColumn("_ask", F.col(ask).cast("double"))
     return keyed.join(found, [*by, "_ask"], "left").drop("_ask")

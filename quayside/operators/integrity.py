@@ -65,17 +65,28 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataF
 
 
 def integrity_report(erp: Erp, links=LINKS) -> DataFrame:
-    """Per dependency: how many rows of the child point to no parent, and by how many keys."""
-    parts = []
-    for child, column, parent in links:
-        lost = orphans(export(child, erp), column, export(parent, erp), key_column(parent))
-        parts.append(
-            lost.agg(
-                F.lit(child).alias("child"),
-                F.lit(column).alias("key_column"),
-                F.lit(parent).alias("parent"),
-                F.count("*").alias("missing_keys"),
-                F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """Per dependency: how many rows of the child point to no parent, and by how many keys.
+
+    Each entity is exported once. A child hands out one (parent, key) pair per dependency, counted
+    per key before one shared join with the keys of all parents.
+    """
+
+    held, known = [], []
+    for child in dict.fromkeys(link[0] for link in links):
+        pairs = [
+            F.struct(F.lit(column).alias("key_column"), F.lit(parent).alias("parent"), F.col(column).alias("id"))
+            for name, column, parent in links
+            if name == child
+        ]
+        rows = export(child, erp).select(F.explode(F.array(*pairs)).alias("held"))
+        held.append(rows.groupBy(F.lit(child).alias("child"), "held").agg(F.count("*").alias("rows")))
+    for parent in dict.fromkeys(link[2] for link in links):
+        known.append(export(parent, erp).select(F.lit(parent).alias("parent"), F.col(key_column(parent)).alias("id")))
+
+    counted = reduce(DataFrame.unionByName, held).select("child", "held.*", "rows").filter("id IS NOT NULL")
+    lost = counted.join(reduce(DataFrame.unionByName, known), ["parent", "id"], "left_anti")
+    every = lost.sparkSession.createDataFrame(list(links), "child string, key_column string, parent string")
+    sums = lost.groupBy("child", "key_column", "parent").agg(
+        F.count("*").alias("missing_keys"), F.sum("rows").alias("orphan_rows")
+    )
+    return every.join(sums, ["child", "key_column", "parent"], "left").fillna(0, ["missing_keys", "orphan_rows"])

@@ -45,7 +45,8 @@ RELATIONS = {
     # One row per order line: the line key repeats in the data, so it is grouped first.
     "li": """SELECT l_orderkey + 1 AS order_id, (l_orderkey + 1) * 10 + l_linenumber AS id,
         CAST(l_linenumber AS BIGINT) AS line_no, min(l_partkey) + 1 AS part_id, min(l_suppkey) + 1 AS supp_id,
-        sum(l_quantity) AS qty, min(l_shipdate) AS shipdate, min(l_returnflag) AS flag,
+        sum(l_quantity) AS qty, min(l_shipdate) AS shipdate,
+        CASE min(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) WHEN 1 THEN 'A' WHEN 2 THEN 'N' ELSE 'R' END AS flag,
         min(l_extendedprice) AS price, min(l_discount) AS disc
         FROM lineitem GROUP BY l_orderkey, l_linenumber""",
     "ptype": "SELECT p_type, min(p_partkey) + 1 AS id FROM part GROUP BY p_type",
@@ -207,7 +208,7 @@ RELATIONS = {
         UNION ALL SELECT id AS move_orig_id, order_id * 10 + 7 AS move_dest_id FROM li""",
     "stock_quant": f"""SELECT part_id * 100 + place AS id, 2 * part_id AS product_id, place AS location_id, total AS quantity_seen,
         CASE WHEN (part_id + place) % 4 = 0 THEN 0.0e0 ELSE total END AS quantity, CASE WHEN part_id % 3 = 0 THEN 1.0e0 ELSE 0.0e0 END AS reserved_quantity,
-        {_null(2, "part_id", "part_id")} AS lot_id, {_null(3, "place", "part_id % 6 + 1")} AS package_id, {_null(5, "place", "2 * (part_id % 40) + 1")} AS owner_id,
+        {_null(3, "part_id", "part_id")} AS lot_id, {_null(3, "place", "part_id % 6 + 1")} AS package_id, {_null(5, "place", "2 * (part_id % 40) + 1")} AS owner_id,
         last_in AS in_date, {_null(7, "place", "place % 5 + 1")} AS company_id
         FROM (SELECT part_id, supp_id % 26 + 1 AS place, sum(qty) AS total, max(shipdate) AS last_in FROM li GROUP BY part_id, supp_id % 26 + 1) places""",
     "stock_package_type": f"""SELECT {REGION_ID} AS id, r_name AS name, {_null(2, REGION_ID, "'PT' || " + _text(REGION_ID))} AS barcode, {_null(3, REGION_ID, "2.0e0")} AS height,
@@ -295,7 +296,7 @@ RELATIONS = {
     "quality_point_stock_picking_type_rel": f"""SELECT pbrand.id AS quality_point_id, {_big("r_regionkey")} * 3 + 2 AS stock_picking_type_id FROM pbrand
         JOIN region ON (pbrand.id + r_regionkey) % 2 = 0 WHERE pbrand.id % 3 <> 0""",
     "quality_check": f"""SELECT id, part_id % 30 + 1 AS point_id, supp_id % 5 + 1 AS company_id, {_null(3, "id", "shipdate")} AS control_date, {_null(4, "id", "price")} AS measure,
-        {_null(2, "id", "'pass'")} AS measure_success, {_null(3, "id", "order_id")} AS picking_id, 2 * part_id AS product_id, {_null(5, "id", "0.0e0")} AS qty_failed, {_null(6, "id", "qty")} AS qty_passed,
+        {_null(2, "part_id", "'pass'")} AS measure_success, {_null(3, "id", "order_id")} AS picking_id, 2 * part_id AS product_id, {_null(5, "id", "0.0e0")} AS qty_failed, {_null(6, "id", "qty")} AS qty_passed,
         {_null(7, "id", "qty")} AS qty_tested, 'pass' AS quality_state, supp_id % 4 + 1 AS team_id, {_null(8, "id", "supp_id % 3 + 1")} AS user_id FROM li WHERE id % 4 = 0""",
     "ir_module_module": """SELECT DISTINCT module AS name, state, '19.0.1.' || CAST(version AS STRING) AS latest_version FROM (
         SELECT CASE r_regionkey WHEN 0 THEN 'base' WHEN 1 THEN 'stock' WHEN 2 THEN 'sale' WHEN 3 THEN 'purchase' ELSE 'mrp' END AS module,
@@ -306,7 +307,7 @@ RELATIONS = {
     "decisions": f"""SELECT 'D' || {_text("id")} AS decision_id, 'run-1' AS run_uuid, shipdate AS decision_timestamp,
         CASE id % 8 WHEN 0 THEN 'PO' WHEN 1 THEN 'MO' WHEN 2 THEN 'DO' WHEN 3 THEN 'RESCHEDULE' WHEN 4 THEN 'ORDERPOINT' WHEN 5 THEN 'LEAD_TIME' WHEN 6 THEN 'FORECAST' END AS decision_type,
         'proposed' AS status, 'item ' || {_text("part_id")} AS item_name, CASE WHEN id % 17 = 0 THEN NULL WHEN id % 19 = 0 THEN 0 WHEN id % 23 = 0 THEN 2 * part_id + 1 ELSE 2 * part_id END AS _odoo_product_id,
-        part_id % 50 + 1 AS _odoo_uom_id, CAST(NULL AS STRING) AS location_name, CASE WHEN id % 5 = 0 THEN NULL WHEN id % 7 = 0 THEN 0 ELSE part_id % 27 + 1 END AS _odoo_location_id,
+        part_id % 50 + 1 AS _odoo_uom_id, CAST(NULL AS STRING) AS location_name, CASE WHEN id % 5 = 0 THEN NULL WHEN id % 7 = 0 THEN 0 WHEN id % 3 = 0 THEN (part_id - 1) % 25 + 1 ELSE part_id % 27 + 1 END AS _odoo_location_id,
         {_null(29, "id", "qty")} AS quantity, {_null(3, "id", "shipdate + INTERVAL 1 DAY")} AS start_date, {_null(6, "id", "shipdate + INTERVAL 9 DAY")} AS end_date,
         CAST(NULL AS STRING) AS supplier_name, CASE WHEN id % 13 = 0 THEN NULL WHEN id % 11 = 0 THEN 0 ELSE 2 * supp_id + 1 END AS _odoo_supplier_id,
         {_null(4, "id", "part_id")} AS _odoo_bom_id, {_null(9, "id", "'WH' || " + _text("supp_id % 6 + 1"))} AS origin_location, 'WH' || {_text("part_id % 6 + 1")} AS destination_location,
@@ -368,15 +369,22 @@ def with_relations(query: str, **steps: str) -> str:
 def derived_catalog(spark: SparkSession, sf_dir: str, variant: str = "19") -> Catalog:
     """The ERP relations over the test tables in ``sf_dir``; variant 18 lacks what old sources lack."""
     utc(spark)
+    opened: dict[str, DataFrame] = {}
 
     def load(name: str) -> DataFrame:
         query = with_relations(f"SELECT * FROM {name}")
         for table in BASE_TABLES:
             if re.search(rf"\b{table}\b", query):
-                spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+                if table not in opened:
+                    opened[table] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+                opened[table].createOrReplaceTempView(table)
         return spark.sql(query)
 
-    catalog = Catalog({name: (lambda name=name: load(name)) for name in RELATIONS})
+    return as_variant(Catalog({name: (lambda name=name: load(name)) for name in RELATIONS}), variant)
+
+
+def as_variant(catalog: Catalog, variant: str) -> Catalog:
+    """The catalog as a source of version 18 would have it."""
     if variant == "19":
         return catalog
     old = catalog.replacing(stock_quant_package=catalog["stock_package"]).without(("stock_package",))
