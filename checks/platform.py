@@ -141,6 +141,14 @@ def _spans(spark, sf_dir):
     )
 
 
+def _ranges(spark, sf_dir):
+    """All of an entity, range by range; the outer ranges are open."""
+    quants, key = export("stock_quant", erp(spark, sf_dir)), key_column("stock_quant")
+    bounds = ((0, 20_000), (20_000, 90_000), (90_000, 0))
+    parts = [key_range(quants, key, low, high).withColumn("key_from", F.lit(low)) for low, high in bounds]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _decision_file(spark, sf_dir):
     root = scratch_path(spark, "inbound")
     conform_decisions(erp(spark, sf_dir)["decisions"]).write.parquet(f"{root}/decisions.parquet")
@@ -209,8 +217,7 @@ def queries():
         "sink_chunk_facts": _chunk_facts,
         "chunk_spans": _spans,
         "chunk_plans": _chunk_plans,
-        "chunk_key_range": lambda s, d: key_range(export("stock_quant", erp(s, d)), key_column("stock_quant"), 5_000, 90_000),
-        "chunk_key_range_open": lambda s, d: key_range(export("stock_move", erp(s, d)), key_column("stock_move"), 0, 50_000),
+        "chunk_key_ranges": _ranges,
         "manifest_rows": _manifest_rows,
         "manifest_document": _document,
         "manifest_sound": _sound,
@@ -312,10 +319,9 @@ def oracle_sql():
             CASE WHEN step > 0 THEN least(low + (sequence + 1) * step, high + 1) ELSE 0 END AS key_to FROM plans UNION ALL SELECT 'uom', 0, 0, 0""",
             spans=SPANS, steps=STEPS, plans=PLANS,
         ),
-        "chunk_key_range": with_relations(
-            f"SELECT * FROM ({entity_sql('stock_quant')}) AS x WHERE _odoo_quant_id >= 5000 AND _odoo_quant_id < 90000"
+        "chunk_key_ranges": with_relations(
+            f"SELECT *, CASE WHEN _odoo_quant_id < 20000 THEN 0 WHEN _odoo_quant_id < 90000 THEN 20000 ELSE 90000 END AS key_from FROM ({entity_sql('stock_quant')}) AS x"
         ),
-        "chunk_key_range_open": with_relations(f"SELECT * FROM ({entity_sql('stock_move')}) AS x WHERE _odoo_move_id < 50000"),
         "manifest_rows": with_relations(f"SELECT collector, count(*) AS rows FROM ({entity_rows}) AS r GROUP BY collector"),
         "manifest_sound": with_relations(
             f"SELECT count(DISTINCT collector) AS entities, 0 AS errors, 0 AS row_errors FROM ({entity_rows}) AS r"

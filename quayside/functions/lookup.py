@@ -20,12 +20,12 @@ def last_by(value: str, order: str, where: Column | None = None) -> Column:
 
 def band(amount: Column) -> Column:
     """A step function of ``amount`` that never falls. A double has some 33,000 bands at most."""
-    size = F.floor(F.log2(F.abs(amount)) * _BANDS_PER_DOUBLING)
+    size = F.floor(F.log2(F.abs(amount)) * _BANDS_PER_DOUBLING).cast("double")
     return (
-        F.when(F.isnan(amount), F.lit(2**63 - 1))
+        F.when(F.isnan(amount), F.lit(1e19))
         .when(amount > 0, size)
-        .when(amount == 0, F.lit(-1_000_000))
-        .otherwise(F.lit(-2_000_000) - size)
+        .when(amount == 0, F.lit(-1e6))
+        .otherwise(F.lit(-2e6) - size)
     )
 
 

@@ -25,7 +25,7 @@ def uom(erp: Erp) -> DataFrame:
 @exports("partner")
 def partner(erp: Erp) -> DataFrame:
     people = fill(erp["res_partner"], customer_rank=0, supplier_rank=0)
-    named = attach(people, erp["res_partner"], "parent_id", spread="id", parent_name="name")
+    named = attach(people, erp["res_partner"], "parent_id", parent_name="name")
     return conform(named, "partner", _odoo_partner_id="id")
 
 

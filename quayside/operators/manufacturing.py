@@ -27,7 +27,7 @@ def workcenter(erp: Erp) -> DataFrame:
         employee_costs_hour=0.0,
     )
     if owned:
-        rows = attach(centers, erp["mrp_workcenter"], "owner", spread="id", owner_name="name")
+        rows = attach(centers, erp["mrp_workcenter"], "owner", owner_name="name")
     else:
         rows = centers.withColumn("owner_name", F.lit(None))
     rows = attach(rows, erp["resource_calendar"], "resource_calendar_id", calendar_name="name")
@@ -60,7 +60,7 @@ def bom(erp: Erp) -> DataFrame:
 def bom_lines(erp: Erp) -> DataFrame:
     rows = attach(erp["mrp_bom_line"], product_names(erp), "product_id", "inner", product_name="product_name")
     rows = attach(rows, uom_names(erp), "product_uom_id", uom_name="uom_name")
-    rows = attach(rows, erp["mrp_routing_workcenter"], "operation_id", spread="id", operation_name="name")
+    rows = attach(rows, erp["mrp_routing_workcenter"], "operation_id", operation_name="name")
     value, links = "product_template_attribute_value_id", erp["mrp_bom_line_product_template_attribute_value_rel"]
     rows = attach_lists(rows, "id", links, "mrp_bom_line_id", value, bom_product_template_attribute_value_ids=value)
     return conform(rows, "bom_lines", _odoo_bom_line_id="id", _odoo_uom_id="product_uom_id")

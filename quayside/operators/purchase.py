@@ -26,7 +26,7 @@ def purchase_order_line(erp: Erp) -> DataFrame:
     """Product lines of purchase orders; vendor and warehouse join the orders first."""
     lines = erp["purchase_order_line"].filter(F.col("product_id").isNotNull())
     lines = lines.withColumn("uom_id", F.col("product_uom" if erp.variant == "18" else "product_uom_id"))
-    orders = attach(_with_warehouse(erp), erp["res_partner"], "partner_id", spread="id", partner_name="name")
+    orders = attach(_with_warehouse(erp), erp["res_partner"], "partner_id", partner_name="name")
     same = ("receipt_status", "currency_id", "date_order", "partner_id", "partner_name", "warehouse_id", "origin",
             "company_id")
     rows = attach(lines, orders, "order_id", "inner", po_name="name", po_state="state", **{c: c for c in same})
@@ -46,5 +46,5 @@ def product_supplierinfo(erp: Erp) -> DataFrame:
 
 @exports("purchase_requisition")
 def purchase_requisition(erp: Erp) -> DataFrame:
-    rows = attach(erp["purchase_requisition"], erp["res_partner"], "vendor_id", spread="id", vendor_name="name")
+    rows = attach(erp["purchase_requisition"], erp["res_partner"], "vendor_id", vendor_name="name")
     return conform(rows, "purchase_requisition", _odoo_requisition_id="id")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.columns import first_column
+
 # States of runs that are under way, and of chunks a cancelled run drops.
 OPEN_RUN_STATES = ("pending", "collecting", "uploading")
 DROPPED_CHUNK_STATES = ("pending", "created")
@@ -42,8 +44,12 @@ def chunk_states(chunks: DataFrame) -> DataFrame:
 def cancel_runs(runs: DataFrame, chunks: DataFrame, message: str = "Cancelled by user") -> tuple[DataFrame, DataFrame]:
     """Mark open runs as failed and drop their pending and created chunks."""
     stopped = F.col("state").isin(*OPEN_RUN_STATES)
+    said = first_column(runs, "error_message").cast("string")
     marked = runs.withColumns(
-        {"error_message": F.when(stopped, F.lit(message)), "state": F.when(stopped, "error").otherwise(F.col("state"))}
+        {
+            "error_message": F.when(stopped, F.lit(message)).otherwise(said),
+            "state": F.when(stopped, "error").otherwise(F.col("state")),
+        }
     )
     ids = runs.filter(stopped).select(F.col("id").alias("run_id"), F.lit(True).alias("_stopped"))
     dropped = F.col("_stopped").isNotNull() & F.col("state").isin(*DROPPED_CHUNK_STATES)

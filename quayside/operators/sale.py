@@ -36,7 +36,7 @@ def sale_order_line(erp: Erp) -> DataFrame:
     lines = lines.withColumn("uom_id", F.col("product_uom" if erp.variant == "18" else "product_uom_id"))
 
     orders = attach(
-        erp["sale_order"], erp["res_partner"], "partner_id", spread="id", partner_name="name", is_company="is_company"
+        erp["sale_order"], erp["res_partner"], "partner_id", partner_name="name", is_company="is_company"
     )
     orders = attach(orders, erp["stock_warehouse"], "warehouse_id", warehouse_code="code")
     same = ("partner_id", "partner_name", "is_company", "commitment_date", "date_order", "warehouse_id",

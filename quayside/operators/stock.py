@@ -87,9 +87,9 @@ def stock_quant(erp: Erp) -> DataFrame:
     rows = attach(
         rows, product_names(erp), "product_id", "inner", product_name="product_name", product_code="product_code"
     )
-    rows = attach(rows, lots, "lot_id", spread="id", lot_name="name", expiry_date="expiration_date")
-    rows = attach(rows, packages(erp), "package_id", spread="id", package_name="name")
-    rows = attach(rows, erp["res_partner"], "owner_id", spread="id", owner_name="name")
+    rows = attach(rows, lots, "lot_id", lot_name="name", expiry_date="expiration_date")
+    rows = attach(rows, packages(erp), "package_id", package_name="name")
+    rows = attach(rows, erp["res_partner"], "owner_id", owner_name="name")
     return conform(rows, "stock_quant", _odoo_quant_id="id")
 
 
@@ -104,7 +104,7 @@ def stock_move(erp: Erp) -> DataFrame:
         erp["stock_move"], production_id=None, sale_line_id=None, purchase_line_id=None, is_subcontract=False
     )
     rows = attach(moves, product_names(erp), "product_id", "inner", product_name="product_name")
-    rows = attach(rows, erp["stock_picking"], "picking_id", spread="id", picking_name="name")
+    rows = attach(rows, erp["stock_picking"], "picking_id", picking_name="name")
     links = erp["stock_move_move_rel"]
     rows = attach_lists(rows, "id", links, "move_orig_id", "move_dest_id", move_orig_ids="move_dest_id")
     rows = attach_lists(rows, "id", links, "move_dest_id", "move_orig_id", move_dest_ids="move_orig_id")
@@ -186,5 +186,5 @@ def orderpoint(erp: Erp) -> DataFrame:
     rows = attach(points, product_names(erp), "product_id", "inner", product_name="product_name")
     rows = attach(rows, erp["stock_warehouse"], "warehouse_id", warehouse_code="code")
     rows = attach(rows, erp["stock_location"], "location_id", location_name="complete_name")
-    rows = attach(rows, erp["stock_route"], "route_id", spread="id", route_name=translated(erp, "name"))
+    rows = attach(rows, erp["stock_route"], "route_id", route_name=translated(erp, "name"))
     return conform(rows, "orderpoint", _odoo_orderpoint_id="id")

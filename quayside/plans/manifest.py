@@ -85,7 +85,7 @@ def write_manifest(files: DataFrame, root: str, inline_files: int = INLINE_FILES
         files_path = f"{root.rstrip('/')}/manifest_files"
         files.write.mode("overwrite").json(files_path)
     document = build_manifest(files, files_path=files_path, **facts)
-    document.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(target)
+    document.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("overwrite").text(target)
     return target
 
 
