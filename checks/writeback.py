@@ -70,7 +70,7 @@ def _write(name, variant="19"):
 
 
 def _stale(relation):
-    return lambda spark, sf_dir: _batch(spark, sf_dir).deletes[relation]
+    return lambda spark, sf_dir: earlier_output(erp(spark, sf_dir), COMPANY)[relation].select("id")
 
 
 def _kept(spark, sf_dir):

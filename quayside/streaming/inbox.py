@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,15 +31,23 @@ def plan_stream(
     origin: str = ORIGIN,
     cleanup: bool = True,
     files_per_batch: int | None = None,
+    jobs: int = 4,
 ) -> StreamingQuery:
-    """Plan all new files and stop. A batch that is run again overwrites its own folders only."""
+    """Plan all new files and stop. A batch that is run again overwrites its own folders only.
+
+    The tables of a batch are independent; ``jobs`` of them are written at a time.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         plan = plan_decisions(batch, erp, company_id, origin, cleanup)
         tables = plan.writes | {f"delete_{k}": v for k, v in plan.deletes.items()}
         tables |= {"outcome": plan.outcome, "messages": plan.messages}
-        for name, table in tables.items():
-            table.write.mode("overwrite").parquet(f"{sink}/{name}/batch={batch_id}")
+
+        def write(name: str) -> None:
+            tables[name].write.mode("overwrite").parquet(f"{sink}/{name}/batch={batch_id}")
+
+        with ThreadPoolExecutor(max_workers=jobs) as pool:
+            list(pool.map(write, tables))
 
     stream = decision_stream(spark, folder, files_per_batch)
     return (
