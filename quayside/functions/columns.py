@@ -75,13 +75,15 @@ def json_text(field: str | Column, key: str | None) -> Column:
     return F.get_json_object(F.col(field) if isinstance(field, str) else field, f"$.{key}")
 
 
-def attach(rows: DataFrame, relation: DataFrame, key: str, how: str = "left", **take: str | Column) -> DataFrame:
+def attach(
+    rows: DataFrame, relation: DataFrame, key: str, how: str = "left", row_id: str = "id", **take: str | Column
+) -> DataFrame:
     """Equi-join ``rows.key`` to ``relation.id`` and bring along the ``take`` columns.
 
     Only the taken columns travel. No side is forced to broadcast: Spark decides by measured size,
     and splits a hot key of a shuffled join at run time. What it cannot split well is a left join
-    with many missing keys, which all hash alike: those rows get stand-in keys that differ by row
-    ``id``. Stand-ins are negative and source ids are positive, so they never match.
+    with many missing keys, which all hash alike: those rows get stand-in keys that differ by
+    ``row_id``. Stand-ins are negative and source ids are positive, so they never match.
     """
     picked = relation.select(
         F.col("id").alias("_join"),
@@ -89,6 +91,6 @@ def attach(rows: DataFrame, relation: DataFrame, key: str, how: str = "left", **
     )
     if how == "inner":
         return rows.join(picked.withColumnRenamed("_join", key), key)
-    stand_in = F.lit(-1) - F.pmod(F.xxhash64("id"), F.lit(NULL_KEY_SPREAD))
+    stand_in = F.lit(-1) - F.pmod(F.xxhash64(row_id), F.lit(NULL_KEY_SPREAD))
     keyed = rows.withColumn("_join", F.coalesce(F.col(key), stand_in))
     return keyed.join(picked.filter("_join > 0"), "_join", how).drop("_join")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,5 +75,7 @@ def best_tier(
     inherited = bands.select(*by, "_band", F.last("_top", ignorenulls=True).over(below).alias("_below"))
     best = in_band.filter("_kind = 2").join(inherited, [*by, "_band"]).withColumn("_best", F.coalesce("_here", "_below"))
     found = best.select(*by, F.col("_at").alias("_ask"), *[F.col(f"_best.{c}").alias(c) for c in take])
-    keyed = asks.withColumn("_ask", F.col(ask).cast("double"))
-    return keyed.join(found, [*by, "_ask"], "left").drop("_ask")
+    priced = asked.withColumn("_ask", F.col(ask).cast("double")).join(found, [*by, "_ask"], "left")
+    # Rows that cannot have a tier stay out of the join, where their missing keys would meet.
+    open_ended = reduce(or_, [F.col(c).isNull() for c in (*by, ask)])
+    return priced.drop("_ask").unionByName(asks.filter(open_ended), allowMissingColumns=True)

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.columns import attach
 from quayside.functions.lookup import best_tier, last_by, lowest_id
 from quayside.sources.catalog import Erp
 from quayside.sources.decisions import decision_types, ordered_decisions
@@ -61,7 +62,9 @@ def plan_purchases(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
     The order takes the currency of the last line whose tier has one. The line's price is that of
     its tier; without a tier it is left to the loader.
     """
-    templates = erp["product_product"].select(F.col("id").alias("_odoo_product_id"), "product_tmpl_id")
+    rows = attach(
+        rows, erp["product_product"], "_odoo_product_id", row_id="decision_id", product_tmpl_id="product_tmpl_id"
+    )
     tiers = erp["product_supplierinfo"].select(
         F.col("partner_id").alias("_odoo_supplier_id"),
         "product_tmpl_id",
@@ -72,7 +75,7 @@ def plan_purchases(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
         F.col("currency_id").alias("tier_currency_id"),
     )
     priced = best_tier(
-        rows.join(templates, "_odoo_product_id", "left"),
+        rows,
         tiers,
         ("_odoo_supplier_id", "product_tmpl_id"),
         "quantity",
@@ -192,7 +195,7 @@ def plan_reschedules(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
         .distinct()
     )
     known = named.join(busy, "production_id", "left").withColumn("busy", F.coalesce("busy", F.lit(False)))
-    found = rows.join(known, "parent_reference", "left")
+    found = rows.dropna(subset=["parent_reference"]).join(known, "parent_reference", "left")
     hit = F.col("production_id").isNotNull()
     updates = (
         found.filter(hit)
@@ -204,6 +207,7 @@ def plan_reschedules(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
         .withColumnRenamed("busy", "in_progress")
     )
     counts = _counts(found, "RESCHEDULE", updated=hit, errors=~hit)
+    counts = counts.unionByName(_counts(rows.filter("parent_reference IS NULL"), "RESCHEDULE", errors=F.lit(1)))
     return Plan({"production_dates": updates}, counts)
 
 
@@ -270,17 +274,17 @@ def plan_orderpoints(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
 def plan_lead_times(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
     """New delivery delays of existing vendor links; nothing is created."""
     usable = _given("_odoo_supplier_id") & _given("_odoo_product_id") & F.col("delay").isNotNull()
-    templates = erp["product_product"].select(F.col("id").alias("_odoo_product_id"), "product_tmpl_id")
     links = lowest_id(erp["product_supplierinfo"], "partner_id", "product_tmpl_id", name="supplierinfo_id")
     links = links.withColumnRenamed("partner_id", "_odoo_supplier_id")
-    found = (
-        rows.join(templates, "_odoo_product_id", "left")
-        .join(links, ["_odoo_supplier_id", "product_tmpl_id"], "left")
-        .withColumn("hit", usable & F.col("supplierinfo_id").isNotNull())
+    asked = attach(
+        rows.filter(usable), erp["product_product"], "_odoo_product_id", "inner", product_tmpl_id="product_tmpl_id"
     )
-    updates = found.filter("hit").groupBy("supplierinfo_id").agg(last_by("delay", "row_no").alias("delay"))
-    hit = F.col("hit")
-    return Plan({"lead_times": updates}, _counts(found, "LEAD_TIME", updated=hit, errors=~hit))
+    found = asked.join(links, ["_odoo_supplier_id", "product_tmpl_id"])
+    updates = found.groupBy("supplierinfo_id").agg(last_by("delay", "row_no").alias("delay"))
+    # Every row that finds no link is an error: all rows count as one, the found ones take it back.
+    counts = _counts(rows, "LEAD_TIME", errors=F.lit(1))
+    counts = counts.unionByName(_counts(found, "LEAD_TIME", updated=F.lit(1), errors=F.lit(-1)))
+    return Plan({"lead_times": updates}, counts)
 
 
 # The decision kinds.
