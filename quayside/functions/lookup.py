@@ -44,16 +44,15 @@ def best_tier(
     key has a bounded number.
     """
     first, last = Window.unboundedPreceding, Window.unboundedFollowing
-    tier = F.struct(*take)
     asked = asks.dropna(subset=[*by, ask])
     steps = (
         tiers.dropna(subset=[*by, floor])
         .join(asked.select(*by).distinct(), [*by], "left_semi")
         .groupBy(*by, F.col(floor).cast("double").alias("_at"))
-        .agg(F.min_by(tier, "id").alias("_tier"))
+        .agg(F.min("id").alias("_tier"))
         .withColumn("_band", band(F.col("_at")))
     )
-    nothing = F.lit(None).cast(steps.schema["_tier"].dataType)
+    nothing = F.lit(None).cast(tiers.schema["id"].dataType)
     wanted = (
         asked.select(*by, F.col(ask).cast("double").alias("_at"))
         .distinct()
@@ -73,8 +72,9 @@ def best_tier(
     below = Window.partitionBy(*by).orderBy("_band").rowsBetween(first, -1)
     bands = in_band.select(*by, "_band", "_top").distinct()
     inherited = bands.select(*by, "_band", F.last("_top", ignorenulls=True).over(below).alias("_below"))
-    best = in_band.filter("_kind = 2").join(inherited, [*by, "_band"]).withColumn("_best", F.coalesce("_here", "_below"))
-    found = best.select(*by, F.col("_at").alias("_ask"), *[F.col(f"_best.{c}").alias(c) for c in take])
+    best = in_band.filter("_kind = 2").join(inherited, [*by, "_band"])
+    best = best.select(*by, F.col("_at").alias("_ask"), F.coalesce("_here", "_below").alias("_tier")).dropna()
+    found = best.join(tiers.select(F.col("id").alias("_tier"), *take), "_tier").drop("_tier")
     priced = asked.withColumn("_ask", F.col(ask).cast("double")).join(found, [*by, "_ask"], "left")
     # Rows that cannot have a tier stay out of the join, where their missing keys would meet.
     open_ended = reduce(or_, [F.col(c).isNull() for c in (*by, ask)])
