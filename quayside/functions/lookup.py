@@ -23,12 +23,13 @@ def last_by(value: str, order: str, where: Column | None = None) -> Column:
 
 def band(amount: Column) -> Column:
     """A step function of ``amount`` that never falls. A double has some 33,000 bands at most."""
-    size = F.floor(F.log2(F.abs(amount)) * _BANDS_PER_DOUBLING).cast("double")
+    size = F.floor(F.least(F.log2(F.abs(amount)) * _BANDS_PER_DOUBLING, F.lit(1e6)))
     return (
-        F.when(F.isnan(amount), F.lit(1e19))
+        F.when(F.isnan(amount), F.lit(2_000_000))
         .when(amount > 0, size)
-        .when(amount == 0, F.lit(-1e6))
-        .otherwise(F.lit(-2e6) - size)
+        .when(amount == 0, F.lit(-1_000_000))
+        .otherwise(F.lit(-2_000_000) - size)
+        .cast("int")
     )
 
 
@@ -38,10 +39,10 @@ def best_tier(
     """``asks`` with the ``take`` columns of the tier that has the same ``by`` values and the highest
     ``floor`` not above ``ask``; the lowest id wins a tie. No such tier: NULLs.
 
-    Tiers nobody asks for are dropped first. Rows are never paired: each distinct asked amount and each tier becomes a mark on a line, and a
-    mark takes the last tier at or before it. The line is cut into bands of amount, so a hot key
-    spreads over many tasks; what a band inherits from lower ones is worked out per band, of which a
-    key has a bounded number.
+    Tiers nobody asks for are dropped first. Rows are never paired: each distinct asked amount and
+    each tier becomes a mark on a line, and a mark takes the last tier at or before it. The line is
+    cut into bands of amount, so a hot key spreads over many tasks; what a band inherits from lower
+    ones is worked out per band, of which a key has a bounded number.
     """
     first, last = Window.unboundedPreceding, Window.unboundedFollowing
     asked = asks.dropna(subset=[*by, ask])
@@ -70,9 +71,11 @@ def best_tier(
         F.last("_tier", ignorenulls=True).over(line.rowsBetween(first, last)).alias("_top"),
     )
     below = Window.partitionBy(*by).orderBy("_band").rowsBetween(first, -1)
-    bands = in_band.select(*by, "_band", "_top").distinct()
+    bands = in_band.groupBy(*by, "_band").agg(F.max("_top").alias("_top"))
     inherited = bands.select(*by, "_band", F.last("_top", ignorenulls=True).over(below).alias("_below"))
-    best = in_band.filter("_kind = 2").join(inherited, [*by, "_band"])
+    # Every band has its line in ``inherited``. The left join keeps both reads of the marks alike, so
+    # that Spark shuffles them once.
+    best = in_band.filter("_kind = 2").join(inherited, [*by, "_band"], "left")
     best = best.select(*by, F.col("_at").alias("_ask"), F.coalesce("_here", "_below").alias("_tier")).dropna()
     found = best.join(tiers.select(F.col("id").alias("_tier"), *take), "_tier").drop("_tier")
     priced = asked.withColumn("_ask", F.col(ask).cast("double")).join(found, [*by, "_ask"], "left")
