@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.llm.op1_language_id import op1_language_id
 from quayside.llm.op7_quality_rules import op7_quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op7_quality_rules,)}
+    return {q.__name__: q for q in (op1_language_id, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
