@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm.op1_language_id import op1_language_id
+from quayside.llm.op10_line_dedup import op10_line_dedup
 from quayside.llm.op4_jaccard_join import op4_jaccard_join
 from quayside.llm.op7_quality_rules import op7_quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op1_language_id, op4_jaccard_join, op7_quality_rules)}
+    return {q.__name__: q for q in (op1_language_id, op4_jaccard_join, op7_quality_rules, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
