@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.functions.durable import settled
-from quayside.llm import op7_quality_rules
+from quayside.llm import op2_sentencepiece, op4_jaccard_join, op5_source_mix, op7_quality_rules, op10_line_dedup
 
 #: (name, function (spark, docs, sf_dir) -> DataFrame); all but the last return the columns of documents.
 STAGES = [
     ("quality rules", op7_quality_rules.stage),
+    ("line dedup", op10_line_dedup.stage),
+    ("near duplicates", op4_jaccard_join.stage),
+    ("source mix", op5_source_mix.stage),
+    ("sentencepiece", op2_sentencepiece.stage),
 ]
 
 #: Repetition, seeded choice and sampled segmentation have no SQL form; the tests hold each stage against a plain model.
