@@ -11,12 +11,14 @@ from quayside.llm.op10_line_dedup import op10_line_dedup
 from quayside.llm.op2_sentencepiece import op2_sentencepiece
 from quayside.llm.op4_jaccard_join import op4_jaccard_join
 from quayside.llm.op5_source_mix import op5_source_mix
+from quayside.llm.op6_suffix_dedup import op6_suffix_dedup
 from quayside.llm.op7_quality_rules import op7_quality_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_language_id, op2_sentencepiece, op4_jaccard_join, op5_source_mix, op7_quality_rules, op10_line_dedup,
+        op1_language_id, op2_sentencepiece, op4_jaccard_join, op5_source_mix, op6_suffix_dedup,
+        op7_quality_rules, op10_line_dedup,
     )
     return {q.__name__: q for q in found}
 
