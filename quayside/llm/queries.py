@@ -13,12 +13,14 @@ from quayside.llm.op4_jaccard_join import op4_jaccard_join
 from quayside.llm.op5_source_mix import op5_source_mix
 from quayside.llm.op6_suffix_dedup import op6_suffix_dedup
 from quayside.llm.op7_quality_rules import op7_quality_rules
+from quayside.llm.op8_url_rules import op8_url_rules
+from quayside.llm.op9_winnowing import op9_winnowing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_language_id, op2_sentencepiece, op4_jaccard_join, op5_source_mix, op6_suffix_dedup,
-        op7_quality_rules, op10_line_dedup,
+        op7_quality_rules, op8_url_rules, op9_winnowing, op10_line_dedup,
     )
     return {q.__name__: q for q in found}
 
