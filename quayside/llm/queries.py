@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quayside.llm.op1_language_id import op1_language_id
 from quayside.llm.op10_line_dedup import op10_line_dedup
 from quayside.llm.op2_sentencepiece import op2_sentencepiece
+from quayside.llm.op3_pii import op3_pii
 from quayside.llm.op4_jaccard_join import op4_jaccard_join
 from quayside.llm.op5_source_mix import op5_source_mix
 from quayside.llm.op6_suffix_dedup import op6_suffix_dedup
@@ -19,7 +20,7 @@ from quayside.llm.op9_winnowing import op9_winnowing
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_language_id, op2_sentencepiece, op4_jaccard_join, op5_source_mix, op6_suffix_dedup,
+        op1_language_id, op2_sentencepiece, op3_pii, op4_jaccard_join, op5_source_mix, op6_suffix_dedup,
         op7_quality_rules, op8_url_rules, op9_winnowing, op10_line_dedup,
     )
     return {q.__name__: q for q in found}
