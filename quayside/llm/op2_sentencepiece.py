@@ -32,7 +32,7 @@ MARK = "▁"
 #: A mark that the text itself has; chunks from the pattern never look like this.
 OWN_MARK = "\n" + MARK
 CHUNK = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -307,6 +307,7 @@ class Sampler:
             inside = np.arange(len(at)) - np.repeat(np.cumsum(width[lone]) - width[lone], width[lone])
             out[at + inside] = np.concatenate(spelled)
             ids, ends = out, shift[ends]
+        ids = ids.astype(np.int32)
         return [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
     def decode(self, ids) -> str:
@@ -340,27 +341,26 @@ def encode(
     def run(keys: pa.Array, texts: pa.Array) -> pa.Array:
         tool = _sampler(words, theta, seed)
         seeds = mix(keys.to_numpy(zero_copy_only=False).view(np.uint64) + U(seed))
-        values, ids, good = texts.to_pylist(), [], []
-        at = 0
-        while at < len(values):
-            size, end = 0, at
-            while end < len(values) and (end == at or size < BLOCK_CHARS):
-                size += len(values[end] or "")
-                end += 1
-            some = tool.encode([v or "" for v in values[at:end]], seeds[at:end])
-            ids += some
-            good += [tool.decode(i.tolist()) == (v or "") for i, v in zip(some, values[at:end], strict=True)]
-            at = end
-        nothing = np.array([v is None for v in values], bool)
-        count = np.array([len(i) for i in ids], np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32(), mask=np.append(nothing, False))
-        columns = [
-            pa.array(count, mask=nothing), pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int32))),
-            pa.array(np.array(good, bool), mask=nothing),
-        ]
-        return pa.StructArray.from_arrays(columns, ["n_tokens", "ids", "lossless"])
-
+        done, at = [], 0
+        while at < len(texts):  # some texts at a time, so that little memory is held
+            values, size = [], 0
+            while at + len(values) < len(texts) and (not values or size < BLOCK_CHARS):
+                values.append(texts[at + len(values)].as_py())
+                size += len(values[-1] or "")
+            ids = tool.encode([v or "" for v in values], seeds[at : at + len(values)])
+            good = [tool.decode(i.tolist()) == (v or "") for i, v in zip(ids, values, strict=True)]
+            nothing = np.array([v is None for v in values], bool)
+            count = np.array([len(i) for i in ids], np.int64)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32(), mask=np.append(nothing, False))
+            columns = [
+                pa.array(count, mask=nothing), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids))),
+                pa.array(np.array(good, bool), mask=nothing),
+            ]
+            done.append(pa.StructArray.from_arrays(columns, [f.name for f in kind]))
+            at += len(values)
+        return pa.concat_arrays(done) if done else pa.array([], kind)
+
+    kind = pa.struct([("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("lossless", pa.bool_())])
     tool = arrow_udf(run, "struct<n_tokens:long,ids:array<int>,lossless:boolean>").asNondeterministic()
     return docs.withColumn(out, tool(F.coalesce(F.xxhash64(F.col(key)), F.lit(0)), F.col(text)))
 
