@@ -152,7 +152,7 @@ def quality(
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return quality(docs).select("doc_id", "quality.*")
+    return quality(docs).select("doc_id", "quality.*").drop("n_covered_words", "longest_repeat")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from quayside.llm.op6_suffix_dedup import op6_suffix_dedup
 from quayside.llm.op7_quality_rules import op7_quality_rules
 from quayside.llm.op8_url_rules import op8_url_rules
 from quayside.llm.op9_winnowing import op9_winnowing
+from quayside.llm.oracles import ORACLES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -27,4 +28,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
