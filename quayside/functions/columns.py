@@ -12,10 +12,6 @@ from quayside.schemas import outbound_schema
 # Fixed value: shape of a language code that may be read from a translated field.
 LANGUAGE_CODE = re.compile(r"^[a-z]{2}_[A-Z]{2}$")
 
-# Rows without a foreign key are dealt out over this many join keys, so that they do not
-# meet in one shuffle partition.
-NULL_KEY_SPREAD = 4096
-
 
 def conform(df: DataFrame, entity: str, **values: str | Column) -> DataFrame:
     """Select the declared columns of ``entity`` in order, cast to their declared types.
@@ -80,17 +76,18 @@ def attach(
 ) -> DataFrame:
     """Equi-join ``rows.key`` to ``relation.id`` and bring along the ``take`` columns.
 
-    Only the taken columns travel. No side is forced to broadcast: Spark decides by measured size,
-    and splits a hot key of a shuffled join at run time. What it cannot split well is a left join
-    with many missing keys, which all hash alike: those rows get stand-in keys that differ by
-    ``row_id``. Stand-ins are negative and source ids are positive, so they never match.
+    Only the taken columns travel, and they replace columns of the same name. No side is forced to
+    broadcast: Spark decides by measured size, and splits a hot key of a shuffled join at run time.
+    What it cannot split well is a left join with many missing keys, which all hash alike: so both
+    sides also join on a salt, which is 0 wherever there is a key and differs by ``row_id`` elsewhere.
     """
-    picked = relation.select(
-        F.col("id").alias("_join"),
-        *[(F.col(v) if isinstance(v, str) else v).alias(n) for n, v in take.items()],
-    )
+    taken = [(F.col(v) if isinstance(v, str) else v).alias(n) for n, v in take.items()]
     if how == "inner":
-        return rows.join(picked.withColumnRenamed("_join", key), key)
-    stand_in = F.lit(-1) - F.pmod(F.xxhash64(row_id), F.lit(NULL_KEY_SPREAD))
-    keyed = rows.withColumn("_join", F.coalesce(F.col(key), stand_in))
-    return keyed.join(picked.filter("_join > 0"), "_join", how).drop("_join")
+        kept = [c for c in rows.columns if c == key or c not in take]
+        return rows.select(*kept).join(relation.select(F.col("id").alias(key), *taken), key)
+    kept = [c for c in rows.columns if c not in take]
+    salt = F.when(F.col(key).isNull(), F.xxhash64(row_id)).otherwise(0)
+    keyed = rows.select(*kept, F.col(key).alias("_join"), salt.alias("_salt"))
+    here = F.pmod(F.col("id").cast("bigint"), F.lit(1))  # always 0; a plain 0 would be optimised out of the join's key
+    picked = relation.select(F.col("id").alias("_join"), here.alias("_salt"), *taken)
+    return keyed.join(picked, ["_join", "_salt"], how).drop("_join", "_salt")

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only where none is set, as in tests, a local one."""
+    """The folder named by ``spark.checkpoint.dir``, or the context's checkpoint folder.
+
+    On a cluster it must be set, to storage that all executors share. In local mode, where all is one
+    process, it is set to the Java virtual machine's folder for temporary files if need be.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    folder = folder or context.getCheckpointDir()
     if folder is None:
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="quayside-")
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"{context._jvm.java.lang.System.getProperty('java.io.tmpdir')}/quayside-{context.applicationId}"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -24,12 +31,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/quayside/{name}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame, name: str = "settled") -> DataFrame:
-    """``df`` written to the shared folder and read back.
+def settled(df: DataFrame, name: str = "settled", *folders: str) -> DataFrame:
+    """``df`` written to the shared folder, in one folder for each value of ``folders`` if given, and read back.
 
     This cuts lineage: later steps all read the same rows, whatever executors are lost, and each
-    reads only the columns it needs.
+    reads only the columns it needs. The caller's job leaves the files; whoever owns the folder clears
+    ``quayside/`` in it when no job runs.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -35,5 +35,5 @@ def id_lists(links: DataFrame, key: str, order: str, **lists: str) -> DataFrame:
 def attach_lists(rows: DataFrame, key: str, links: DataFrame, link_key: str, order: str, **lists: str) -> DataFrame:
     """Left-join :func:`id_lists` to ``rows.key``; rows without links get the empty list ``''``."""
     made = id_lists(links, link_key, order, **lists).withColumnRenamed(link_key, key)
-    joined = rows.join(made, key, "left")
+    joined = rows.drop(*lists).join(made, key, "left")
     return joined.withColumns({name: F.coalesce(F.col(name), F.lit("")) for name in lists})

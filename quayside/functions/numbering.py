@@ -14,7 +14,8 @@ def number_rows(df: DataFrame, by: str, order: tuple[str, ...], name: str = "row
     """Number the rows of each ``by`` group from 0 in ``order``. Rows without a group are dropped.
 
     The rows are range-partitioned on group and order, so a hot group covers many partitions. Only
-    the counts per (group, partition) are summed up in one place.
+    the counts per (group, partition) are summed up in one place. The numbered rows are written in one
+    folder for each group, so whoever reads a group reads its rows alone, and numbers are fixed.
     """
     sort = [by, *order]
     ranged = df.filter(F.col(by).isNotNull()).repartitionByRange(*sort).sortWithinPartitions(*sort)
@@ -25,4 +26,5 @@ def number_rows(df: DataFrame, by: str, order: tuple[str, ...], name: str = "row
     parts = parts.select(by, "_part", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     numbered = placed.join(parts, [by, "_part"])
     number = F.col("_at") - F.col("_first") + F.col("_before")
-    return numbered.withColumn(name, number).drop("_at", "_part", "_first", "_before")
+    numbered = numbered.withColumn(name, number).drop("_at", "_part", "_first", "_before")
+    return settled(numbered.withColumn("_by", F.col(by)), "numbered", "_by").drop("_by")

@@ -57,14 +57,16 @@ def product(erp: Erp) -> DataFrame:
         template, erp["uom_uom"], "uom_id", "inner", uom_name=translated(erp, "name"), uom_factor="factor"
     )
     described = attach(units, erp["product_category"], "categ_id", category_name="complete_name")
-    described = described.withColumnRenamed("id", "product_tmpl_id").withColumnRenamed("active", "template_active")
+    described = described.drop("product_tmpl_id", "template_active")
+    described = described.withColumnsRenamed({"id": "product_tmpl_id", "active": "template_active"})
 
     variant = erp["product_product"]
     cost = json_text("standard_price", erp.price_key or first).cast("double")
     variant = variant.withColumn("standard_price", cost)
     variant = fill(variant.withColumns({c: F.col(c).cast("double") for c in ("weight", "volume")}),
                    standard_price=0.0, weight=0.0, volume=0.0)
-    rows = variant.join(described, "product_tmpl_id")
+    own = [c for c in ("id", "active", "barcode", "default_code", "standard_price", "weight", "volume") if c in variant.columns]
+    rows = variant.select("product_tmpl_id", *own).join(described.drop(*own), "product_tmpl_id")
     if "stock_route_product" in erp.tables and "stock_route" in erp.tables:
         links = attach(
             erp["stock_route_product"], erp["stock_route"], "route_id", "inner", route_name=translated(erp, "name")
@@ -142,5 +144,5 @@ def currency(erp: Erp) -> DataFrame:
         F.col("name").alias("rate_date"),
         F.col("company_id").alias("rate_company_id"),
     )
-    rows = erp["res_currency"].withColumnRenamed("id", "currency_id").join(rates, "currency_id", "left")
-    return conform(rows, "currency")
+    known = erp["res_currency"].drop(*rates.columns).withColumnRenamed("id", "currency_id")
+    return conform(known.join(rates, "currency_id", "left"), "currency")

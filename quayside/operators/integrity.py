@@ -67,25 +67,27 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataF
 def integrity_report(erp: Erp, links=LINKS) -> DataFrame:
     """Per dependency: how many rows of the child point to no parent, and by how many keys.
 
-    Each entity is exported once. A child hands out one (parent, key) pair per dependency, counted
-    per key before one shared join with the keys of all parents.
+    Each entity is exported once. A row hands out one (parent, id) pair for each of its keys, and one
+    for itself if it is a parent. Pairs are counted before they meet, in one grouping on (parent, id).
     """
+    parts = []
+    parents = {parent for _, _, parent in links}
+    for entity in dict.fromkeys(x for child, _, parent in links for x in (child, parent)):
+        pairs = [(F.lit(column), F.lit(parent), F.col(column)) for child, column, parent in links if child == entity]
+        if entity in parents:
+            pairs.append((F.lit(None).cast("string"), F.lit(entity), F.col(key_column(entity))))
+        pairs = [F.struct(c.alias("key_column"), p.alias("parent"), i.alias("id")) for c, p, i in pairs]
+        rows = export(entity, erp).select(F.explode(F.array(*pairs)).alias("held")).filter("held.id IS NOT NULL")
+        parts.append(rows.groupBy(F.lit(entity).alias("child"), "held").agg(F.count("*").alias("rows")))
 
-    held, known = [], []
-    for child in dict.fromkeys(link[0] for link in links):
-        pairs = [
-            F.struct(F.lit(column).alias("key_column"), F.lit(parent).alias("parent"), F.col(column).alias("id"))
-            for name, column, parent in links
-            if name == child
-        ]
-        rows = export(child, erp).select(F.explode(F.array(*pairs)).alias("held"))
-        held.append(rows.groupBy(F.lit(child).alias("child"), "held").agg(F.count("*").alias("rows")))
-    for parent in dict.fromkeys(link[2] for link in links):
-        known.append(export(parent, erp).select(F.lit(parent).alias("parent"), F.col(key_column(parent)).alias("id")))
-
-    counted = reduce(DataFrame.unionByName, held).select("child", "held.*", "rows").filter("id IS NOT NULL")
-    lost = counted.join(reduce(DataFrame.unionByName, known), ["parent", "id"], "left_anti")
-    every = lost.sparkSession.createDataFrame(list(links), "child string, key_column string, parent string")
+    counted = reduce(DataFrame.unionByName, parts).select("child", "held.*", "rows")
+    held = F.struct("child", "key_column", "rows")
+    met = counted.groupBy("parent", "id").agg(
+        F.collect_list(F.when(F.col("key_column").isNotNull(), held)).alias("held"),  # one for each dependency at most
+        F.bool_or(F.col("key_column").isNull()).alias("known"),
+    )
+    lost = met.filter(~F.col("known")).select("parent", F.explode("held").alias("held")).select("parent", "held.*")
+    every = erp["uom_uom"].sparkSession.createDataFrame(list(links), "child string, key_column string, parent string")
     sums = lost.groupBy("child", "key_column", "parent").agg(
         F.count("*").alias("missing_keys"), F.sum("rows").alias("orphan_rows")
     )

@@ -71,11 +71,8 @@ def mode_of() -> Column:
 def profile(erp: Erp) -> DataFrame:
     """One row that describes the source."""
     installed = erp["ir_module_module"].filter(F.col("state") == "installed")
-
-    def module(name: str) -> Column:
-        return installed.agg(F.count_if(F.col("name") == name) > 0).scalar()
-
-    facts = {flag: module(name) for flag, name in MODULES.items()}
+    names = installed.agg(F.collect_set(F.when(F.col("name").isin(*MODULES.values()), F.col("name")))).scalar()
+    facts = {flag: F.array_contains(names, name) for flag, name in MODULES.items()}
     facts |= {flag: has_rows(erp, relation, where) for flag, (relation, where) in _data_flags().items()}
     base = installed.filter(F.col("name") == "base").agg(F.min("latest_version"))
     facts |= {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from quayside.sources.catalog import Erp
@@ -24,3 +25,22 @@ def exports(entity: str):
 def export(entity: str, erp: Erp) -> DataFrame:
     """The denormalised table of ``entity``, with the declared schema."""
     return EXPORTS[entity](erp)
+
+
+def compatible(erp: Erp) -> list[str]:
+    """Entities that the source has all relations and columns for, in order of registration.
+
+    An export is planned, not run: one that asks for what the source lacks can't be. Any other error counts.
+    """
+    found = []
+    for entity in EXPORTS:
+        try:
+            export(entity, erp).schema  # noqa: B018
+        except KeyError:
+            continue
+        except AnalysisException as error:
+            if error.getCondition() and error.getCondition().startswith("UNRESOLVED_COLUMN"):
+                continue
+            raise
+        found.append(entity)
+    return found

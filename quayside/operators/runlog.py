@@ -22,7 +22,8 @@ def keep_newest(runs: DataFrame, keep_last: int = 3) -> DataFrame:
     newest = runs.filter(F.col("state") == "done").select("id").orderBy(F.desc("id")).limit(keep_last)
     kept = newest.withColumn("_kept", F.lit(True))
     rows = runs.join(kept, "id", "left")
-    return rows.filter((F.col("state") != "done") | F.col("_kept").isNotNull()).drop("_kept")
+    done = F.coalesce(F.col("state") == "done", F.lit(False))  # a run without a state is in another state
+    return rows.filter(~done | F.col("_kept").isNotNull()).drop("_kept")
 
 
 def expired(runs: DataFrame, now: Column, days: int = 30) -> DataFrame:
@@ -53,7 +54,7 @@ def cancel_runs(runs: DataFrame, chunks: DataFrame, message: str = "Cancelled by
     )
     ids = runs.filter(stopped).select(F.col("id").alias("run_id"), F.lit(True).alias("_stopped"))
     dropped = F.col("_stopped").isNotNull() & F.col("state").isin(*DROPPED_CHUNK_STATES)
-    return marked, chunks.join(ids, "run_id", "left").filter(~dropped).drop("_stopped")
+    return marked, chunks.join(ids, "run_id", "left").filter(~F.coalesce(dropped, F.lit(False))).drop("_stopped")
 
 
 def chunk_errors(chunks: DataFrame) -> DataFrame:

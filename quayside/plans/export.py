@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import __version__
-from quayside.operators import EXPORTS, export
+from quayside.operators import compatible, export
 from quayside.operators.chunks import MAX_CHUNK_ROWS, Cut, entity_cut, in_chunks
 from quayside.plans.manifest import file_facts, write_manifest
 from quayside.schemas import key_column, outbound_schema
@@ -72,7 +72,8 @@ def run_export(
 ) -> str:
     """Export entities below ``root`` and write their manifest. Returns the run's id.
 
-    An entity that fails is reported in the manifest and the others go on. Entities do not depend
+    Without ``entities``, all that the source can give. The manifest lists what this run wrote, not what
+    an earlier one left. An entity that fails is reported in it and the others go on. Entities do not depend
     on each other, so ``jobs`` of them are handed to Spark at a time and small ones fill the gaps.
     """
     started, run_uuid = datetime.now(UTC), str(uuid.uuid4())
@@ -89,9 +90,9 @@ def run_export(
             errors.append(f"{entity}: {error}")
 
     with ThreadPoolExecutor(max_workers=jobs) as pool:
-        list(pool.map(one, entities or list(EXPORTS)))
+        list(pool.map(one, entities if entities is not None else compatible(erp)))
     write_manifest(
-        file_facts(spark, root, seconds),
+        file_facts(spark, root, seconds).filter(F.col("collector").isin(*seconds)),
         root,
         company=company,
         company_id=company_id,

@@ -1,7 +1,7 @@
 """The manifest of an export: building, writing, reading and checking it.
 
-``manifest.json`` is one JSON document. Its list of files is part of it while that list is short;
-a longer list is written beside it as JSON lines, so that no task ever holds it whole.
+``manifest.json`` is one file with one JSON document, the list of files inside it, at every size. The
+document is one row: 10^6 files make some 200 MB, and the limit of a row, 2 GB, is near 10^7 files.
 """
 
 from __future__ import annotations
@@ -10,12 +10,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside import __version__
 from quayside.sources.files import checksums, row_counts
 
-INLINE_FILES = 100_000
 _FILE_FIELDS = "file string, rows bigint, bytes bigint, checksum string, duration_seconds double, collector string"
 
 
@@ -43,19 +41,14 @@ def build_manifest(
     errors: list[str] = (),
     warnings: list[str] = (),
     capabilities: DataFrame | None = None,
-    files_path: str | None = None,
 ) -> DataFrame:
-    """The manifest as one row. With ``files_path`` the files are listed there and not in the row."""
+    """The manifest as one row."""
     duration = round((finished_at - started_at).total_seconds(), 3) if started_at else 0.0
 
     def texts(items):
         return F.array(*[F.lit(i) for i in items]).cast("array<string>")
 
-    if files_path is None:
-        row = files.agg(F.sort_array(F.collect_list(F.struct(*files.columns))).alias("files"))
-    else:
-        empty = F.lit(None).cast(T.ArrayType(files.schema))
-        row = files.sparkSession.range(1).select(empty.alias("files"))
+    row = files.agg(F.sort_array(F.collect_list(F.struct(*files.columns))).alias("files"))
     described = capabilities.select(F.struct("*")).scalar() if capabilities is not None else F.lit(None)
     return row.select(
         F.lit(__version__).alias("version"),
@@ -68,7 +61,6 @@ def build_manifest(
         F.lit(source_version).alias("odoo_version"),
         F.lit("full").alias("export_mode"),
         "files",
-        F.lit(files_path).alias("files_path"),
         texts(errors).alias("errors"),
         texts(warnings).alias("warnings"),
         F.lit(duration).alias("total_duration_seconds"),
@@ -77,15 +69,19 @@ def build_manifest(
     )
 
 
-def write_manifest(files: DataFrame, root: str, inline_files: int = INLINE_FILES, **facts) -> str:
-    """Write the manifest of the files below ``root``. Returns the folder it was written to."""
-    target = f"{root.rstrip('/')}/manifest.json"
-    files_path = None
-    if files.count() > inline_files:
-        files_path = f"{root.rstrip('/')}/manifest_files"
-        files.write.mode("overwrite").json(files_path)
-    document = build_manifest(files, files_path=files_path, **facts)
-    document.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("overwrite").text(target)
+def write_manifest(files: DataFrame, root: str, **facts) -> str:
+    """Write the manifest with the given file entries to ``manifest.json`` below ``root``; returns its path."""
+    target, parts = f"{root.rstrip('/')}/manifest.json", f"{root.rstrip('/')}/_manifest"
+    document = build_manifest(files, **facts)
+    document.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("overwrite").text(parts)
+    context = files.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    system = path(parts).getFileSystem(context._jsc.hadoopConfiguration())
+    (part,) = system.globStatus(path(f"{parts}/part-*"))
+    system.delete(path(target), True)
+    if not system.rename(part.getPath(), path(target)):
+        raise OSError(f"cannot write {target}")
+    system.delete(path(parts), True)
     return target
 
 
@@ -96,14 +92,10 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def manifest_files(manifest: DataFrame) -> DataFrame:
-    """The manifest's file entries as rows, from the document or from the list written beside it."""
+    """The manifest's file entries as rows."""
     entries = manifest.select(F.explode(F.expr("try_variant_get(manifest, '$.files', 'array<variant>')")).alias("e"))
     names = [f.split() for f in _FILE_FIELDS.split(", ")]
-    inline = entries.select(*[F.try_variant_get("e", f"$.{n}", t).alias(n) for n, t in names])
-    beside = manifest.select(F.try_variant_get("manifest", "$.files_path", "string")).first()[0]
-    if beside is None:
-        return inline
-    return manifest.sparkSession.read.schema(_FILE_FIELDS).json(beside)
+    return entries.select(*[F.try_variant_get("e", f"$.{n}", t).alias(n) for n, t in names])
 
 
 def malformed_entries(manifest: DataFrame) -> DataFrame:

@@ -8,18 +8,19 @@ import pytest
 
 from checks.exports import erp
 from quayside import __version__
+from quayside.operators import compatible
 from quayside.operators.profile import profile
 from quayside.plans.export import read_entity, run_export, versions_of, write_entity
 from quayside.plans.manifest import (
     build_manifest, file_facts, manifest_files, malformed_entries, read_manifest, recount, validate_manifest, write_manifest,
 )
 from quayside.operators.chunks import Cut
+from quayside.sources.catalog import Catalog, Erp
 from quayside.sources.files import checksums, list_files, row_counts
 
 
 def document(root):
-    (part,) = Path(root, "manifest.json").glob("part-*")
-    return json.loads(part.read_text())
+    return json.loads(Path(root, "manifest.json").read_text())
 
 
 def errors(spark, root):
@@ -85,17 +86,21 @@ def test_failing_entity_is_an_error_in_the_manifest(spark, sf_dir, tmp_path):
     assert {f["collector"] for f in doc["files"]} == {"uom"}
 
 
-def test_long_file_lists_are_written_beside_the_document(spark, exported):
-    root, _ = exported
-    facts = file_facts(spark, str(root))
-    now = datetime(2024, 5, 6, 7, 8, 9, tzinfo=UTC)
-    write_manifest(facts, str(root), inline_files=2, company="", company_id=1, source_version="", run_uuid="r",
-                   started_at=None, finished_at=now)
-    doc = document(root)
-    assert "files" not in doc and doc["files_path"].endswith("manifest_files")
-    assert doc["schema_version"] == "2024-05-06" and doc["total_duration_seconds"] == 0.0
-    assert manifest_files(read_manifest(spark, str(root))).count() == facts.count() > 2
-    assert errors(spark, root) == []
+def test_manifest_lists_what_the_run_wrote(spark, sf_dir, tmp_path):
+    source = erp(spark, sf_dir)
+    run_export(source, str(tmp_path), ["uom", "country"], spark=spark)
+    run_export(source, str(tmp_path), ["uom"], spark=spark)
+    doc = document(tmp_path)
+    assert {f["collector"] for f in doc["files"]} == {"uom"} and all(f["duration_seconds"] > 0 for f in doc["files"])
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["country", "manifest.json", "uom"]
+
+
+def test_entities_a_source_can_give(spark, sf_dir):
+    source = erp(spark, sf_dir)
+    small = Catalog({n: (lambda n=n: source[n]) for n in ("uom_uom", "res_country", "res_partner", "res_currency")})
+    assert compatible(Erp(small, "19", ("en_US",))) == ["uom", "partner", "country"]
+    less = small.without(columns={"res_partner": ["customer_rank"]})
+    assert compatible(Erp(less, "19", ("en_US",))) == ["uom", "country"]
 
 
 def test_malformed_manifests(spark, tmp_path):

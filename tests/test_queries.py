@@ -1,17 +1,16 @@
-"""The registered queries against their SQL twins, on the smallest test tables.
-
-Plans and streams are left to the tests that check them row by row.
-"""
+"""The registered queries against their SQL twins, on the smallest test tables."""
 
 import pytest
 
 import __spark_entry__ as entry
+from checks import exports, platform, writeback
 from checks.compare import connect, differences
 from quayside.operators import export
 from quayside.schemas import outbound_schema
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-ELSEWHERE = ("plan_", "stream_", "decision_", "decisions_", "integrity_")
+PARTS = (exports, platform, writeback)
+QUERIES = {name: query for part in PARTS for name, query in part.queries().items()}
+ORACLES = {name: text for part in PARTS for name, text in part.oracle_sql().items()}
 
 
 @pytest.fixture(scope="module")
@@ -20,11 +19,11 @@ def duck(sf_dir):
 
 
 def test_every_query_is_known():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry.queries())
     assert set(QUERIES) - set(ORACLES) == {"file_checksums", "manifest_document"}
 
 
-@pytest.mark.parametrize("name", [n for n in ORACLES if not n.startswith(ELSEWHERE)])
+@pytest.mark.parametrize("name", ORACLES)
 def test_query(spark, sf_dir, duck, name):
     assert differences(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) == []
 
