@@ -226,7 +226,7 @@ def near_duplicates(
     return signed.select("key", "node").join(facts, "node", "left").select(
         F.col("key").alias(key), "node",
         F.when(F.col("n_links").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce((F.col("best") == F.col("node")) & F.col("key").eqNullSafe(F.col("class_id")), F.col("n_links").isNull()).alias("keeper"),
+        F.when(F.col("n_links").isNull(), True).otherwise((F.col("best") == F.col("node")) & F.col("key").eqNullSafe(F.col("class_id"))).alias("keeper"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
 
