@@ -20,7 +20,7 @@ from quayside.operators.profile import profile
 from quayside.operators.stock import packages
 from quayside.plans.export import read_entity, run_export, versions_of, write_entity
 from quayside.plans.manifest import manifest_files, read_manifest, recount, validate_files, validate_manifest
-from quayside.schemas import CHUNKABLE, decision_schema, key_column
+from quayside.schemas import CHUNKABLE, ENTITIES, decision_schema, key_column
 from quayside.sources.catalog import parquet_catalog
 from quayside.sources.decisions import conform_decisions, read_decisions
 from quayside.sources.driver_tables import RELATIONS, with_relations
@@ -97,10 +97,28 @@ def _manifest_rows(spark, sf_dir):
 
 def _document(spark, sf_dir):
     manifest = read_manifest(spark, _exported(spark, sf_dir))
-    names = ("schema_version", "export_mode", "odoo_version", "run_uuid")
-    fields = [F.try_variant_get("manifest", f"$.{n}", "string").alias(n) for n in names]
-    counted = F.size(F.expr("try_variant_get(manifest, '$.files', 'array<variant>')")).alias("files")
-    return manifest.select(*fields, counted)
+    fields = [F.try_variant_get("manifest", f"$.{n}", "string").alias(n) for n in ("export_mode", "odoo_version", "company")]
+    entries = manifest_files(manifest).agg(F.count_distinct("collector").alias("entities"), F.sum("rows").alias("rows"))
+    return manifest.select(*fields, F.try_variant_get("manifest", "$.run_uuid", "string").isNotNull().alias("named")).join(entries)
+
+
+def _full_export(spark, sf_dir):
+    """Every entity the source can give, by one run; rows by the manifest, and the errors."""
+    root = scratch_path(spark, "export")
+    run_export(erp(spark, sf_dir), root, spark=spark, source_version="19.0")
+    manifest = read_manifest(spark, root)
+    errors = manifest.select(F.size(F.try_variant_get("manifest", "$.errors", "array<string>"))).scalar()
+    return manifest_files(manifest).groupBy("collector").agg(F.sum("rows").alias("rows"), F.first(errors).alias("errors"))
+
+
+def _text_checksums(spark, sf_dir):
+    """Checksums of text files whose bytes follow from a table: each nation's customers, a name in each line."""
+    root = scratch_path(spark, "names")
+    names = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_nationkey", "c_custkey", "c_name")
+    names = names.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    names.select("c_nationkey", "c_name").write.partitionBy("c_nationkey").text(root)
+    nation = F.regexp_extract("file", r"c_nationkey=(\d+)/", 1).cast("int")
+    return checksums(spark, root, "*.txt").select(nation.alias("nation"), "bytes", "checksum")
 
 
 def _sound(spark, sf_dir):
@@ -209,7 +227,7 @@ def queries():
         "source_first_existing_table": lambda s, d: packages(erp(s, d, "18")).select("id", "name", "company_id"),
         "source_decisions_file": lambda s, d: read_decisions(s, _decision_file(s, d)),
         "source_files_listed": _folders,
-        "file_checksums": lambda s, d: checksums(s, d),
+        "file_checksums": _text_checksums,
         "sink_chunks_sale_order_line": _chunked_roundtrip("sale_order_line"),
         "sink_chunks_stock_quant": _chunked_roundtrip("stock_quant"),
         "sink_whole_pos_order_line": _chunked_roundtrip("pos_order_line"),
@@ -220,6 +238,7 @@ def queries():
         "chunk_key_ranges": _ranges,
         "manifest_rows": _manifest_rows,
         "manifest_document": _document,
+        "manifest_full_export": _full_export,
         "manifest_sound": _sound,
         "manifest_tampered": _tampered,
         "integrity_report": lambda s, d: integrity_report(erp(s, d)),
@@ -322,6 +341,16 @@ def oracle_sql():
         "chunk_key_ranges": with_relations(
             f"SELECT *, CASE WHEN _odoo_quant_id < 20000 THEN 0 WHEN _odoo_quant_id < 90000 THEN 20000 ELSE 90000 END AS key_from FROM ({entity_sql('stock_quant')}) AS x"
         ),
+        "file_checksums": """SELECT c_nationkey AS nation, sum(strlen(c_name) + 1)::BIGINT AS bytes,
+            'sha256:' || sha256(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS checksum
+            FROM customer GROUP BY c_nationkey""",
+        "manifest_document": with_relations(
+            f"""SELECT 'full' AS export_mode, '19.0' AS odoo_version, '' AS company, TRUE AS named,
+            count(DISTINCT collector) AS entities, count(*) AS rows FROM ({entity_rows}) AS r"""
+        ),
+        "manifest_full_export": with_relations(
+            " UNION ALL ".join(f"SELECT '{e}' AS collector, count(*) AS rows, 0 AS errors FROM ({entity_sql(e)}) AS e HAVING count(*) > 0" for e in ENTITIES)
+        ),
         "manifest_rows": with_relations(f"SELECT collector, count(*) AS rows FROM ({entity_rows}) AS r GROUP BY collector"),
         "manifest_sound": with_relations(
             f"SELECT count(DISTINCT collector) AS entities, 0 AS errors, 0 AS row_errors FROM ({entity_rows}) AS r"
