@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.columns import attach
+from quayside.functions.durable import settled
 from quayside.functions.lookup import best_tier, last_by, lowest_id
 from quayside.sources.catalog import Erp
 from quayside.sources.decisions import decision_types, ordered_decisions
@@ -65,6 +66,7 @@ def plan_purchases(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
     rows = attach(
         rows, erp["product_product"], "_odoo_product_id", row_id="decision_id", product_tmpl_id="product_tmpl_id"
     )
+    rows = settled(rows, "purchases")  # the lookup reads them four times
     tiers = erp["product_supplierinfo"].select(
         F.col("partner_id").alias("_odoo_supplier_id"),
         "product_tmpl_id",

@@ -65,27 +65,40 @@ def parquet_catalog(spark: SparkSession, root: str, names: Iterable[str]) -> Cat
     return Catalog({n: (lambda n=n: spark.read.parquet(f"{root}/{n}")) for n in names})
 
 
+FETCH_ROWS = "10000"
+
+
 def jdbc_catalog(
     spark: SparkSession,
     url: str,
-    key_ranges: Mapping[str, tuple[int, int]],
     names: Iterable[str],
     partitions: int,
+    key_ranges: Mapping[str, tuple[int, int]] | None = None,
     schema: str = "public",
     **options: str,
 ) -> Catalog:
-    """Relations read over JDBC. Those in ``key_ranges`` are read in parallel slices of ``id``."""
+    """Relations read over JDBC, those with an ``id`` in parallel slices of it.
+
+    The first and last id are asked of the database, unless ``key_ranges`` has them. An empty relation, or one
+    without ``id``, such as a link table, is read in one slice.
+    """
     utc(spark)
 
     def loader(name: str) -> Callable[[], DataFrame]:
         def load() -> DataFrame:
-            reader = spark.read.format("jdbc").options(url=url, dbtable=f"{schema}.{name}", **options)
-            if name in key_ranges:
-                low, high = key_ranges[name]
-                reader = reader.options(
-                    partitionColumn="id", lowerBound=low, upperBound=high + 1, numPartitions=partitions
-                )
-            return reader.load()
+            table = f"{schema}.{name}"
+            common = {"url": url, "fetchsize": FETCH_ROWS} | options
+            reader = spark.read.format("jdbc").options(**common, dbtable=table)
+            span = (key_ranges or {}).get(name)
+            if span is None and "id" in (whole := reader.load()).columns:
+                ends = spark.read.format("jdbc").options(**common, query=f"SELECT min(id) AS low, max(id) AS high FROM {table}")
+                span = tuple(ends.load().first())
+            if span is None or span[0] is None:
+                return whole
+            low, high = span
+            return reader.options(
+                partitionColumn="id", lowerBound=low, upperBound=high + 1, numPartitions=partitions
+            ).load()
 
         return load
 
