@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text makes a block of its own.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 SPACE = np.zeros(256, bool)
