@@ -7,8 +7,10 @@ for each run of neighbouring windows. A window is ``LENGTH`` bytes; its anchor i
 hashed ``GRAM``-byte gram, rightmost of ties. Equal windows have their anchor at the same place, so they meet
 in the range of its leading bytes, and no window is missed.
 
-1. Each run gives its anchor's order key (leading bytes, then gram hash) and a hash of all its bytes. Ranges
-   are sorted by both. Equal runs cover all their bytes. Anchors that occur once are dropped here.
+1. A run is halved: a window holds at least ``(LENGTH - GRAM) / 2`` bytes after its gram or before it. So each half has a
+   longer string in common, the gram with that side. Its order key is the leading bytes and that string's
+   hash. Ranges are sorted by it and by a hash of all bytes. Equal halves cover all their bytes. Those whose
+   string occurs once are dropped here, so a short line that is everywhere stays cheap.
 2. Only the different runs of an anchor send their bytes; their windows are sorted and neighbours compared.
 3. A hot anchor, whose splitter repeats, is dealt over several ranges; so is one that a task can't hold. There
    each range also gives one window of each kind, and these meet by their hash across the boundaries.
@@ -29,13 +31,16 @@ from quayside.llm.texts import unpacked
 
 LENGTH, GRAM = 200, 32
 SAMPLE_TEXTS = 2000
-HELD_ROWS, HELD_BYTES = 1 << 18, 1 << 22
+HELD_ROWS, HELD_BYTES = 1 << 18, 1 << 21
+#: Bytes of text handled at once; a window takes some 100 bytes of memory.
+SCAN_BYTES = 1 << 19
 _LOW = U(0xFFFFFFFF)
 
 
 def runs(block: Block, length: int, gram: int) -> dict[str, np.ndarray]:
-    """Runs of neighbouring windows with one anchor: ``text``, ``start``, ``n`` windows, ``off`` of the anchor,
-    ``order`` (4 leading bytes and the gram's hash), ``anchor`` and ``all`` (hashes of the gram and of the whole run)."""
+    """Half runs of neighbouring windows with one anchor: ``text``, ``start``, ``n`` windows, ``off`` of the anchor,
+    ``order`` (4 leading bytes and the hash of the common string), ``anchor`` and ``all`` (hashes of that string and of
+    the whole half)."""
     n, width = len(block.data), length - gram + 1
     empty = np.zeros(0, np.int64)
     if n < length:
@@ -55,9 +60,16 @@ def runs(block: Block, length: int, gram: int) -> dict[str, np.ndarray]:
     new[1:] &= ~valid[:-1] | (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
     begin = np.flatnonzero(new)
     stop = np.flatnonzero(valid & np.concatenate([new[1:] | ~valid[1:], [True]])) + 1
-    anchor, text = anchor[begin], text[begin]
-    hashed = block.hashes(anchor, anchor + gram)
-    lead = sum(block.data[anchor + i].astype(np.uint64) << U(56 - 8 * i) for i in range(4))
+    anchor = anchor[begin]
+    reach = (length - gram) // 2
+    middle = np.clip(anchor - reach, begin, stop)  # windows from here have the gram and ``reach`` bytes after it
+    begin, stop = np.stack([begin, middle], axis=1).reshape(-1), np.stack([middle, stop], axis=1).reshape(-1)
+    some = np.flatnonzero(begin < stop)
+    begin, stop, anchor, after = begin[some], stop[some], anchor[some >> 1], (some & 1).astype(bool)
+    text = text[begin]
+    low = np.where(after, anchor, anchor - reach - 1)
+    hashed = block.hashes(low, np.where(after, anchor + gram + reach, anchor + gram))
+    lead = sum(block.data[low + i].astype(np.uint64) << U(56 - 8 * i) for i in range(4))
     off = anchor - begin
     whole = mix(block.hashes(begin, stop + length - 1) + off.astype(np.uint64) * U(0x9E3779B97F4A7C15))
     return {
@@ -74,7 +86,7 @@ def splitters(docs: DataFrame, text: str, parts: int, length: int, gram: int) ->
 
     def run(batches):
         for batch in batches:
-            for block in blocks(batch.column(0)):
+            for block in blocks(batch.column(0), SCAN_BYTES):
                 yield pa.RecordBatch.from_arrays([pa.array(runs(block, length, gram)["order"].view(np.int64))], ["order"])
 
     total = docs.count()
@@ -103,7 +115,7 @@ def suffixes(docs: DataFrame, key: str, text: str, cuts: np.ndarray, length: int
     def run(batches):
         for batch in batches:
             keys = batch.column(0)
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), SCAN_BYTES):
                 got = runs(block, length, gram)
                 bucket, hot = deal(got["order"], mix(got["all"] + got["start"].astype(np.uint64) + U(block.first)), cuts)
                 columns = [
@@ -310,13 +322,14 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     input. ``tid`` tells rows of one key with different texts apart; equal rows share their spans, and each is the
     other's copy. Columns beside the two are not read. ``length`` is ``gram`` + 223 at most.
     """
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = splitters(docs, text, 4 * partitions, length, gram)
-    rows = suffixes(docs, key, text, cuts, length, gram).repartition(partitions, "bucket")
+    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = splitters(docs, text, parts, length, gram)
+    rows = suffixes(docs, key, text, cuts, length, gram).repartitionById(parts, F.shiftright("bucket", 1))
     rows = rows.sortWithinPartitions("bucket", "anchor", "whole")
     found = settled(sorted_ranges(rows, length), "ranges")
     asked = found.where("bucket >= 0")
-    ranges = passages(asked, docs, key, text, length).repartition(partitions, "bucket").sortWithinPartitions("bucket", "anchor")
+    ranges = passages(asked, docs, key, text, length).repartitionById(parts, F.shiftright("bucket", 1))
+    ranges = ranges.sortWithinPartitions("bucket", "anchor")
     windows = settled(compared(ranges, length), "windows")
     across = windows.where("window is not null").groupBy("window").agg(F.collect_list(F.struct("key", "tid", "begin", "end")).alias("w"))
     across = across.where(F.size("w") > 1).select(F.explode("w").alias("w")).select("w.*")  # one of each range at most
