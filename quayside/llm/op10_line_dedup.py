@@ -9,31 +9,35 @@ line before it, in order of (id, line); all is judged on the input.
 * Rarity is counted over all words in ``BUCKETS`` hashed counters, a fixed table of 2 MB; within a
   counter the word's hash decides. Any such order gives the same result; this one keeps groups small.
 * Equal sets are one, at their first place, before anything is paired: copies are never expanded.
-* A prefix word in over ``SPLIT`` sets is cut into blocks; every pair of blocks is a task's group.
+* Prefix rows travel as compressed columns, one block for each task and target, half the bytes of rows.
+* A prefix word in over ``SPLIT`` sets is cut into blocks of sets; every pair of blocks is a group of its own.
 * A line needs one match only. Each group gives its ``NEAREST`` likeliest candidates for each line; if they
   fail and there were more, all the others are verified in a second round, so nothing is lost.
 """
 
 from __future__ import annotations
 
+import pickle
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from quayside.functions.durable import settled
 from quayside.llm.blocks import Block, U, blocks, mix
-from quayside.llm.texts import packed, unpacked
+from quayside.llm.texts import packed, small_batches, unpacked
 
 SIMILARITY = Fraction(4, 5)
 _BITS = 18
 BUCKETS, SLICES = 1 << _BITS, 64
-SPLIT, NEAREST, HELD_ROWS, HELD_PAIRS = 8192, 4, 1 << 17, 1 << 21
+SPLIT, HEAVY, NEAREST, HELD_ROWS, HELD_PAIRS = 8192, 100_000, 8, 1 << 17, 1 << 20
+SCAN_BYTES = 1 << 19
 LAST = (1 << 63) - 1  # stands for a null id
-_FRAG = 24
+_FRAG = 16
 
 
 def _key(name: str):
@@ -46,7 +50,7 @@ def rarity(docs: DataFrame, text: str) -> np.ndarray:
     def count(batches):
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for block in blocks(batch.column(0)):
+            for block in blocks(batch.column(0), SCAN_BYTES):
                 total += np.bincount((block.hashes(*block.words()) & U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
         yield _slices(total)
 
@@ -89,19 +93,47 @@ class Lines:
         tokens = rank[(hashed & U(BUCKETS - 1)).astype(np.int64)] << U(64 - _BITS) | hashed >> U(_BITS)
         begins, _ = block.lines()
         line = np.searchsorted(begins, starts, side="right") - 1
-        order = np.lexsort((tokens, line))
+        order = _by_line(line, tokens)
         tokens, line = tokens[order], line[order]
         new = np.ones(len(line), bool)
         new[1:] = (tokens[1:] != tokens[:-1]) | (line[1:] != line[:-1])
         self.tokens, line = tokens[new], line[new]
-        which, self.begin, self.size = np.unique(line, return_index=True, return_counts=True)
+        first = np.ones(len(line), bool)
+        first[1:] = line[1:] != line[:-1]
+        self.begin = np.flatnonzero(first)
+        self.size = np.diff(np.append(self.begin, len(line)))
+        which = line[self.begin]
         self.text, self.number = _numbered(block, which)
         self.mixed = mixed = mix(self.tokens)
-        if len(which):
-            self.node = mix(np.add.reduceat(mix(mixed), self.begin) + self.size.astype(np.uint64))
-            self.bitmap = np.bitwise_xor.reduceat(U(1) << (mixed >> U(58)), self.begin)
-        else:
-            self.node = self.bitmap = np.zeros(0, np.uint64)
+        self.node = mix(np.add.reduceat(mix(mixed), self.begin) + self.size.astype(np.uint64)) if len(which) else mixed
+
+    def bitmaps(self) -> tuple[np.ndarray, np.ndarray]:
+        """Parity bitmaps, one after another, and their words: a power of two from 1 for each 64 words of a line."""
+        width = _width(self.size)
+        begin = np.cumsum(width) - width
+        bit = self.mixed & (np.repeat(64 * width, self.size).astype(np.uint64) - U(1))
+        word = np.repeat(begin, self.size) + (bit >> U(6)).astype(np.int64)
+        flat = np.zeros(int(width.sum()), np.uint64)
+        np.bitwise_xor.at(flat, word, U(1) << (bit & U(63)))
+        return flat, width
+
+
+def _by_line(line: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Order by line, then token."""
+    bits = int(line[-1]).bit_length() if len(line) else 0
+    if not bits:
+        return np.argsort(tokens, kind="stable")
+    key = line.astype(np.uint64) << U(64 - bits) | tokens >> U(bits)
+    order = np.argsort(key)
+    near = np.flatnonzero(key[order][1:] == key[order][:-1])
+    # the bits cut off decide only between words that agree in all the others; that is rare
+    if (tokens[order[near]] != tokens[order[near + 1]]).any():
+        return np.lexsort((tokens, line))
+    return order
+
+
+def _width(n: np.ndarray) -> np.ndarray:
+    return 1 << np.ceil(np.log2(np.maximum(n, 64) / 64)).astype(np.int64)
 
 
 def _numbered(block: Block, which: np.ndarray):
@@ -117,85 +149,190 @@ def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat))
 
 
-def places(docs: DataFrame, key: str, text: str, rank: np.ndarray) -> DataFrame:
-    """(key, line, node): the set of every line that has words."""
-
-    def run(batches):
-        for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for block in blocks(batch.column(1)):
-                lines = Lines(block, rank)
-                columns = [keys[block.first + lines.text], lines.number.astype(np.int32), lines.node.view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "line", "node"])
-
-    return docs.select(_key(key).alias("key"), text).mapInArrow(run, "key long, line int, node long")
-
-
-def sets(docs: DataFrame, key: str, text: str, counts: np.ndarray, similarity: Fraction) -> DataFrame:
-    """(node, first (key, line), n, bitmap, prefix): every different set of words, at its first place."""
-    rank = ranks(counts)
-    ordered = np.sort(counts)
+def line_sets(docs: DataFrame, key: str, text: str, rank: np.ndarray, similarity: Fraction) -> DataFrame:
+    """(node, key, line, n, bitmap, prefix): the set of every line that has words."""
 
     def run(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), SCAN_BYTES):
                 lines = Lines(block, rank)
                 n = lines.size
                 long = n + (-n * similarity.numerator) // similarity.denominator + 1  # n - ceil(n t) + 1
                 at = np.repeat(lines.begin - (np.cumsum(long) - long), long) + np.arange(long.sum())
-                # the last bit says that the word may be in over SPLIT sets
-                often = ordered[(lines.tokens[at] >> U(64 - _BITS)).astype(np.int64)] > SPLIT
-                prefix = (lines.mixed[at] >> U(32)).astype(np.uint32) & np.uint32(0xFFFFFFFE) | often.astype(np.uint32)
+                flat, width = lines.bitmaps()
+                ends = pa.py_buffer(np.concatenate([[0], np.cumsum(8 * width)]).astype(np.int32))
                 columns = [
                     pa.array(lines.node.view(np.int64)), pa.array(keys[block.first + lines.text]),
                     pa.array(lines.number.astype(np.int32)), pa.array(n.astype(np.int32)),
-                    pa.array(lines.bitmap.view(np.int64)), _lists(prefix.view(np.int32), long),
+                    pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, ends, pa.py_buffer(flat)]),
+                    _lists((lines.mixed[at] >> U(32)).astype(np.uint32).view(np.int32), long),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "key", "line", "n", "bitmap", "prefix"])
 
-    kind = "node long, key long, line int, n int, bitmap long, prefix array<int>"
-    rows = docs.select(_key(key).alias("key"), text).mapInArrow(run, kind)
+    kind = "node long, key long, line int, n int, bitmap binary, prefix array<int>"
+    return docs.select(_key(key).alias("key"), text).mapInArrow(run, kind)
+
+
+def sets(rows: DataFrame) -> DataFrame:
+    """(node, first (key, line), n, bitmap, prefix): every different set of words, at its first place."""
     return rows.groupBy("node").agg(
         F.min(F.struct("key", "line")).alias("first"), F.any_value("n").alias("n"),
         F.any_value("bitmap").alias("bitmap"), F.any_value("prefix").alias("prefix"),
     )
 
 
-def grouped(found: DataFrame) -> DataFrame:
-    """Prefix rows by (token, i, j); the sets of a frequent word are cut into blocks."""
-    node = F.col("node").bitwiseAND((1 << _FRAG) - 1)
-    rows = found.select(
-        F.posexplode("prefix").alias("pos", "token"), F.col("first.key").alias("key"), F.col("first.line").alias("line"),
-        "bitmap", (F.col("n").cast("long") * (1 << _FRAG) + node).alias("size"), *[c for c in found.columns if c == "asks"],
-    )
-    columns = ["token", "i", "j", "part", "pos", "size", "bitmap", "key", "line", *[c for c in rows.columns if c == "asks"]]
-    zero = {c: F.lit(0) for c in ("i", "j", "part")}
-    often = rows.where(F.col("token").bitwiseAND(1) == 1)
-    much = often.groupBy("token").count().where(F.col("count") > SPLIT)
-    parts = often.join(much.withColumn("parts", F.ceil(F.col("count") / SPLIT).cast("int")), "token", "left")
-    parts = parts.withColumn("parts", F.coalesce("parts", F.lit(1)))
-    parts = parts.withColumn("part", F.pmod(F.xxhash64("key", "line", "size"), F.col("parts")).cast("int"))
-    parts = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    parts = parts.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
-    rare = rows.where(F.col("token").bitwiseAND(1) == 0).withColumns(zero)
-    return rare.select(columns).unionByName(parts.select(columns))
+def frequent(found: DataFrame) -> dict[int, int]:
+    """Prefix words in so many sets that one task should not pair them, and into how many blocks to cut them.
+
+    Such a word is in over ``SPLIT`` sets and in over 1 / ``HEAVY`` of all rows, so there are fewer than ``HEAVY``.
+    """
+
+    def run(batches):
+        held = np.zeros(0, np.uint32)
+
+        def counted():
+            words, n = np.unique(held, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(words[n > 15].view(np.int32)), pa.array(n[n > 15])], ["token", "n"])
+
+        for batch in batches:
+            held = np.concatenate([held, batch.column(0).flatten().to_numpy().view(np.uint32)])
+            if len(held) > HELD_ROWS:
+                yield counted()
+                held = held[:0]
+        yield counted()
+
+    total = found.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    many = found.select("prefix").mapInArrow(run, "token int, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = many.where(F.col("n") > max(SPLIT, total / HEAVY)).collect()
+    return {token & 0xFFFFFFFF: -(-n // SPLIT) for token, n in rows}
+
+
+#: Columns of a prefix row as they travel.
+_TYPES = {
+    "token": np.uint32, "ij": np.uint32, "part": np.uint16, "pos": np.uint32, "n": np.uint32, "key": np.int64,
+    "line": np.int32, "frag": np.uint16, "asks": np.uint8,
+}
+
+
+def _packed(columns: list[np.ndarray], tool) -> bytes:
+    """Columns byte by byte, so that the bytes that are always 0 vanish."""
+    flat = [c.view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]
+    return tool.compress(pickle.dumps((len(columns[0]), len(columns[-1]), flat), 5))
+
+
+def _columns(pack: bytes, tool) -> list[np.ndarray]:
+    n, last, flat = pickle.loads(tool.decompress(pack))
+    sizes = [n] * len(_TYPES) + [last]
+    types = [*_TYPES.values(), np.uint64]
+    turned = zip(flat, sizes, types, strict=True)
+    return [np.ascontiguousarray(np.frombuffer(f, np.uint8).reshape(-1, k).T).view(t).reshape(-1) if k else np.zeros(0, t) for f, k, t in turned]
+
+
+def dealt(found: DataFrame, often: dict[int, int], parts: int, asked: np.ndarray | None) -> DataFrame:
+    """(bucket, pack): the prefix rows of all sets. With ``asked``, only those of words it may hold."""
+    heavy = np.array(sorted(often), np.uint32)
+    cut = np.array([often[x] for x in heavy.tolist()], np.int64)
+
+    def run(batches):
+        tool = zstandard.ZstdCompressor(level=1)
+        held, size = [], 0
+
+        def rows(batch):
+            n = batch.column("n").to_numpy().astype(np.int64)
+            long = np.diff(batch.column("prefix").offsets.to_numpy())
+            token = batch.column("prefix").flatten().to_numpy().view(np.uint32)
+            owner = np.repeat(np.arange(len(n)), long)
+            pos = np.arange(len(owner)) - np.repeat(np.cumsum(long) - long, long)
+            bits = batch.column("bitmap")
+            _, at, data = bits.buffers()
+            at = np.frombuffer(at, np.int32)[bits.offset : bits.offset + len(bits) + 1].astype(np.int64) // 8
+            flat = np.frombuffer(data, np.uint64) if len(n) else np.zeros(0, np.uint64)
+            key, line = batch.column("key").to_numpy(), batch.column("line").to_numpy()
+            asks = batch.column("asks").to_numpy(zero_copy_only=False) if asked is not None else np.ones(len(n), bool)
+            keep = np.arange(len(owner)) if asked is None else np.flatnonzero(asked[token >> np.uint32(8)])
+            blocks_ = np.ones(len(keep), np.int64)
+            if len(heavy):
+                where = np.minimum(np.searchsorted(heavy, token[keep]), len(heavy) - 1)
+                blocks_ = np.where(heavy[where] == token[keep], cut[where], 1)
+            own = owner[keep]
+            salt = mix(key[own].astype(np.uint64) + mix(line[own].astype(np.uint64) + U(1)))
+            part = (salt % blocks_.astype(np.uint64)).astype(np.int64)
+            again = np.repeat(np.arange(len(keep)), blocks_)
+            other = np.arange(len(again)) - np.repeat(np.cumsum(blocks_) - blocks_, blocks_)
+            part = part[again]
+            ij = np.minimum(part, other) << 16 | np.maximum(part, other)
+            row = keep[again]
+            own = owner[row]
+            frag = batch.column("node").to_numpy()[own] & 0xFFFF
+            cols = [token[row], ij, part, pos[row], n[own], key[own], line[own], frag, asks[own]]
+            cols = [c.astype(t) for c, t in zip(cols, _TYPES.values(), strict=True)]
+            width = _width(n)[own]
+            spread = np.repeat(at[own] - (np.cumsum(width) - width), width) + np.arange(width.sum())
+            return [*cols, flat[spread], width]
+
+        def packs():
+            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+            width = cols.pop()
+            bucket = (mix(cols[0].astype(np.uint64) << U(32) | cols[1]) % U(parts)).astype(np.int64)
+            order = np.lexsort((cols[0], bucket))
+            begin = np.cumsum(width) - width
+            targets, first = np.unique(bucket[order], return_index=True)
+            out = []
+            for low, high in zip(first, np.append(first[1:], len(order)), strict=True):
+                some = order[low:high]
+                w = width[some]
+                spread = np.repeat(begin[some] - (np.cumsum(w) - w), w) + np.arange(w.sum())
+                out.append(_packed([c[some] for c in cols[:-1]] + [cols[-1][spread]], tool))
+            return pa.RecordBatch.from_arrays([pa.array(targets.astype(np.int32)), pa.array(out, pa.binary())], ["bucket", "pack"])
+
+        for batch in batches:
+            for low in range(0, batch.num_rows, 1 << 14):
+                held.append(rows(batch.slice(low, 1 << 14)))
+                size += len(held[-1][0])
+                if size > HELD_ROWS:
+                    yield packs()
+                    held, size = [], 0
+        if size:
+            yield packs()
+
+    columns = ["node", F.col("first.key").alias("key"), F.col("first.line").alias("line"), "n", "bitmap", "prefix"]
+    return found.select(*columns, *[c for c in found.columns if c == "asks"]).mapInArrow(run, "bucket int, pack binary")
+
+
+def _fold(flat: np.ndarray, begin: np.ndarray, have: int, want: int) -> np.ndarray:
+    """Bitmaps of ``have`` words made ``want`` wide."""
+    return np.bitwise_xor.reduce(flat[begin[:, None] + np.arange(have)].reshape(len(begin), have // want, want), axis=1)
+
+
+def _differ(cols: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """At least so many words are in only one of the two sets."""
+    out = np.bitwise_count(cols["fold"][a] ^ cols["fold"][b]).astype(np.int64)
+    pair = cols["width"][a] << 32 | cols["width"][b]
+    for kind in np.unique(pair[pair != (1 << 32 | 1)]):
+        at = np.flatnonzero(pair == kind)
+        x, y = int(kind >> 32), int(kind & 0xFFFFFFFF)
+        w = min(x, y)
+        for some in np.array_split(at, max(1, len(at) * max(x, y) >> 21)):
+            left = _fold(cols["bits"], cols["begin"][a[some]], x, w)
+            out[some] = np.bitwise_count(left ^ _fold(cols["bits"], cols["begin"][b[some]], y, w)).sum(axis=1)
+    return out
 
 
 def _pairs(cols: dict[str, np.ndarray], similarity: Fraction, nearest: int | None):
-    """(later, earlier, candidates of later) of one held piece of whole groups, as row numbers."""
+    """(later, earlier, _, candidates of later) among rows sorted by group, as row numbers."""
     p, q = similarity.numerator, similarity.denominator
-    n = cols["size"] >> _FRAG
-    group = cols["group"]
+    n, group = cols["n"].astype(np.int64), cols["group"]
     stop = np.searchsorted(group, group, side="right")
     rest = n - cols["pos"]
+    same_part = (cols["ij"] >> 16) == (cols["ij"] & 0xFFFF)
+    asks = cols["asks"].astype(bool)
     kept: list[np.ndarray] = []
     held, at, step = 0, np.arange(len(group)), 1
 
     def reduced(parts):
         pairs = np.concatenate(parts, axis=1) if parts else np.zeros((4, 0), np.int64)
-        order = np.lexsort((pairs[2], pairs[0]))
-        pairs = pairs[:, order]
+        pairs = pairs[:, np.lexsort((pairs[2], pairs[0]))]
         begin = np.searchsorted(pairs[0], pairs[0])
         total = np.add.reduceat(pairs[3], np.unique(begin)) if pairs.shape[1] else np.zeros(0, np.int64)
         place = np.arange(pairs.shape[1]) - begin
@@ -205,76 +342,76 @@ def _pairs(cols: dict[str, np.ndarray], similarity: Fraction, nearest: int | Non
 
     while len(at := at[at + step < stop[at]]):
         a, b = at, at + step
+        step += 1
         need = -((-p * (n[a] + n[b])) // (p + q))  # words in common for the similarity
         good = (np.minimum(rest[a], rest[b]) >= need) & (np.minimum(n[a], n[b]) >= need)
-        good &= (cols["i"][a] == cols["j"][a]) | (cols["part"][a] != cols["part"][b])
+        good &= same_part[a] | (cols["part"][a] != cols["part"][b])
+        good &= np.bitwise_count(cols["fold"][a] ^ cols["fold"][b]) <= n[a] + n[b] - 2 * need
         a, b, need = a[good], b[good], need[good]
-        differ = np.bitwise_count(cols["bitmap"][a] ^ cols["bitmap"][b]).astype(np.int64)
+        differ = _differ(cols, a, b)
         good = differ <= n[a] + n[b] - 2 * need
         a, b, differ = a[good], b[good], differ[good]
-        place = [(cols[c][a], cols[c][b]) for c in ("key", "line", "size")]
         before = np.zeros(len(a), bool)
-        for x, y in reversed(place):
+        for c in ("frag", "n", "line", "key"):
+            x, y = cols[c][a], cols[c][b]
             before = (x < y) | ((x == y) & before)
         later, earlier = np.where(before, b, a), np.where(before, a, b)
-        if "asks" in cols:
-            asked = cols["asks"][later]
-            later, earlier, differ = later[asked], earlier[asked], differ[asked]
-        if len(later):
-            kept.append(np.stack([later, earlier, differ, np.ones(len(later), np.int64)]))
-            held += len(later)
+        asked = asks[later]
+        if asked.any():
+            kept.append(np.stack([later[asked], earlier[asked], differ[asked], np.ones(int(asked.sum()), np.int64)]))
+            held += kept[-1].shape[1]
             if held > HELD_PAIRS and nearest is not None:
                 kept = [reduced(kept)]
                 held = 0
-        step += 1
     return reduced(kept)
 
 
-def candidates(rows: DataFrame, similarity: Fraction, nearest: int | None) -> DataFrame:
+def candidates(packs: DataFrame, similarity: Fraction, nearest: int | None) -> DataFrame:
     """(key, line, size, key2, line2, size2, more): candidate earlier lines of a line, and how many were left out."""
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
-        count = 0
-
-        def solve(table: pa.Table):
-            cols = {c: table.column(c).to_numpy() for c in table.column_names}
-            tag = np.stack([cols.pop("token"), cols["i"], cols["j"]])
-            cols["group"] = np.concatenate([[0], np.cumsum((tag[:, 1:] != tag[:, :-1]).any(axis=0))])
-            cols["bitmap"] = cols["bitmap"].view(np.uint64)
+        tool = zstandard.ZstdDecompressor()
+        bucket, held = None, []
+
+        def solve():
+            all_ = [np.concatenate(c) for c in zip(*(_columns(h, tool) for h in held), strict=True)]
+            order = np.lexsort((all_[1], all_[0]))
+            width = _width(all_[4])
+            whole = {c: x[order] for c, x in zip(_TYPES, all_, strict=False)}
+            whole |= {"width": width[order], "begin": (np.cumsum(width) - width)[order], "bits": all_[-1]}
+            whole["fold"] = np.bitwise_xor.reduceat(all_[-1], np.cumsum(width) - width)[order]
+            new = np.concatenate([[True], (np.diff(whole["token"].astype(np.int64)) != 0) | (np.diff(whole["ij"].astype(np.int64)) != 0)])
+            whole["group"] = np.cumsum(new) - 1
+            first = np.flatnonzero(new)
+            low = 0
+            while low < len(order):
+                at = int(np.searchsorted(first, low + (HELD_ROWS >> 2)))
+                high = int(first[at]) if at < len(first) else len(order)
+                yield one({k: v if k == "bits" else v[low:high] for k, v in whole.items()})
+                low = high
+
+        def one(cols):
             later, earlier, _, total = _pairs(cols, similarity, nearest)
-            # each line's candidates together; what is beyond those given
-            given = np.bincount(later, minlength=table.num_rows)
-            all_ = np.bincount(later, weights=total, minlength=table.num_rows).astype(np.int64)
-            out = [cols[c][later] for c in ("key", "line", "size")] + [cols[c][earlier] for c in ("key", "line", "size")]
-            out.append((all_ - given)[later])
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
-
-        def cut(table: pa.Table) -> int:
-            """Where the last group begins."""
-            same = np.ones(table.num_rows, bool)
-            for c in ("token", "i", "j"):
-                x = table.column(c).to_numpy()
-                same &= x == x[-1]
-            return int(np.flatnonzero(same)[0])
+            given = np.bincount(later, minlength=len(cols["n"]))
+            every = np.bincount(later, weights=total, minlength=len(cols["n"])).astype(np.int64)
+            size = cols["n"].astype(np.int64) << _FRAG | cols["frag"]
+            out = [cols["key"][later], cols["line"][later], size[later], cols["key"][earlier], cols["line"][earlier], size[earlier]]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in [*out, (every - given)[later]]], names)
 
         for batch in batches:
-            held.append(batch)
-            count += batch.num_rows
-            if count >= HELD_ROWS:
-                table = pa.Table.from_batches(held).combine_chunks()
-                at = cut(table)
-                if at:
-                    yield solve(table.slice(0, at).combine_chunks())
-                held = table.slice(at).to_batches()
-                count = sum(b.num_rows for b in held)
-        if count:
-            yield solve(pa.Table.from_batches(held).combine_chunks())
+            for b, pack in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if b != bucket and held:
+                    yield from solve()
+                    held = []
+                bucket = b
+                held.append(pack)
+        if held:
+            yield from solve()
 
     names = ["key", "line", "size", "key2", "line2", "size2", "more"]
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return rows.mapInArrow(run, "key long, line int, size long, key2 long, line2 int, size2 long, more long")
+    n = int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packs = packs.repartition(n, "bucket").sortWithinPartitions("bucket")
+    return packs.mapInArrow(run, "key long, line int, size long, key2 long, line2 int, size2 long, more long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, rank: np.ndarray, similarity: Fraction) -> DataFrame:
@@ -284,7 +421,7 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, rank: np.nd
         for batch in batches:
             wanted = batch.column("wanted").to_pylist()
             keys = batch.column("key").to_numpy()
-            for block in blocks(unpacked(batch.column("pack"))):
+            for block in blocks(unpacked(batch.column("pack")), SCAN_BYTES):
                 lines = Lines(block, rank)
                 size = lines.size.astype(np.int64) << _FRAG | (lines.node & U((1 << _FRAG) - 1)).astype(np.int64)
                 cut = np.searchsorted(lines.text, np.arange(block.n + 1))
@@ -305,6 +442,7 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, rank: np.nd
         pairs.select(F.col("key2").alias("key"), F.col("line2").alias("line"), F.col("size2").alias("size"))
     )
     wanted = wanted.distinct().groupBy("key").agg(F.collect_list(F.struct("line", "size")).alias("wanted"))
+    wanted = settled(wanted, "wanted")  # its size is known then: a few lines' texts need no shuffle
     texts = packed(docs, _key(key), text).join(wanted, "key").select("key", "wanted", "pack")
     words = settled(
         texts.mapInArrow(run, "key long, line int, size long, words array<long>").dropDuplicates(["key", "line", "size"]),
@@ -328,24 +466,28 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", sim
     different texts the order is fixed but arbitrary. Ids are integers. A null text has no words. A null id is
     ``LAST`` in the result. Columns beside the two are not read.
     """
-    counts = rarity(docs, text)
-    rank = ranks(counts)
-    all_places = settled(places(docs, key, text, rank), "places")
-    found = sets(docs, key, text, counts, similarity)
+    small_batches(docs.sparkSession)
+    rank = ranks(rarity(docs, text))
+    all_lines = settled(line_sets(docs, key, text, rank, similarity), "lines")
+    found = settled(sets(all_lines), "sets")
+    often = frequent(found)
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ask = ["key", "line", "size"]
-    first_round = settled(candidates(grouped(found), similarity, NEAREST), "candidates")
+    first_round = settled(candidates(dealt(found, often, parts, None), similarity, NEAREST), "candidates")
     pairs = first_round.select(*ask, "key2", "line2", "size2").distinct()
     hits = settled(verified(pairs, docs, key, text, rank, similarity).select(ask).distinct(), "similar")
     open_ = settled(first_round.where("more > 0").select(ask).distinct().join(hits, ask, "left_anti"), "open")
-    if open_.limit(1).count():
+    if not open_.isEmpty():
         size = F.col("n").cast("long") * (1 << _FRAG) + F.col("node").bitwiseAND((1 << _FRAG) - 1)
         marked = found.withColumns({"key": F.col("first.key"), "line": F.col("first.line"), "size": size})
         marked = marked.join(open_.withColumn("asks", F.lit(True)), ask, "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
-        rows = grouped(marked.drop(*ask))
-        used = rows.where("asks").select("token").distinct()
-        others = settled(candidates(rows.join(used, "token", "left_semi"), similarity, None).select(pairs.columns).distinct(), "others")
-        more = others.join(pairs, pairs.columns, "left_anti")
+        word = F.explode(F.transform("prefix", lambda x: F.shiftrightunsigned(x, 8))).alias("word")
+        asked = np.zeros(1 << 24, bool)  # a filter of fixed size; what it lets through beyond the asked does no harm
+        asked[marked.where("asks").select(word).distinct().toArrow().column(0).to_numpy()] = True
+        others = candidates(dealt(marked.drop(*ask), often, parts, asked), similarity, None).select(pairs.columns).distinct()
+        more = settled(others, "others").join(pairs, pairs.columns, "left_anti")
         hits = hits.unionByName(verified(more, docs, key, text, rank, similarity).select(ask).distinct())
+    all_places = all_lines.select("key", "line", "node")
     first = all_places.groupBy("node").agg(F.min(F.struct("key", "line")).alias("first"))
     placed = all_places.distinct().join(first, "node")
     again = placed.where((F.col("key") != F.col("first.key")) | (F.col("line") != F.col("first.line"))).select("key", "line")
@@ -378,13 +520,13 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
 
 
 def op10_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """doc_id, and the numbers of its lines that go."""
+    """doc_id, and the numbers of its lines that go, rising, as text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     gone = repeated_lines(docs).groupBy("key").agg(F.sort_array(F.collect_list("line")).alias("removed_lines"))
     keys = docs.select("doc_id", _key("doc_id").alias("key"))
     found = keys.join(gone, "key", "left").drop("key")
-    found = found.withColumn("removed_lines", F.coalesce("removed_lines", F.array().cast("array<int>")))
-    return found.withColumn("n_removed", F.size("removed_lines").cast("long"))
+    numbers = F.coalesce("removed_lines", F.array().cast("array<int>"))
+    return found.withColumns({"n_removed": F.size(numbers).cast("long"), "removed_lines": F.array_join(numbers, ",")})
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

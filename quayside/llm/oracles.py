@@ -109,7 +109,7 @@ g AS (
   UNION ALL SELECT doc_id, line FROM u WHERE id IN (SELECT b FROM m)
 )
 SELECT documents.doc_id, count(g.line) AS n_removed,
-  coalesce(list_sort(list(g.line::INT) FILTER (g.line IS NOT NULL)), []) AS removed_lines
+  coalesce(string_agg(g.line::VARCHAR, ',' ORDER BY g.line), '') AS removed_lines
 FROM documents LEFT JOIN g ON g.doc_id = documents.doc_id GROUP BY documents.doc_id
 """
 

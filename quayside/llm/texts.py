@@ -4,10 +4,21 @@ from __future__ import annotations
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of a batch that goes to a task's Python; 10,000 long texts at a time would fill its memory.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand at most ``BATCH_ROWS`` rows at a time to Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def packed(docs: DataFrame, key, text: str) -> DataFrame:
     """(key, pack): each text as a compressed block; a null is an empty text."""
 
