@@ -36,12 +36,13 @@ _BITS = 18
 BUCKETS, SLICES = 1 << _BITS, 64
 SPLIT, HEAVY, NEAREST, HELD_ROWS, HELD_PAIRS = 8192, 100_000, 8, 1 << 17, 1 << 20
 SCAN_BYTES = 1 << 19
-LAST = (1 << 63) - 1  # stands for a null id
+LAST = (1 << 63) - 1
 _FRAG = 16
 
 
-def _key(name: str):
-    return F.coalesce(F.col(name).cast("long"), F.lit(LAST))
+def _key(name: str, text: str):
+    """The id; a null id becomes a number from 2^62 on that follows from the text."""
+    return F.coalesce(F.col(name).cast("long"), F.lit(LAST) - F.pmod(F.xxhash64(text), F.lit(1 << 62)))
 
 
 def rarity(docs: DataFrame, text: str) -> np.ndarray:
@@ -171,7 +172,7 @@ def line_sets(docs: DataFrame, key: str, text: str, rank: np.ndarray, similarity
                 yield pa.RecordBatch.from_arrays(columns, ["node", "key", "line", "n", "bitmap", "prefix"])
 
     kind = "node long, key long, line int, n int, bitmap binary, prefix array<int>"
-    return docs.select(_key(key).alias("key"), text).mapInArrow(run, kind)
+    return docs.select(_key(key, text).alias("key"), text).mapInArrow(run, kind)
 
 
 def sets(rows: DataFrame) -> DataFrame:
@@ -443,7 +444,7 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, rank: np.nd
     )
     wanted = wanted.distinct().groupBy("key").agg(F.collect_list(F.struct("line", "size")).alias("wanted"))
     wanted = settled(wanted, "wanted")  # its size is known then: a few lines' texts need no shuffle
-    texts = packed(docs, _key(key), text).join(wanted, "key").select("key", "wanted", "pack")
+    texts = packed(docs, _key(key, text), text).join(wanted, "key").select("key", "wanted", "pack")
     words = settled(
         texts.mapInArrow(run, "key long, line int, size long, words array<long>").dropDuplicates(["key", "line", "size"]),
         "line-words",
@@ -461,10 +462,10 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", sim
     """(key, line): the lines to remove, counted from 0.
 
     A line goes if the set of its words has a Jaccard similarity of at least ``similarity`` with that of a line
-    before it, in order of (id, line), nulls last; places are equal only for rows with one id. Lines are split at
-    ``\\n``; one without words never goes. Rows equal in id and text are one document; among rows of one id with
-    different texts the order is fixed but arbitrary. Ids are integers. A null text has no words. A null id is
-    ``LAST`` in the result. Columns beside the two are not read.
+    before it, in order of (id, line), nulls last. Lines are split at ``\\n``; one without words never goes. Ids are
+    integers that tell texts apart: rows of one id are one document, and a line number that goes from one of them goes
+    from all. A null text has no words. A null id is replaced by a number from 2^62 on that follows from the text.
+    Columns beside the two are not read.
     """
     small_batches(docs.sparkSession)
     rank = ranks(rarity(docs, text))
@@ -474,7 +475,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", sim
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ask = ["key", "line", "size"]
     first_round = settled(candidates(dealt(found, often, parts, None), similarity, NEAREST), "candidates")
-    pairs = first_round.select(*ask, "key2", "line2", "size2").distinct()
+    pairs = settled(first_round.select(*ask, "key2", "line2", "size2").distinct(), "pairs")
     hits = settled(verified(pairs, docs, key, text, rank, similarity).select(ask).distinct(), "similar")
     open_ = settled(first_round.where("more > 0").select(ask).distinct().join(hits, ask, "left_anti"), "open")
     if not open_.isEmpty():
@@ -487,9 +488,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", sim
         others = candidates(dealt(marked.drop(*ask), often, parts, asked), similarity, None).select(pairs.columns).distinct()
         more = settled(others, "others").join(pairs, pairs.columns, "left_anti")
         hits = hits.unionByName(verified(more, docs, key, text, rank, similarity).select(ask).distinct())
-    all_places = all_lines.select("key", "line", "node")
-    first = all_places.groupBy("node").agg(F.min(F.struct("key", "line")).alias("first"))
-    placed = all_places.distinct().join(first, "node")
+    placed = all_lines.select("key", "line", "node").join(found.select("node", "first"), "node")
     again = placed.where((F.col("key") != F.col("first.key")) | (F.col("line") != F.col("first.line"))).select("key", "line")
     return again.unionByName(hits.select("key", "line")).distinct()
 
@@ -512,7 +511,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
         return pa.StructArray.from_arrays(parts, ["text", "n_lines"])
 
     cutter = arrow_udf(cut, "struct<text:string,n_lines:long>").asNondeterministic()
-    joined = docs.withColumn("__key", _key(key)).join(gone.withColumnRenamed("key", "__key"), "__key", "left")
+    joined = docs.withColumn("__key", _key(key, text)).join(gone.withColumnRenamed("key", "__key"), "__key", "left")
     joined = joined.withColumn("__cut", cutter(F.col(text), F.col("__gone")))
     removed = F.coalesce("__gone", F.array().cast("array<int>"))
     joined = joined.withColumn(out, F.struct(F.col("__cut.n_lines").alias("n_lines"), removed.alias("removed")))
@@ -523,7 +522,7 @@ def op10_line_dedup(spark, sf_dir: str) -> DataFrame:
     """doc_id, and the numbers of its lines that go, rising, as text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     gone = repeated_lines(docs).groupBy("key").agg(F.sort_array(F.collect_list("line")).alias("removed_lines"))
-    keys = docs.select("doc_id", _key("doc_id").alias("key"))
+    keys = docs.select("doc_id", _key("doc_id", "text").alias("key"))
     found = keys.join(gone, "key", "left").drop("key")
     numbers = F.coalesce("removed_lines", F.array().cast("array<int>"))
     return found.withColumns({"n_removed": F.size(numbers).cast("long"), "removed_lines": F.array_join(numbers, ",")})
