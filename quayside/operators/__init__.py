@@ -1,4 +1,4 @@
 from quayside.operators import core, manufacturing, purchase, sale, shop, stock  # noqa: F401
-from quayside.operators.registry import EXPORTS, compatible, export, exports
+from quayside.operators.registry import EXPORTS, compatible, export, exports, left_out
 
-__all__ = ["EXPORTS", "compatible", "export", "exports"]
+__all__ = ["EXPORTS", "compatible", "export", "exports", "left_out"]

@@ -89,3 +89,9 @@ def languages(erp: Erp) -> tuple[str, ...]:
     """The active languages for an :class:`Erp`; a handful of codes."""
     spark = erp["res_lang"].sparkSession
     return tuple(spark.range(1).select(active_languages(erp).alias("codes")).first().codes)
+
+
+def modules(erp: Erp) -> tuple[str, ...]:
+    """The installed modules for an :class:`Erp`; some hundreds of names."""
+    installed = erp["ir_module_module"].filter(F.col("state") == "installed")
+    return tuple(sorted(r.name for r in installed.select("name").dropna().distinct().collect()))

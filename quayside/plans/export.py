@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import __version__
-from quayside.operators import compatible, export
+from quayside.operators import EXPORTS, export, left_out
 from quayside.operators.chunks import MAX_CHUNK_ROWS, Cut, entity_cut, in_chunks
 from quayside.plans.manifest import file_facts, write_manifest
 from quayside.schemas import key_column, outbound_schema
@@ -72,13 +72,15 @@ def run_export(
 ) -> str:
     """Export entities below ``root`` and write their manifest. Returns the run's id.
 
-    Without ``entities``, all that the source can give. The manifest lists what this run wrote, not what
-    an earlier one left. An entity that fails is reported in it and the others go on. Entities do not depend
+    Without ``entities``, all but those whose declared modules or relations the source lacks, which the manifest's
+    warnings name. The manifest lists what this run wrote, not what an earlier one left. An entity that fails, for a
+    missing column too, is one of its errors and the others go on. Entities do not depend
     on each other, so ``jobs`` of them are handed to Spark at a time and small ones fill the gaps.
     """
     started, run_uuid = datetime.now(UTC), str(uuid.uuid4())
     seconds: dict[str, float] = {}
     errors: list[str] = []
+    absent = left_out(erp) if entities is None else {}
 
     def one(entity: str) -> None:
         begin = time.monotonic()
@@ -90,7 +92,7 @@ def run_export(
             errors.append(f"{entity}: {error}")
 
     with ThreadPoolExecutor(max_workers=jobs) as pool:
-        list(pool.map(one, entities if entities is not None else compatible(erp)))
+        list(pool.map(one, entities if entities is not None else [e for e in EXPORTS if e not in absent]))
     write_manifest(
         file_facts(spark, root, seconds).filter(F.col("collector").isin(*seconds)),
         root,
@@ -101,6 +103,7 @@ def run_export(
         started_at=started,
         finished_at=datetime.now(UTC),
         errors=sorted(errors),
+        warnings=[f"{entity}: left out, the source has no {what}" for entity, what in absent.items()],
         capabilities=capabilities,
     )
     return run_uuid

@@ -113,12 +113,16 @@ def view_catalog(spark: SparkSession, names: Iterable[str]) -> Catalog:
 
 @dataclass(frozen=True)
 class Erp:
-    """A source to export from: its relations, its version (``"18"`` or ``"19"``) and languages."""
+    """A source to export from: its relations, its version (``"18"`` or ``"19"``), languages and installed modules.
+
+    Without ``modules`` they are not looked at; ``operators.profile.modules`` reads them.
+    """
 
     tables: Catalog
     variant: str = "19"
     languages: tuple[str, ...] = ("en_US",)
     price_key: str | None = None
+    modules: tuple[str, ...] | None = None
 
     def __post_init__(self) -> None:
         if self.variant not in ("18", "19"):

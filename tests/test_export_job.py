@@ -8,8 +8,8 @@ import pytest
 
 from checks.exports import erp
 from quayside import __version__
-from quayside.operators import compatible
-from quayside.operators.profile import profile
+from quayside.operators import EXPORTS, compatible, registry
+from quayside.operators.profile import modules, profile
 from quayside.plans.export import read_entity, run_export, versions_of, write_entity
 from quayside.plans.manifest import (
     build_manifest, file_facts, manifest_files, malformed_entries, read_manifest, recount, validate_manifest, write_manifest,
@@ -103,6 +103,28 @@ def test_entities_a_source_can_give(spark, sf_dir):
     assert compatible(Erp(less, "19", ("en_US",))) == ["uom", "country"]
 
 
+def test_full_export_hides_no_entity(spark, sf_dir, tmp_path, monkeypatch):
+    source = erp(spark, sf_dir)
+    names = ("uom_uom", "res_country", "res_partner", "sale_order", "ir_module_module")
+    less = Catalog({n: (lambda n=n: source[n]) for n in names}).without(columns={"res_partner": ["customer_rank"]})
+
+    def bug(erp):
+        raise KeyError("bug")
+
+    monkeypatch.setattr(registry, "EXPORTS", only := {e: EXPORTS[e] for e in ("uom", "partner", "sale_order", "stock_quant", "country")})
+    monkeypatch.setattr("quayside.plans.export.EXPORTS", only)
+    monkeypatch.setitem(only, "country", bug)
+    run_export(Erp(less, "19", ("en_US",), modules=("base", "stock")), str(tmp_path), spark=spark)
+    doc = document(tmp_path)
+    assert {f["collector"] for f in doc["files"]} == {"uom"}
+    assert [e.split(":")[0] for e in doc["errors"]] == ["country", "partner"] and "customer_rank" in doc["errors"][1]
+    assert doc["warnings"] == [
+        "sale_order: left out, the source has no module sale", "stock_quant: left out, the source has no relation stock_quant",
+    ]
+    assert modules(source) == ("base", "purchase", "sale", "stock")
+    assert set(registry.REQUIRED) <= set(EXPORTS)
+
+
 def test_malformed_manifests(spark, tmp_path):
     def check(content):
         (tmp_path / "manifest.json").write_text(json.dumps(content))
