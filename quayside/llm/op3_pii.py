@@ -37,13 +37,26 @@ PATTERN = re.compile(
   | (?P<date>(?<![\w.-])(?:\d{4}(?P<s1>[-/.])\d{2}(?P=s1)\d{2}|\d{2}(?P<s2>[-/.])\d{2}(?P=s2)\d{4})(?![\w-]|\.\d))
   | (?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))
   | (?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3,4}[ .-]\d{3,4}(?!\w|-\d)
-      | (?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w|[.-]\d))
+      | (?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w|[.-]\d)
+      | (?<![\w+])\+\d{1,3}(?:[ .-]?\(\d\)|(?:[ .-]|(?<=\)))\d(?=[ .-])){1,2}(?:[ .-]?\d{2,4}){2,4}(?!\w|[.-]\d))
   | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
   | (?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<s3>[ -])\d{4}(?P=s3)\d{4}(?P=s3)\d{1,7}|\d{4}(?P<s4>[ -])\d{6}(?P=s4)\d{5})(?![\w-]))
     """,
     re.VERBOSE,
 )
 
+# How long an IBAN of a country is.
+IBAN_LENGTHS = {
+    c[:2]: int(c[2:])
+    for c in """
+    AD24 AE23 AL28 AO25 AT20 AZ28 BA20 BE16 BF28 BG22 BH22 BI27 BJ28 BR29 BY28 CF27 CG27 CH21 CI28 CM27 CR22 CV25 CY28
+    CZ24 DE22 DJ27 DK18 DO28 DZ26 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GA27 GB22 GE22 GI23 GL18 GQ27 GR27 GT28 GW25 HN28
+    HR21 HU28 IE22 IL23 IQ23 IR26 IS26 IT27 JO30 KM27 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MA28 MC27 MD24 ME22
+    MG27 MK19 ML28 MN20 MR27 MT31 MU30 MZ25 NE28 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31
+    SD18 SE24 SI19 SK24 SM27 SN28 SO23 ST25 SV28 TD27 TG28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30
+    """.split()
+}
+
 
 class Permutation:
     """A keyed one-to-one map of 0 .. n - 1 onto itself."""
@@ -125,6 +138,17 @@ class Pseudonyms:
         shape = "".join(c if not a else a[0] for c, a in zip(value, alphabets, strict=True))
         return spelled(self.number(f"{kind} {shape}", n, x, lambda x: allowed(spelled(x))))
 
+    def begin(self, kind: str, value: str) -> tuple[int, str] | None:
+        """The length of the part from the begin of ``value`` that is valid, and its pseudonym.
+
+        What follows an IBAN or a phone number can look like one more group of it.
+        """
+        for end in ENDS[kind](value) if kind in ENDS else (len(value),):
+            other = self.of(kind, value[:end])
+            if other is not None:
+                return end, other
+        return None
+
     def of(self, kind: str, value: str) -> str | None:
         """The pseudonym, or None if ``value`` is not valid."""
         return getattr(self, f"_{kind}")(value)
@@ -186,12 +210,21 @@ class Pseudonyms:
         return "".join(next(rest) if c.isdigit() else c for c in value)
 
     def _iban(self, value: str) -> str | None:
-        bare = value.replace(" ", "")
-        if not 15 <= len(bare) <= 34 or iban_check(bare[:2], bare[4:]) != bare[2:4]:
+        if not iban_valid(value):
             return None
-        body = self.characters(f"iban {bare[:2]}", bare[4:], [_alphabet(c) for c in bare[4:]])
-        rest = iter(bare[:2] + iban_check(bare[:2], body) + body)
-        return "".join(c if c == " " else next(rest) for c in value)
+        bare = value.replace(" ", "")
+
+        def spelled(body: str) -> str:
+            rest = iter(bare[:2] + iban_check(bare[:2], body) + body)
+            return "".join(c if c == " " else next(rest) for c in value)
+
+        def same_end(body: str) -> bool:  # so that it is read with the same end again
+            other = spelled(body)
+            return not any(iban_valid(other[:end]) for end in iban_ends(other)[:-1])
+
+        # a value with an earlier valid end never comes here from a text
+        allowed = same_end if same_end(bare[4:]) else lambda body: True
+        return spelled(self.characters(f"iban {bare[:2]}", bare[4:], [_alphabet(c) for c in bare[4:]], allowed))
 
     def _date(self, value: str) -> str | None:
         if value[4] in "-/.":
@@ -226,17 +259,39 @@ def iban_check(country: str, body: str) -> str:
     return f"{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02d}"
 
 
+def iban_valid(value: str) -> bool:
+    bare = value.replace(" ", "")
+    return 15 <= len(bare) <= 34 and iban_check(bare[:2], bare[4:]) == bare[2:4]
+
+
+def iban_ends(value: str) -> list[int]:
+    """Where an IBAN at the begin of ``value`` may end: at its country's length, or else with the whole value."""
+    places = [i + 1 for i, c in enumerate(value) if c != " "]
+    length = IBAN_LENGTHS.get(value[:2], len(places))
+    known = [places[length - 1]] if length < len(places) and value[places[length - 1]] == " " else []
+    return [*known, len(value)]
+
+
+def phone_ends(value: str) -> list[int]:
+    """Where a phone number at the begin of ``value`` may end: with the whole value, or else before a space."""
+    return [len(value), *(i for i in range(len(value) - 1, 0, -1) if value[i] == " ")] if value[0] == "+" else [len(value)]
+
+
+ENDS = {"iban": iban_ends, "phone": phone_ends}
+
+
 def replaced(text: str, names: Pseudonyms) -> tuple[str, list[dict]]:
     """The text with pseudonyms, and what was found: kind, begin and end in code points of the given text, pseudonym."""
     out, found, last, at = [], [], 0, 0
     while m := PATTERN.search(text, at):
         kind = next(k for k in KINDS if m[k] is not None)
-        other = names.of(kind, m[kind])
-        at = m.start() + 1 if other is None else m.end()  # an invalid match may hide a valid one
-        if other is not None:
-            out += [text[last : m.start()], other]
-            found.append({"kind": kind, "begin": m.start(), "end": m.end(), "pseudonym": other})
-            last = m.end()
+        valid = names.begin(kind, m[kind])
+        at = m.start() + 1  # an invalid match may hide a valid one
+        if valid is not None:
+            at = m.start() + valid[0]
+            out += [text[last : m.start()], valid[1]]
+            found.append({"kind": kind, "begin": m.start(), "end": at, "pseudonym": valid[1]})
+            last = at
     return "".join([*out, text[last:]]), found
 
 
@@ -247,7 +302,7 @@ _FOUND = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("end
 def pseudonymise(docs: DataFrame, text: str = "text", key: bytes = KEY, out: str = "pii", back: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in ``text`` and a column ``out`` of what was replaced, in order.
 
-    Card numbers must pass the Luhn test, IBANs modulo 97, dates the calendar (1900 to 2099), addresses the octet range;
+    Card numbers must pass the Luhn test, IBANs modulo 97 (at their country's length, or else with all groups), dates the calendar (1900 to 2099), addresses the octet range;
     what fails stays. Of a card the first digit stays, of an e-mail address the domain, of a phone number the country
     code. ``back`` turns pseudonyms made with the same key into the values. A null text stays null and has nothing;
     equal rows get equal results; ``out`` replaces a column of that name and other columns stay.

@@ -169,6 +169,32 @@ def test_formats_keep_their_shape_and_come_back():
     assert pii.replaced(VALUES["card"], names)[1][0]["pseudonym"].replace(" ", "") == bare  # linked whatever separates it
 
 
+FOLLOWED = {
+    "iban": [
+        "AT61 1904 3002 3457 3201", "AT611904300234573201", "BE68 5390 0754 7034", "ES9121000418450200051332", "DE89 3704 0044 0532 0130 00",
+        "SE45 5000 0000 0583 9825 7466", "PL61 1090 1014 0000 0712 1981 2874", "CZ65 0800 0000 1920 0014 5399", "SK31 1200 0000 1987 4263 7541",
+        "RO49 AAAA 1B31 0075 9384 0000", "HU42 1177 3016 1111 1018 0000 0000", "EE38 2200 2210 2014 5685", "NO93 8601 1117 947",
+    ],
+    "phone": [
+        "+33 6 12 34 56 78", "+61 2 9374 4000", "+46 8 123 456 78", "+32-2-555-12-12", "+61 (2) 9374 4000", "+33 (0)6 12 34 56 78",
+        "+54 9 11 1234 5678", "+44 20 7946 0958",
+    ],
+}
+
+
+@pytest.mark.parametrize("kind, value", [(k, v) for k, values in FOLLOWED.items() for v in values])
+def test_a_following_word_hides_no_value(kind, value):
+    names, back = pii.Pseudonyms(b"key"), pii.Pseudonyms(b"key", back=True)
+    alone = pii.replaced(value, names)[1][0]["pseudonym"]
+    words = ["", ".", " EUR", " BIC", " EUROPE", " ES91", " eur", f" {value}"] + ([" 2024", " 1 234", " 12"] if kind == "iban" else [" 5 of"])
+    for word in words + ([" 2024"] if value in ("+33 6 12 34 56 78", "+44 20 7946 0958") else []):
+        text, found = pii.replaced(f"to {value}{word}", names)
+        first = found[0]
+        assert (first["kind"], first["begin"], first["end"], first["pseudonym"]) == (kind, 3, 3 + len(value), alone), word
+        assert [f["kind"] for f in found] == [kind] * (1 + (word[1:] == value)) and alone != value
+        assert pii.replaced(text, back)[0] == f"to {value}{word}"
+
+
 def test_dates_of_both_readings_never_meet():
     names = pii.Pseudonyms(b"key")
     given = [f"{a:02d}/{b:02d}/2020" for a, b in itertools.product(range(1, 32), range(1, 32))]
