@@ -178,7 +178,7 @@ def _streamed(name):
         folder, sink = _decision_file(spark, sf_dir), scratch_path(spark, "planned")
         state = scratch_path(spark, "state")
         plan_stream(spark, folder, erp(spark, sf_dir), COMPANY, sink, state).awaitTermination()
-        return spark.read.parquet(f"{sink}/{name}").drop("batch")
+        return spark.read.parquet(f"{sink}/{name}").drop("batch", "prefix")
 
     return run
 

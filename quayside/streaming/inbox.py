@@ -1,12 +1,14 @@
-"""The decision inbox as a stream: each new Parquet file is planned once."""
+"""The decision inbox as a stream: each new drop is planned once and alone."""
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from quayside.plans.receive import Received, receive
 from quayside.plans.writeback import ORIGIN, plan_decisions
 from quayside.schemas import decision_schema
 from quayside.sources.catalog import Erp, utc
@@ -21,6 +23,15 @@ def decision_stream(spark: SparkSession, folder: str, files_per_batch: int | Non
     return reader.parquet(folder)
 
 
+def manifest_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Manifests dropped anywhere below ``folder``, as an unbounded table of their texts."""
+    reader = utc(spark).readStream.option("wholetext", True).option("recursiveFileLookup", True)
+    reader = reader.option("pathGlobFilter", "manifest.json")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(folder)
+
+
 def plan_stream(
     spark: SparkSession,
     folder: str,
@@ -32,26 +43,51 @@ def plan_stream(
     cleanup: bool = True,
     files_per_batch: int | None = None,
     jobs: int = 4,
+    manifests: bool = False,
 ) -> StreamingQuery:
-    """Plan all new files and stop. A batch that is run again overwrites its own folders only.
+    """Plan all new drops and stop. A batch that is run again overwrites its own folders only.
+
+    A drop is what lies under one prefix: ``decisions.parquet``, or other Parquet files of one folder. Drops that
+    wait together share a batch but are planned one by one; ``prefix`` in each table tells them apart. With
+    ``manifests`` a new ``manifest.json`` is what starts a drop, so it must come last: what it lists is planned by
+    :func:`receive`, or its errors are written to the table ``refused``. Without, files are planned unchecked.
 
-    The tables of a batch are independent; ``jobs`` of them are written at a time.
+    The tables of a drop are independent; ``jobs`` of them are written at a time.
     """
+    files = (manifest_stream if manifests else decision_stream)(spark, folder, files_per_batch)
+    path = F.col("_metadata.file_path")
+    files = files.withColumn("__prefix", F.regexp_replace(path, r"(/decisions\.parquet/.*|/[^/]+)$", ""))
+
+    def planned(batch: DataFrame, prefix: str) -> Received:
+        if manifests:
+            # the path as a name: a file path is given as a URI
+            name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(prefix)).toString()
+            return receive(spark, name, erp, company_id, origin, cleanup)
+        rows = batch.filter(F.col("__prefix") == prefix).drop("__prefix")
+        return Received(spark.createDataFrame([], "error string, detail string"), plan_decisions(rows, erp, company_id, origin, cleanup))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        plan = plan_decisions(batch, erp, company_id, origin, cleanup)
-        tables = plan.writes | {f"delete_{k}": v for k, v in plan.deletes.items()}
-        tables |= {"outcome": plan.outcome, "messages": plan.messages}
+        begun: set[str] = set()
+        for prefix in sorted(r[0] for r in batch.select("__prefix").distinct().collect()):
+            got = planned(batch, prefix)
+            if got.batch is None:
+                tables = {"refused": got.errors}
+            else:
+                plan = got.batch
+                tables = plan.writes | {f"delete_{k}": v for k, v in plan.deletes.items()}
+                tables |= {"outcome": plan.outcome, "messages": plan.messages}
 
-        def write(name: str) -> None:
-            tables[name].write.mode("overwrite").parquet(f"{sink}/{name}/batch={batch_id}")
+            def write(name: str, tables=tables, prefix=prefix) -> None:
+                mode = "append" if name in begun else "overwrite"
+                rows = tables[name].withColumn("prefix", F.lit(prefix))
+                rows.write.mode(mode).parquet(f"{sink}/{name}/batch={batch_id}")
 
-        with ThreadPoolExecutor(max_workers=jobs) as pool:
-            list(pool.map(write, tables))
+            with ThreadPoolExecutor(max_workers=jobs) as pool:
+                list(pool.map(write, tables))
+            begun |= set(tables)
 
-    stream = decision_stream(spark, folder, files_per_batch)
     return (
-        stream.writeStream.foreachBatch(apply)
+        files.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from quayside.operators import runlog
 from quayside.operators.profile import languages, mode_of, profile
+from quayside.plans.manifest import file_facts, write_manifest
+from quayside.plans.receive import receive
 from quayside.plans.writeback import PLANNERS
 from quayside.schemas import decision_schema
 from quayside.sources.catalog import parquet_catalog, view_catalog
@@ -105,6 +107,65 @@ def test_stream_plans_each_file_once(spark, source, tmp_path):
     assert list_files(spark, sink, "*.parquet").count() > len(PLANNERS)
 
 
+def dropped(spark, path, seed, listed=True):
+    """A drop with a manifest that lists its decisions, or nothing; the expected outcome."""
+    rows = random_decisions(seed, 60)
+    spark.createDataFrame(rows, decision_schema()).coalesce(1).write.parquet(f"{path}/decisions.parquet")
+    facts = file_facts(spark, str(path)).filter(F.lit(listed))
+    write_manifest(facts, str(path), company="", company_id=COMPANY, source_version="", run_uuid="u", started_at=None,
+                   finished_at=datetime(2024, 1, 1))
+    return loop(rows)[1]
+
+
+def spoil(path):
+    (file,) = path.glob("decisions.parquet/*.parquet")
+    file.with_name(f".{file.name}.crc").unlink()
+    file.write_bytes(b"other")
+
+
+def counts(rows):
+    return {r.decision_type: (r.created, r.updated, r.errors) for r in rows}
+
+
+def test_receive_plans_what_the_manifest_lists(spark, source, tmp_path):
+    erp = source(**RELATIONS)
+
+    def refused(path):
+        got = receive(spark, str(path), erp, COMPANY)
+        assert got.batch is None
+        return [(r.error, (r.detail or "")[:17]) for r in got.errors.collect()]
+
+    expected = dropped(spark, tmp_path / "a", 1)
+    got = receive(spark, str(tmp_path / "a"), erp, COMPANY)
+    assert got.errors.count() == 0 and counts(got.batch.outcome.collect()) == expected
+    spoil(tmp_path / "a")
+    assert refused(tmp_path / "a") == [("Manifest validation failed", "Checksum mismatch")]
+    dropped(spark, tmp_path / "unlisted", 2, listed=False)
+    assert refused(tmp_path / "unlisted") == [("No decisions.parquet found", "")]
+    (tmp_path / "none").mkdir()
+    assert refused(tmp_path / "none") == [("No manifest.json found", "")]
+    (tmp_path / "none" / "manifest.json").write_text("{")
+    assert refused(tmp_path / "none") == [("manifest.json is not a JSON document", "")]
+
+
+@pytest.mark.parametrize("manifests", [False, True])
+def test_drops_that_wait_together_are_planned_alone(spark, source, tmp_path, manifests):
+    inbox, sink = tmp_path / "in", str(tmp_path / "out")
+    expected = {n: dropped(spark, inbox / n, seed) for n, seed in (("a", 21), ("b", 22))}
+    dropped(spark, inbox / "bad", 23)
+    if manifests:
+        spoil(inbox / "bad")
+    else:
+        expected["bad"] = loop(random_decisions(23, 60))[1]
+    plan_stream(spark, str(inbox), source(**RELATIONS), COMPANY, sink, str(tmp_path / "state"), manifests=manifests).awaitTermination()
+    rows = spark.read.parquet(f"{sink}/outcome").collect()
+    assert {r.batch for r in rows} == {0}
+    names = {r.prefix: r.prefix.rsplit("/", 1)[1] for r in rows}
+    assert {n: counts(r for r in rows if r.prefix == p) for p, n in names.items()} == expected
+    if manifests:
+        assert [(r.error, r.prefix[-3:]) for r in spark.read.parquet(f"{sink}/refused").collect()] == [("Manifest validation failed", "bad")]
+
+
 def test_catalogs(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "res_lang"))
     stored = parquet_catalog(spark, str(tmp_path), ["res_lang", "absent"])
