@@ -132,6 +132,7 @@ def mixture(
     rows = sized.groupBy("__pattern").agg(F.sum("__size")).limit(MAX_PATTERNS + 1).collect()
     if len(rows) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    spelled = {tuple(json.loads(p)): p for p, _ in rows}  # as Spark spells it; another JSON writer may differ
     supply = {tuple(json.loads(p)): n for p, n in sorted(rows)}
     names = sorted({s for p in supply for s in p}, key=lambda s: (s is None, s or ""))
     sizes = {s: sum(n for p, n in supply.items() if s in p) for s in names}
@@ -143,7 +144,7 @@ def mixture(
     for p, n in supply.items():
         f = sum(flow[p].values())
         rounds = f // n if n else 0
-        plan.append((json.dumps(p, ensure_ascii=False, separators=(",", ":")), int(rounds), int(f - rounds * n)))
+        plan.append((spelled[p], int(rounds), int(f - rounds * n)))
     wanted = spark.createDataFrame(plan, "__pattern string, rounds long, rest long")
     left = sized.where("__size > 0").join(F.broadcast(wanted.where("rest > 0")), "__pattern")  # at most MAX_PATTERNS rows
     cell = F.shiftright("__order", 52)
@@ -165,7 +166,7 @@ def mixture(
         )).alias("at"),
     ).where("at.off >= 0")
     near = near.groupBy("__pattern").agg(F.min("at").alias("at")).select("__pattern", F.col("at.last").alias("last"))
-    routed = [(json.dumps(p, ensure_ascii=False, separators=(",", ":")), s, int(n)) for p, to in flow.items() for s, n in to.items()]
+    routed = [(spelled[p], s, int(n)) for p, to in flow.items() for s, n in to.items()]
     return Mix(
         settled(wanted.join(near, "__pattern", "left"), "plan"),
         spark.createDataFrame(routed, "pattern string, source string, words long"),

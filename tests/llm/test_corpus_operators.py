@@ -137,6 +137,19 @@ def test_mix_comes_near_its_targets_and_reruns_agree(spark):
     assert mixing.mixture(docs.limit(0)).sized.count() == 0
 
 
+def test_sources_with_control_characters_stay(spark):
+    names = ["a\x0b", "\x1b", "\x7f\u2028", "a\x00", 'q"\\/', "é🙂", "plain", "", None]
+    docs = frame(spark, ["one two three", "four"] * len(names), sources=[n for n in names for _ in range(2)])
+    m = mixing.mixture(docs)
+    rows = mixing.copies(m.sized, m.plan)
+    assert rows.count() == docs.count() and {r.source for r in m.sources.collect()} == set(names)
+    assert m.routes.join(m.plan, F.col("pattern") == F.col("__pattern")).count() == len(names)
+    taken = collections.Counter()
+    for r in mixing.stage(spark, docs, "").collect():
+        taken[r.source] += len(r.text.split())
+    assert all(abs(taken[r.source] - r.target) <= 3 for r in m.sources.collect())
+
+
 def test_overlapping_sources(spark):
     docs = frame(spark, ["a b c"] * 6).withColumn("sources", F.expr("CASE WHEN doc_id < 2 THEN array('x') WHEN doc_id < 4 THEN array('x','y') ELSE array('y') END"))
     m = mixing.mixture(docs, members=F.col("sources"))
