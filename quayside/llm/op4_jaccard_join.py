@@ -154,7 +154,7 @@ def _verifier(words: int, similarity: Fraction):
         for batch in batches:
             rows = batch.drop_columns(["text"]).to_pylist()
             for block in blocks(batch.column("text")):
-                owner, grams, nodes = word_grams(block, words)
+                owner, grams, _ = word_grams(block, words)
                 cut = np.searchsorted(owner, np.arange(block.n + 1))
                 for i in range(block.n):
                     row = rows[block.first + i]
@@ -163,14 +163,23 @@ def _verifier(words: int, similarity: Fraction):
                         if done := flush():
                             yield done
                         group, held = at, {}
-                    if nodes[i].view(np.int64) == row["node"]:  # rows of another text may share its key
-                        held[row["node"]] = (row["copies"], row["part"], np.unique(grams[cut[i] : cut[i + 1]]))
+                    held[row["node"]] = (row["copies"], row["part"], np.unique(grams[cut[i] : cut[i + 1]]))
         if done := flush():
             yield done
 
     return run
 
 
+def _node(words: int):
+    """The node of a text as a column function; 0 for a text without words."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        found = [word_grams(b, words)[2] for b in blocks(texts)]
+        return pa.array((np.concatenate(found) if found else np.zeros(0, np.uint64)).view(np.int64))
+
+    return arrow_udf(run, "long").asNondeterministic()
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similarity: Fraction = SIMILARITY,
     recall: float = RECALL,
@@ -202,8 +211,10 @@ def near_duplicates(
     members = members.join(sizes.select("label", "parts"), "label").withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("parts"))
     )
-    texts = docs.select(F.col(key).alias("at"), F.col(text).alias("text"))
-    found = members.join(texts, F.col("key").eqNullSafe(F.col("at"))).select(
+    # one text for each node: an id may be missing or shared by many texts, and copies vanish before they travel
+    texts = docs.select(_node(words)(F.col(text)).alias("node"), F.col(text).alias("text")).where("node <> 0")
+    texts = texts.groupBy("node").agg(F.any_value("text").alias("text"))
+    found = members.join(texts, "node").select(
         F.col("label").alias("comp"), "node", "copies", "part", "text",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"),
     )
@@ -236,16 +247,11 @@ def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", "class_id", "n_links")
 
 
-def _node(texts: pa.Array) -> pa.Array:
-    found = [word_grams(b, WORDS)[2] for b in blocks(texts)]
-    return pa.array((np.concatenate(found) if found else np.zeros(0, np.uint64)).view(np.int64))
-
-
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: that with the smallest id. Of rows with equal id and words one stays."""
     kept = near_duplicates(docs).where("keeper").select(
         F.col("doc_id").alias("__key"), F.coalesce("node", F.lit(0).cast("long")).alias("__at")
     ).distinct()
-    tagged = docs.withColumn("__node", arrow_udf(_node, "long").asNondeterministic()(F.col("text")))
+    tagged = docs.withColumn("__node", _node(WORDS)(F.col("text")))
     same = F.col("doc_id").eqNullSafe(F.col("__key")) & (F.col("__node") == F.col("__at"))
     return tagged.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__node"]).drop("__node")

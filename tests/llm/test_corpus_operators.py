@@ -99,6 +99,31 @@ def test_near_stage_with_odd_ids(spark):
 # mixing
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_texts_of_one_id_are_read_once(spark, monkeypatch, doc_id):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words, f"x{i}"]) for i in range(40)] * 2
+    read, verifier = spark.sparkContext.accumulator(0), near._verifier
+
+    def counting(*given):
+        run = verifier(*given)
+
+        def counted(batches):
+            def seen():
+                for batch in batches:
+                    read.add(batch.num_rows)
+                    yield batch
+
+            yield from run(seen())
+
+        return counted
+
+    monkeypatch.setattr(near, "_verifier", counting)
+    docs = frame(spark, texts, ids=[doc_id] * len(texts))
+    assert {r.n_links for r in near.near_duplicates(docs).collect()} == {79}
+    assert read.value == 40
+
+
 def test_targets_stop_and_share_again():
     got = mixing.targets({"a": 10, "b": 100, "c": 100}, {"a": 5, "b": 2, "c": 1}, 150, 2)
     assert got["a"] == 20 and abs(got["b"] - 130 * 2 / 3) < 1e-9 and abs(sum(got.values()) - 150) < 1e-9
