@@ -113,4 +113,35 @@ SELECT documents.doc_id, count(g.line) AS n_removed,
 FROM documents LEFT JOIN g ON g.doc_id = documents.doc_id GROUP BY documents.doc_id
 """
 
-ORACLES = {"op4_jaccard_join": OP4, "op6_suffix_dedup": OP6, "op7_quality_rules": OP7, "op10_line_dedup": OP10}
+#: Every window of a document beside every window of an item of the same length.
+OP12 = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+i AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, w[s:s + least(len(w), 10) - 1] AS g
+  FROM b, unnest(range(1, greatest(len(w) - 8, 2))) AS t(s) WHERE len(w) > 0
+),
+d AS (
+  SELECT doc_id, s, n, w[s:s + n - 1] AS g FROM w, (SELECT DISTINCT n FROM i) AS k, unnest(range(1, len(w) - n + 2)) AS t(s)
+),
+m AS (SELECT doc_id, s, n, item_id FROM d JOIN i USING (n, g)),
+h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS j FROM m) GROUP BY doc_id),
+x AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, coalesce(item_id::VARCHAR, '') AS id FROM m) GROUP BY doc_id
+)
+SELECT w.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN h USING (doc_id) LEFT JOIN x USING (doc_id)
+"""
+
+ORACLES = {
+    "op4_jaccard_join": OP4, "op6_suffix_dedup": OP6, "op7_quality_rules": OP7, "op10_line_dedup": OP10,
+    "op12_decontamination": OP12,
+}
