@@ -1,7 +1,8 @@
 """Texts of an Arrow batch as byte blocks: words, lines and hashes without a Python object per word.
 
-A word is a run of bytes outside space and 0x09-0x0D. Hashes are 64-bit polynomials modulo 2^64,
-mixed; they are the same on every machine and for every batching.
+A word is a run of bytes outside space and 0x09-0x0D. A span's hash is its polynomial at two points modulo the
+prime 2^31 - 1, mixed; unlike one modulo 2^64 it has no texts that collide for every point. Hashes are the
+same on every machine and for every batching.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ import pyarrow as pa
 #: Bytes of text handled at once; a longer text makes a block of its own.
 BLOCK_BYTES = 1 << 20
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
+_PRIME = (1 << 31) - 1
+_POINTS = (0x3243F6A9, 0x5BF0A8B1)  # any two numbers below the prime
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
@@ -30,13 +32,13 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 @cache
 def _powers_of(base: int, bits: int) -> np.ndarray:
-    powers = np.full(1 << bits, base, np.uint64)
-    powers[0] = 1
-    return np.cumprod(powers, dtype=np.uint64)
+    powers = np.ones(1 << bits, np.uint64)
+    for i in range(bits):  # each round knows twice as many
+        powers[1 << i : 2 << i] = powers[: 1 << i] * U(pow(base, 1 << i, _PRIME)) % U(_PRIME)
+    return powers
 
 
-def powers(n: int, inverse: bool = False) -> np.ndarray:
-    base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
+def _powers(n: int, base: int) -> np.ndarray:
     return _powers_of(base, max(16, int(n).bit_length()))[:n]
 
 
@@ -54,14 +56,22 @@ class Block:
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A hash of the bytes of each span."""
         if self._prefix is None:
-            self._prefix = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum((self.data.astype(np.uint64) + U(1)) * powers(len(self.data)), out=self._prefix[1:])
-        raw = (self._prefix[ends] - self._prefix[starts]) * powers(len(self.data) + 1, inverse=True)[starts]
-        return mix(raw + (ends - starts).astype(np.uint64))
+            self._prefix = [self._sums(p) for p in _POINTS]
+        parts = []
+        for point, prefix in zip(_POINTS, self._prefix, strict=True):
+            back = _powers(len(self.data) + 1, pow(point, -1, _PRIME))[starts]
+            parts.append((prefix[ends] - prefix[starts]) % U(_PRIME) * back % U(_PRIME))
+        return mix(parts[0] << U(32) | parts[1])
+
+    def _sums(self, point: int) -> np.ndarray:
+        terms = (self.data.astype(np.uint64) + U(1)) * _powers(len(self.data), point)
+        if len(terms) > 1 << 24:  # below, the sum of products stays under 2^64
+            terms %= U(_PRIME)
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Byte starts and ends of all words; no word crosses a text."""
-        return self._runs(SPACE[self.data])
+        return self.runs(SPACE[self.data])
 
     def lines(self) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of all ``\\n``-split lines, empty ones and the last one included."""
@@ -70,7 +80,8 @@ class Block:
         ends = np.sort(np.concatenate([self.bounds[1:], breaks]), kind="stable")
         return starts, ends
 
-    def _runs(self, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def runs(self, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the runs of bytes that are no gap; no run crosses a text."""
         n = len(gap)
         edge = np.zeros(n + 1, bool)
         edge[self.bounds] = True

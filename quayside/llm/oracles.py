@@ -141,7 +141,39 @@ SELECT w.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
 FROM w LEFT JOIN h USING (doc_id) LEFT JOIN x USING (doc_id)
 """
 
+_PIECE = r"unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'))"
+
+#: All phrases of up to 5 words by language and text; those frequent enough beside all their cuts and all phrases inside them.
+OP13 = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, {_PIECE} AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+f AS (
+  SELECT lang || ' ' || array_to_string(w[i:i + k - 1], ' ') AS g, k, count(*) AS f
+  FROM w, unnest(range(1, 6)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY ALL
+),
+total AS (SELECT split_part(g, ' ', 1) AS lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY ALL),
+c AS (SELECT split_part(g, ' ', 1) AS lang, g, string_split(g, ' ')[2:] AS w, k, f AS a FROM f WHERE k > 1 AND f >= 100),
+cuts AS (
+  SELECT *, lang || ' ' || array_to_string(w[1:i], ' ') AS x, lang || ' ' || array_to_string(w[i + 1:], ' ') AS y
+  FROM c, unnest(range(1, k)) AS t(i)
+),
+lefts AS (SELECT cuts.*, f AS l FROM cuts JOIN f ON f.g = x),
+rights AS (SELECT lefts.*, f AS r FROM lefts JOIN f ON f.g = y),
+scores AS (SELECT rights.*, n, (1000::HUGEINT * a * n) // (l::HUGEINT * r) AS score FROM rights JOIN total USING (lang)),
+least_ AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY score, i) AS cut FROM scores),
+inside AS (
+  SELECT lang || ' ' || array_to_string(w[i:i + m - 1], ' ') AS g, max(a) AS f
+  FROM c, unnest(range(2, k)) AS s(m), unnest(range(1, k - m + 2)) AS t(i) GROUP BY ALL
+),
+kept AS (
+  SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, n, score FROM least_ LEFT JOIN inside USING (g)
+  WHERE cut = 1 AND (inside.f IS NULL OR 100 * inside.f < 100 * a)
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op4_jaccard_join": OP4, "op6_suffix_dedup": OP6, "op7_quality_rules": OP7, "op10_line_dedup": OP10,
-    "op12_decontamination": OP12,
+    "op12_decontamination": OP12, "op13_collocations": OP13,
 }
