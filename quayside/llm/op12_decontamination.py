@@ -95,11 +95,11 @@ def shifts(index: Index, windows: DataFrame) -> DataFrame:
         "item", "row", (F.col("pos") - F.col("at")).alias("shift"), "term2", (F.col("pos") - F.col("at") + F.col("at2")).alias("pos2")
     )
     first = settled(first.distinct(), "first")
-    others = index.postings.join(anchors.select(F.col("term2").alias("term")).distinct(), "term", "left_semi").select(
-        F.col("term").alias("term2"), "row", F.col("pos").alias("pos2")
-    )
-    both = first.where("term2 is not null").join(others, ["term2", "row", "pos2"], "left_semi")
-    found = both.unionByName(first.where("term2 is null")).select("item", "row", "shift").distinct()
+    # a written list of known size, so that the postings need not be shuffled to be sifted by it
+    wanted = settled(anchors.where("term2 is not null").select("term2").distinct(), "second-terms")
+    others = index.postings.select(F.col("term").alias("term2"), "row", F.col("pos").alias("pos2")).join(wanted, "term2")
+    both = first.join(others, ["term2", "row", "pos2"]).select("item", "row", "shift")
+    found = both.unionByName(first.where("term2 is null").select("item", "row", "shift")).distinct()
     return settled(found, "shifts")
 
 
