@@ -106,8 +106,9 @@ def shifts(index: Index, windows: DataFrame) -> DataFrame:
 def phrase_matches(index: Index, window: int = WINDOW) -> DataFrame:
     """(item, row, from, to, at): maximal runs of a document's words, counted from 0, that are an item's words from
     ``at`` on, and hold one window at least."""
-    found = shifts(index, rarest(index, window)).join(index.items.select("item", "n", F.col("words").alias("want")), "item")
-    found = found.join(index.documents.select("row", "words"), "row")
+    # texts meet the written shifts first, whose size is known: a few documents' words need no shuffle
+    found = index.documents.select("row", "words").join(shifts(index, rarest(index, window)), "row")
+    found = found.join(index.items.select("item", "n", F.col("words").alias("want")), "item")
     place = F.sequence(F.lit(0), F.col("n").cast("int") - 1)
     wrong = F.filter(place, lambda i: ~F.get("words", F.col("shift") + i).eqNullSafe(F.get("want", i)))
     found = found.select("item", "row", "shift", "n", wrong.alias("wrong"))
