@@ -8,11 +8,15 @@ line before it, in order of (id, line); all is judged on the input.
 
 * Rarity is counted over all words in ``BUCKETS`` hashed counters, a fixed table of 2 MB; within a
   counter the word's hash decides. Any such order gives the same result; this one keeps groups small.
-* Equal sets are one, at their first place, before anything is paired: copies are never expanded.
-* Prefix rows travel as compressed columns, one block for each task and target, half the bytes of rows.
+* Equal sets are one, at their first place, before anything is paired; a task drops those of its own
+  rows before they travel, so copies are never expanded and a line that is everywhere is no hot group.
+* Rows travel as compressed columns, one block for each task and target, half the bytes of rows.
+* A group is sorted by length: a set meets only those up to 1 / similarity times as long, and of two sets
+  the shorter one only needs the shorter prefix that the length of the other allows.
 * A prefix word in over ``SPLIT`` sets is cut into blocks of sets; every pair of blocks is a group of its own.
-* A line needs one match only. Each group gives its ``NEAREST`` likeliest candidates for each line; if they
-  fail and there were more, all the others are verified in a second round, so nothing is lost.
+  Words are counted exactly; the list of cut words is joined to the blocks of sets that have them.
+* A line needs one match only. The likeliest candidate of each line is verified first; if it fails and there were
+  others, all of those are verified in a second round, so nothing is lost.
 """
 
 from __future__ import annotations
@@ -29,15 +33,16 @@ from pyspark.sql.functions import arrow_udf
 
 from quayside.functions.durable import settled
 from quayside.llm.blocks import Block, U, blocks, mix
-from quayside.llm.texts import packed, small_batches, unpacked
+from quayside.llm.texts import released, small_batches
 
 SIMILARITY = Fraction(4, 5)
 _BITS = 18
-BUCKETS, SLICES = 1 << _BITS, 64
-SPLIT, HEAVY, NEAREST, HELD_ROWS, HELD_PAIRS = 8192, 100_000, 8, 1 << 17, 1 << 20
+BUCKETS, SLICES, SLOTS = 1 << _BITS, 64, 1 << 24
+SPLIT, NEAREST, HELD_ROWS, HELD_PAIRS = 8192, 1, 1 << 17, 1 << 20
 SCAN_BYTES = 1 << 19
 LAST = (1 << 63) - 1
 _FRAG = 16
+_SET, _GONE = 0, 1
 
 
 def _key(name: str, text: str):
@@ -150,114 +155,259 @@ def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat))
 
 
+def _spread(size: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Where the items of the rows ``some`` stand, if all rows' items, ``size`` of each, stand one after another."""
+    begin, size = (np.cumsum(size) - size)[some], size[some]
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def _prefix_size(n: np.ndarray, similarity: Fraction) -> np.ndarray:
+    """How many of ``n`` words meet those of every similar set: n - ceil(n t) + 1."""
+    return n + (-n * similarity.numerator) // similarity.denominator + 1
+
+
+def _packed(columns: list[np.ndarray], tool) -> bytes:
+    """Columns byte by byte, so that the bytes that are always 0 vanish."""
+    flat = [c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns]
+    return tool.compress(pickle.dumps([(c.dtype.str, f) for c, f in zip(columns, flat, strict=True)], 5))
+
+
+def _columns(pack: bytes, tool) -> list[np.ndarray]:
+    out = []
+    for kind, flat in pickle.loads(tool.decompress(pack)):
+        size = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(size, -1).T).view(kind).reshape(-1))
+    return out
+
+
+def _joined(packs: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*packs, strict=True)]
+
+
+class Sets:
+    """Sets of words as columns: node, key, line, n, and one after another their prefix words and bitmaps."""
+
+    def __init__(self, columns: list[np.ndarray], similarity: Fraction):
+        self.columns, self.similarity = columns, similarity
+        self.node, self.key, self.line, self.n, self.prefix, self.bits = columns
+        size = self.n.astype(np.int64)
+        self.long, self.width = _prefix_size(size, similarity), _width(size)
+
+    def take(self, some: np.ndarray) -> Sets:
+        flat = [self.prefix[_spread(self.long, some)], self.bits[_spread(self.width, some)]]
+        return Sets([c[some] for c in self.columns[:4]] + flat, self.similarity)
+
+    def firsts(self) -> tuple[Sets, list[np.ndarray]]:
+        """Each different set at its first place, and the other places."""
+        order = np.lexsort((self.line, self.key, self.node))
+        node, key, line = self.node[order], self.key[order], self.line[order]
+        new = np.ones(len(order), bool)
+        new[1:] = node[1:] != node[:-1]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+        other = (key != key[first]) | (line != line[first])  # rows of one id may hold the same line at the same place
+        return self.take(order[new]), [key[other], line[other]]
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def line_sets(docs: DataFrame, key: str, text: str, rank: np.ndarray, similarity: Fraction) -> DataFrame:
-    """(node, key, line, n, bitmap, prefix): the set of every line that has words."""
+    """(row, pack, kind): the different sets of words of all lines at their first places, and the places of the others."""
+    buckets = 4 * _partitions(docs)
+
+    def made(batches):
+        tool = zstandard.ZstdCompressor(level=1)
+        held, size = [], 0
+
+        def flush():
+            sets, gone = Sets(_joined(held), similarity).firsts()
+            bucket = (mix(sets.node) % U(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            targets, first = np.unique(bucket[order], return_index=True)
+            packs = [_packed(sets.take(some).columns, tool) for some in np.split(order, first[1:])] if len(order) else []
+            kinds = [_SET] * len(packs)
+            if len(gone[0]):  # they only pass through, anywhere
+                targets = np.append(targets, int(mix(gone[0][:1].astype(np.uint64))[0] % U(buckets)))
+                packs, kinds = [*packs, _packed(gone, tool)], [*kinds, _GONE]
+            return pa.RecordBatch.from_arrays([pa.array(targets.astype(np.int32)), pa.array(kinds, pa.int32()), pa.array(packs, pa.binary())], ["row", "kind", "pack"])
 
-    def run(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             for block in blocks(batch.column(1), SCAN_BYTES):
                 lines = Lines(block, rank)
                 n = lines.size
-                long = n + (-n * similarity.numerator) // similarity.denominator + 1  # n - ceil(n t) + 1
+                flat, _ = lines.bitmaps()
+                long = _prefix_size(n, similarity)
                 at = np.repeat(lines.begin - (np.cumsum(long) - long), long) + np.arange(long.sum())
-                flat, width = lines.bitmaps()
-                ends = pa.py_buffer(np.concatenate([[0], np.cumsum(8 * width)]).astype(np.int32))
-                columns = [
-                    pa.array(lines.node.view(np.int64)), pa.array(keys[block.first + lines.text]),
-                    pa.array(lines.number.astype(np.int32)), pa.array(n.astype(np.int32)),
-                    pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, ends, pa.py_buffer(flat)]),
-                    _lists((lines.mixed[at] >> U(32)).astype(np.uint32).view(np.int32), long),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "key", "line", "n", "bitmap", "prefix"])
+                held.append([
+                    lines.node, keys[block.first + lines.text].astype(np.int64), lines.number.astype(np.int32), n.astype(np.int32),
+                    (lines.mixed[at] >> U(32)).astype(np.uint32), flat,
+                ])
+                size += len(n)
+                if size > HELD_ROWS >> 2:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
+
+    def merged(batches):
+        pack_tool, tool = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        bucket, held, size, gone = None, [], 0, []
+
+        def done():
+            rows = []
+            if held:
+                sets, others = Sets(_joined(held), similarity).firsts()
+                rows.append((bucket, _SET, _packed(sets.columns, pack_tool)))
+                gone.append(others)
+            if gone:
+                rows.append((bucket, _GONE, _packed(_joined(gone), pack_tool)))
+            row, kind, packs = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(row, pa.int32()), pa.array(packs, pa.binary()), pa.array(kind, pa.int32())], ["row", "pack", "kind"])
 
-    kind = "node long, key long, line int, n int, bitmap binary, prefix array<int>"
-    return docs.select(_key(key, text).alias("key"), text).mapInArrow(run, kind)
+        for batch in batches:
+            for b, kind, pack in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if b != bucket and bucket is not None:
+                    yield done()
+                    held, size, gone = [], 0, []
+                bucket = b
+                columns = _columns(pack, tool)
+                if kind == _GONE:
+                    gone.append(columns)
+                    continue
+                held.append(columns)
+                size += len(columns[0])
+                if size > HELD_ROWS and len(held) > 1:
+                    sets, others = Sets(_joined(held), similarity).firsts()
+                    held, gone = [sets.columns], [*gone, others]
+                    size = len(sets.n) // 2  # half of it, else a large bucket would be merged again with each pack
+        if bucket is not None:
+            yield done()
+
+    rows = docs.select(_key(key, text).alias("key"), text).mapInArrow(released(made), "row int, kind int, pack binary")
+    rows = rows.repartition(_partitions(docs), "row").sortWithinPartitions("row")
+    return rows.mapInArrow(released(merged), "row int, pack binary, kind int")
+
+
+def places(gone: DataFrame) -> DataFrame:
+    """(key, line) from packs of places."""
 
+    def run(batches):
+        tool = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for pack in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _columns(pack, tool)], ["key", "line"])
 
-def sets(rows: DataFrame) -> DataFrame:
-    """(node, first (key, line), n, bitmap, prefix): every different set of words, at its first place."""
-    return rows.groupBy("node").agg(
-        F.min(F.struct("key", "line")).alias("first"), F.any_value("n").alias("n"),
-        F.any_value("bitmap").alias("bitmap"), F.any_value("prefix").alias("prefix"),
-    )
+    return gone.select("pack").mapInArrow(run, "key long, line int")
 
 
-def frequent(found: DataFrame) -> dict[int, int]:
-    """Prefix words in so many sets that one task should not pair them, and into how many blocks to cut them.
+def frequent(found: DataFrame, similarity: Fraction) -> DataFrame:
+    """(token, n): prefix words in more than ``SPLIT`` sets, with their exact number of sets."""
+    buckets = 4 * _partitions(found)
 
-    Such a word is in over ``SPLIT`` sets and in over 1 / ``HEAVY`` of all rows, so there are fewer than ``HEAVY``.
-    """
+    def count(batches):
+        tool, pack_tool = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        held, size = [], 0
 
-    def run(batches):
-        held = np.zeros(0, np.uint32)
+        def flush():
+            tokens, n = np.unique(np.concatenate(held), return_counts=True)
+            bucket = (mix(tokens.astype(np.uint64)) % U(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            targets, first = np.unique(bucket[order], return_index=True)
+            packs = [_packed([tokens[some], n[some]], pack_tool) for some in np.split(order, first[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(targets.astype(np.int32)), pa.array(packs, pa.binary())], ["bucket", "pack"])
+
+        for batch in batches:
+            for pack in batch.column(0).to_pylist():
+                held.append(_columns(pack, tool)[4])
+                size += len(held[-1])
+                if size > 8 * HELD_ROWS:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
+
+    def add(batches):
+        tool = zstandard.ZstdDecompressor()
+        bucket, held, size = None, [], 0
+
+        def summed(parts):
+            tokens, n = _joined(parts)
+            order = np.argsort(tokens, kind="stable")
+            tokens, n = tokens[order], n[order]
+            at = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+            return [tokens[at], np.add.reduceat(n, at)]
+
+        def done():
+            tokens, n = summed(held)
+            often = n > SPLIT
+            return pa.RecordBatch.from_arrays([pa.array(tokens[often].astype(np.int64)), pa.array(n[often])], ["token", "n"])
+
+        for batch in batches:
+            for b, pack in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if b != bucket and held:
+                    yield done()
+                    held, size = [], 0
+                bucket = b
+                held.append(_columns(pack, tool))
+                size += len(held[-1][0])
+                if size > 8 * HELD_ROWS and len(held) > 1:
+                    held = [summed(held)]
+                    size = len(held[0][0]) // 2
+        if held:
+            yield done()
 
-        def counted():
-            words, n = np.unique(held, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(words[n > 15].view(np.int32)), pa.array(n[n > 15])], ["token", "n"])
+    packs = found.select("pack").mapInArrow(released(count), "bucket int, pack binary")
+    packs = packs.repartition(_partitions(found), "bucket").sortWithinPartitions("bucket")
+    return packs.mapInArrow(released(add), "token long, n long")
 
+
+def with_cuts(found: DataFrame, often: DataFrame) -> DataFrame:
+    """``found`` with ``cuts``: which words of a row's sets are cut, and into how many blocks."""
+
+    def run(batches):
+        tool = zstandard.ZstdDecompressor()
         for batch in batches:
-            held = np.concatenate([held, batch.column(0).flatten().to_numpy().view(np.uint32)])
-            if len(held) > HELD_ROWS:
-                yield counted()
-                held = held[:0]
-        yield counted()
+            for row, pack in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                tokens = np.unique(_columns(pack, tool)[4]).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(tokens), row, np.int32)), pa.array(tokens)], ["row", "token"])
 
-    total = found.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    many = found.select("prefix").mapInArrow(run, "token int, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = many.where(F.col("n") > max(SPLIT, total / HEAVY)).collect()
-    return {token & 0xFFFFFFFF: -(-n // SPLIT) for token, n in rows}
+    held = found.select("row", "pack").mapInArrow(run, "row int, token long").join(often, "token")
+    cut = F.struct("token", F.expr(f"(n + {SPLIT} - 1) div {SPLIT}").alias("blocks"))
+    cuts = held.groupBy("row").agg(F.collect_list(cut).alias("cuts"))  # at most the words of one row's sets
+    return found.join(cuts, "row", "left")
 
 
-#: Columns of a prefix row as they travel.
+#: Columns of a prefix row as they travel, before the bitmaps.
 _TYPES = {
     "token": np.uint32, "ij": np.uint32, "part": np.uint16, "pos": np.uint32, "n": np.uint32, "key": np.int64,
     "line": np.int32, "frag": np.uint16, "asks": np.uint8,
 }
 
 
-def _packed(columns: list[np.ndarray], tool) -> bytes:
-    """Columns byte by byte, so that the bytes that are always 0 vanish."""
-    flat = [c.view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]
-    return tool.compress(pickle.dumps((len(columns[0]), len(columns[-1]), flat), 5))
-
-
-def _columns(pack: bytes, tool) -> list[np.ndarray]:
-    n, last, flat = pickle.loads(tool.decompress(pack))
-    sizes = [n] * len(_TYPES) + [last]
-    types = [*_TYPES.values(), np.uint64]
-    turned = zip(flat, sizes, types, strict=True)
-    return [np.ascontiguousarray(np.frombuffer(f, np.uint8).reshape(-1, k).T).view(t).reshape(-1) if k else np.zeros(0, t) for f, k, t in turned]
-
-
-def dealt(found: DataFrame, often: dict[int, int], parts: int, asked: np.ndarray | None) -> DataFrame:
-    """(bucket, pack): the prefix rows of all sets. With ``asked``, only those of words it may hold."""
-    heavy = np.array(sorted(often), np.uint32)
-    cut = np.array([often[x] for x in heavy.tolist()], np.int64)
+def dealt(found: DataFrame, parts: int, similarity: Fraction, asked: np.ndarray | None) -> DataFrame:
+    """(bucket, pack): the prefix rows of all sets. With ``asked``, only those of words it may hold; ``asks`` then lists
+    the sets of a row that ask."""
 
     def run(batches):
-        tool = zstandard.ZstdCompressor(level=1)
+        tool, reader = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
         held, size = [], 0
 
-        def rows(batch):
-            n = batch.column("n").to_numpy().astype(np.int64)
-            long = np.diff(batch.column("prefix").offsets.to_numpy())
-            token = batch.column("prefix").flatten().to_numpy().view(np.uint32)
+        def rows(sets, asks, cuts):
+            n, long = sets.n.astype(np.int64), sets.long
             owner = np.repeat(np.arange(len(n)), long)
             pos = np.arange(len(owner)) - np.repeat(np.cumsum(long) - long, long)
-            bits = batch.column("bitmap")
-            _, at, data = bits.buffers()
-            at = np.frombuffer(at, np.int32)[bits.offset : bits.offset + len(bits) + 1].astype(np.int64) // 8
-            flat = np.frombuffer(data, np.uint64) if len(n) else np.zeros(0, np.uint64)
-            key, line = batch.column("key").to_numpy(), batch.column("line").to_numpy()
-            asks = batch.column("asks").to_numpy(zero_copy_only=False) if asked is not None else np.ones(len(n), bool)
+            token = sets.prefix
             keep = np.arange(len(owner)) if asked is None else np.flatnonzero(asked[token >> np.uint32(8)])
             blocks_ = np.ones(len(keep), np.int64)
-            if len(heavy):
+            if cuts:
+                heavy = np.array(sorted(cuts), np.uint32)
+                cut = np.array([cuts[x] for x in heavy.tolist()], np.int64)
                 where = np.minimum(np.searchsorted(heavy, token[keep]), len(heavy) - 1)
                 blocks_ = np.where(heavy[where] == token[keep], cut[where], 1)
             own = owner[keep]
-            salt = mix(key[own].astype(np.uint64) + mix(line[own].astype(np.uint64) + U(1)))
+            salt = mix(sets.key[own].astype(np.uint64) + mix(sets.line[own].astype(np.uint64) + U(1)))
             part = (salt % blocks_.astype(np.uint64)).astype(np.int64)
             again = np.repeat(np.arange(len(keep)), blocks_)
             other = np.arange(len(again)) - np.repeat(np.cumsum(blocks_) - blocks_, blocks_)
@@ -265,40 +415,42 @@ def dealt(found: DataFrame, often: dict[int, int], parts: int, asked: np.ndarray
             ij = np.minimum(part, other) << 16 | np.maximum(part, other)
             row = keep[again]
             own = owner[row]
-            frag = batch.column("node").to_numpy()[own] & 0xFFFF
-            cols = [token[row], ij, part, pos[row], n[own], key[own], line[own], frag, asks[own]]
+            frag = sets.node[own] & U(0xFFFF)
+            cols = [token[row], ij, part, pos[row], n[own], sets.key[own], sets.line[own], frag, asks[own]]
             cols = [c.astype(t) for c, t in zip(cols, _TYPES.values(), strict=True)]
-            width = _width(n)[own]
-            spread = np.repeat(at[own] - (np.cumsum(width) - width), width) + np.arange(width.sum())
-            return [*cols, flat[spread], width]
+            return [*cols, sets.bits[_spread(sets.width, own)]]
 
         def packs():
-            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
-            width = cols.pop()
+            cols = _joined(held)
+            width = _width(cols[4].astype(np.int64))
             bucket = (mix(cols[0].astype(np.uint64) << U(32) | cols[1]) % U(parts)).astype(np.int64)
-            order = np.lexsort((cols[0], bucket))
-            begin = np.cumsum(width) - width
+            order = np.lexsort((cols[4], cols[0], bucket))
             targets, first = np.unique(bucket[order], return_index=True)
-            out = []
-            for low, high in zip(first, np.append(first[1:], len(order)), strict=True):
-                some = order[low:high]
-                w = width[some]
-                spread = np.repeat(begin[some] - (np.cumsum(w) - w), w) + np.arange(w.sum())
-                out.append(_packed([c[some] for c in cols[:-1]] + [cols[-1][spread]], tool))
+            out = [_packed([c[some] for c in cols[:-1]] + [cols[-1][_spread(width, some)]], tool) for some in np.split(order, first[1:])]
             return pa.RecordBatch.from_arrays([pa.array(targets.astype(np.int32)), pa.array(out, pa.binary())], ["bucket", "pack"])
 
         for batch in batches:
-            for low in range(0, batch.num_rows, 1 << 14):
-                held.append(rows(batch.slice(low, 1 << 14)))
-                size += len(held[-1][0])
-                if size > HELD_ROWS:
-                    yield packs()
-                    held, size = [], 0
+            names = batch.schema.names
+            lists = {c: batch.column(c).to_pylist() if c in names else [None] * batch.num_rows for c in ("cuts", "asks")}
+            for pack, cuts, wanted in zip(batch.column("pack").to_pylist(), lists["cuts"], lists["asks"], strict=True):
+                sets = Sets(_columns(pack, reader), similarity)
+                asks = np.ones(len(sets.n), np.uint8)
+                if asked is not None:
+                    want = {(w["key"], w["line"], w["size"]) for w in wanted or ()}
+                    size_of = sets.n.astype(np.int64) << _FRAG | (sets.node & U(0xFFFF)).astype(np.int64)
+                    all_ = zip(sets.key.tolist(), sets.line.tolist(), size_of.tolist(), strict=True)
+                    asks = np.fromiter((s in want for s in all_), np.uint8, len(sets.n))
+                for some in np.array_split(np.arange(len(sets.n)), max(1, len(sets.prefix) * 8 // HELD_ROWS)):
+                    held.append(rows(sets.take(some), asks[some], {c["token"]: c["blocks"] for c in cuts or ()}))
+                    size += len(held[-1][0])
+                    if size > HELD_ROWS:
+                        yield packs()
+                        held, size = [], 0
         if size:
             yield packs()
 
-    columns = ["node", F.col("first.key").alias("key"), F.col("first.line").alias("line"), "n", "bitmap", "prefix"]
-    return found.select(*columns, *[c for c in found.columns if c == "asks"]).mapInArrow(run, "bucket int, pack binary")
+    columns = ["pack", *[c for c in ("cuts", "asks") if c in found.columns]]
+    return found.select(*columns).mapInArrow(released(run), "bucket int, pack binary")
 
 
 def _fold(flat: np.ndarray, begin: np.ndarray, have: int, want: int) -> np.ndarray:
@@ -321,15 +473,17 @@ def _differ(cols: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.nda
 
 
 def _pairs(cols: dict[str, np.ndarray], similarity: Fraction, nearest: int | None):
-    """(later, earlier, _, candidates of later) among rows sorted by group, as row numbers."""
+    """(later, earlier, differing words, candidates of later) among rows sorted by group and length, as row numbers."""
     p, q = similarity.numerator, similarity.denominator
     n, group = cols["n"].astype(np.int64), cols["group"]
-    stop = np.searchsorted(group, group, side="right")
+    # a set meets longer ones up to n / similarity, and of its prefix the part that those can share
+    stop = np.searchsorted(group << 32 | n, group << 32 | n * q // p, side="right")
     rest = n - cols["pos"]
     same_part = (cols["ij"] >> 16) == (cols["ij"] & 0xFFFF)
     asks = cols["asks"].astype(bool)
     kept: list[np.ndarray] = []
-    held, at, step = 0, np.arange(len(group)), 1
+    held, step = 0, 1
+    at = np.flatnonzero(cols["pos"] <= n + (-2 * p * n) // (p + q))
 
     def reduced(parts):
         pairs = np.concatenate(parts, axis=1) if parts else np.zeros((4, 0), np.int64)
@@ -344,13 +498,14 @@ def _pairs(cols: dict[str, np.ndarray], similarity: Fraction, nearest: int | Non
     while len(at := at[at + step < stop[at]]):
         a, b = at, at + step
         step += 1
-        need = -((-p * (n[a] + n[b])) // (p + q))  # words in common for the similarity
-        good = (np.minimum(rest[a], rest[b]) >= need) & (np.minimum(n[a], n[b]) >= need)
+        most = (n[a] + n[b]) * (q - p) // (p + q)  # words that may differ
+        need = (n[a] + n[b] - most + 1) // 2
+        good = np.minimum(rest[a], rest[b]) >= need
+        good &= np.bitwise_count(cols["fold"][a] ^ cols["fold"][b]) <= most
         good &= same_part[a] | (cols["part"][a] != cols["part"][b])
-        good &= np.bitwise_count(cols["fold"][a] ^ cols["fold"][b]) <= n[a] + n[b] - 2 * need
-        a, b, need = a[good], b[good], need[good]
+        a, b, most = a[good], b[good], most[good]
         differ = _differ(cols, a, b)
-        good = differ <= n[a] + n[b] - 2 * need
+        good = differ <= most
         a, b, differ = a[good], b[good], differ[good]
         before = np.zeros(len(a), bool)
         for c in ("frag", "n", "line", "key"):
@@ -368,19 +523,21 @@ def _pairs(cols: dict[str, np.ndarray], similarity: Fraction, nearest: int | Non
 
 
 def candidates(packs: DataFrame, similarity: Fraction, nearest: int | None) -> DataFrame:
-    """(key, line, size, key2, line2, size2, more): candidate earlier lines of a line, and how many were left out."""
+    """(key, line, size, key2, line2, size2, differ, more): candidate earlier lines of a line, how many words differ at
+    least, and how many candidates were left out."""
 
     def run(batches):
         tool = zstandard.ZstdDecompressor()
         bucket, held = None, []
 
         def solve():
-            all_ = [np.concatenate(c) for c in zip(*(_columns(h, tool) for h in held), strict=True)]
-            order = np.lexsort((all_[1], all_[0]))
-            width = _width(all_[4])
+            all_ = _joined([_columns(h, tool) for h in held])
+            held.clear()
+            order = np.lexsort((all_[4], all_[1], all_[0]))
+            width = _width(all_[4].astype(np.int64))
+            begin = np.cumsum(width) - width
             whole = {c: x[order] for c, x in zip(_TYPES, all_, strict=False)}
-            whole |= {"width": width[order], "begin": (np.cumsum(width) - width)[order], "bits": all_[-1]}
-            whole["fold"] = np.bitwise_xor.reduceat(all_[-1], np.cumsum(width) - width)[order]
+            whole |= {"width": width[order], "begin": begin[order], "bits": all_[-1], "fold": np.bitwise_xor.reduceat(all_[-1], begin)[order]}
             new = np.concatenate([[True], (np.diff(whole["token"].astype(np.int64)) != 0) | (np.diff(whole["ij"].astype(np.int64)) != 0)])
             whole["group"] = np.cumsum(new) - 1
             first = np.flatnonzero(new)
@@ -392,63 +549,96 @@ def candidates(packs: DataFrame, similarity: Fraction, nearest: int | None) -> D
                 low = high
 
         def one(cols):
-            later, earlier, _, total = _pairs(cols, similarity, nearest)
+            later, earlier, differ, total = _pairs(cols, similarity, nearest)
             given = np.bincount(later, minlength=len(cols["n"]))
             every = np.bincount(later, weights=total, minlength=len(cols["n"])).astype(np.int64)
             size = cols["n"].astype(np.int64) << _FRAG | cols["frag"]
             out = [cols["key"][later], cols["line"][later], size[later], cols["key"][earlier], cols["line"][earlier], size[earlier]]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in [*out, (every - given)[later]]], names)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in [*out, differ, (every - given)[later]]], names)
 
         for batch in batches:
             for b, pack in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if b != bucket and held:
                     yield from solve()
-                    held = []
                 bucket = b
                 held.append(pack)
         if held:
             yield from solve()
 
-    names = ["key", "line", "size", "key2", "line2", "size2", "more"]
-    n = int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packs = packs.repartition(n, "bucket").sortWithinPartitions("bucket")
-    return packs.mapInArrow(run, "key long, line int, size long, key2 long, line2 int, size2 long, more long")
+    names = ["key", "line", "size", "key2", "line2", "size2", "differ", "more"]
+    packs = packs.repartition(_partitions(packs), "bucket").sortWithinPartitions("bucket")
+    kind = "key long, line int, size long, key2 long, line2 int, size2 long, differ long, more long"
+    return packs.mapInArrow(released(run), kind)
+
+
+def _slots(key: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return (mix(key.astype(np.int64).view(np.uint64) + mix(line.astype(np.uint64) + U(1))) % U(SLOTS)).astype(np.int64)
+
+
+def lookup(lines: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size in which the slots of all rows (key, line) are set; put together slice by slice."""
+    width = SLOTS // SLICES
+
+    def run(batches):
+        held = np.zeros(SLOTS, bool)
+        for batch in batches:
+            held[_slots(batch.column(0).to_numpy(), batch.column(1).to_numpy())] = True
+        some = np.flatnonzero(held.reshape(SLICES, -1).any(axis=1))
+        parts = [np.packbits(held[i * width : (i + 1) * width]).tobytes() for i in some]
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(parts, pa.binary())], ["slice", "bits"])
+
+    def add(batches):
+        total = {}
+        for batch in batches:
+            for i, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total[i] = total.get(i, 0) | np.frombuffer(bits, np.uint8)
+        columns = [pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["slice", "bits"])
+
+    kind = "slice int, bits binary"
+    out = np.zeros(SLOTS, bool)
+    for i, bits in lines.select("key", "line").mapInArrow(released(run), kind).repartition(SLICES, "slice").mapInArrow(add, kind).collect():
+        out[i * width : (i + 1) * width] = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
+    return out
+
+
+def _chosen(block: Block, keys: np.ndarray, wanted: np.ndarray) -> tuple[Block, np.ndarray, np.ndarray]:
+    """The lines whose slots are set, each as a text of its own, with their keys and numbers."""
+    starts, ends = block.lines()
+    count = np.bincount(block.text_of(np.flatnonzero(block.data == 10)), minlength=block.n) + 1
+    text = np.repeat(np.arange(block.n), count)
+    number = np.arange(len(starts)) - np.repeat(np.cumsum(count) - count, count)
+    some = np.flatnonzero(wanted[_slots(keys[text], number)] & (ends > starts))
+    size = ends[some] - starts[some]
+    bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    data = block.data[np.repeat(starts[some] - bounds[:-1], size) + np.arange(bounds[-1])]
+    return Block(data, bounds, 0), keys[text[some]], number[some]
 
 
 def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, rank: np.ndarray, similarity: Fraction) -> DataFrame:
-    """The pairs whose full word sets are similar, with the number of common words."""
+    """The pairs whose full word sets are similar.
+
+    Texts stay where they are: they are read again, and only lines whose slot is asked for give their words.
+    """
+    second = [F.col(c).alias(c.removesuffix("2")) for c in ("key2", "line2")]
+    wanted = docs.sparkSession.sparkContext.broadcast(lookup(pairs.select("key", "line").unionByName(pairs.select(*second))))
 
     def run(batches):
         for batch in batches:
-            wanted = batch.column("wanted").to_pylist()
-            keys = batch.column("key").to_numpy()
-            for block in blocks(unpacked(batch.column("pack")), SCAN_BYTES):
-                lines = Lines(block, rank)
+            keys = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for block in blocks(batch.column(1), SCAN_BYTES):
+                some, key_of, number = _chosen(block, keys[block.first : block.first + block.n], wanted.value)
+                lines = Lines(some, rank)
                 size = lines.size.astype(np.int64) << _FRAG | (lines.node & U((1 << _FRAG) - 1)).astype(np.int64)
-                cut = np.searchsorted(lines.text, np.arange(block.n + 1))
-                chosen = []
-                for i in range(block.n):
-                    want = {(w["line"], w["size"]) for w in wanted[block.first + i]}
-                    chosen += [k for k in range(cut[i], cut[i + 1]) if (lines.number[k], size[k]) in want]
-                chosen = np.array(chosen, np.int64)
-                words = [lines.mixed[lines.begin[k] : lines.begin[k] + lines.size[k]].view(np.int64) for k in chosen]
-                flat = np.concatenate(words) if words else np.zeros(0, np.int64)
                 columns = [
-                    pa.array(keys[block.first + lines.text[chosen]]), pa.array(lines.number[chosen].astype(np.int32)),
-                    pa.array(size[chosen]), _lists(flat, lines.size[chosen]),
+                    pa.array(key_of[lines.text]), pa.array(number[lines.text].astype(np.int32)), pa.array(size),
+                    _lists(lines.mixed.view(np.int64), lines.size),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "line", "size", "words"])
 
-    wanted = pairs.select("key", "line", "size").unionByName(
-        pairs.select(F.col("key2").alias("key"), F.col("line2").alias("line"), F.col("size2").alias("size"))
-    )
-    wanted = wanted.distinct().groupBy("key").agg(F.collect_list(F.struct("line", "size")).alias("wanted"))
-    wanted = settled(wanted, "wanted")  # its size is known then: a few lines' texts need no shuffle
-    texts = packed(docs, _key(key, text), text).join(wanted, "key").select("key", "wanted", "pack")
-    words = settled(
-        texts.mapInArrow(run, "key long, line int, size long, words array<long>").dropDuplicates(["key", "line", "size"]),
-        "line-words",
-    )
+    rows = docs.select(_key(key, text).alias("key"), text)
+    words = rows.mapInArrow(released(run), "key long, line int, size long, words array<long>").dropDuplicates(["key", "line", "size"])
+    words = settled(words, "line-words")
     second = words.select(
         F.col("key").alias("key2"), F.col("line").alias("line2"), F.col("size").alias("size2"), F.col("words").alias("words2")
     )
@@ -467,32 +657,57 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", sim
     from all. A null text has no words. A null id is replaced by a number from 2^62 on that follows from the text.
     Columns beside the two are not read.
     """
-    small_batches(docs.sparkSession)
+    with small_batches(docs.sparkSession):
+        return _repeated(docs, key, text, similarity)
+
+
+def _repeated(docs: DataFrame, key: str, text: str, similarity: Fraction) -> DataFrame:
     rank = ranks(rarity(docs, text))
-    all_lines = settled(line_sets(docs, key, text, rank, similarity), "lines")
-    found = settled(sets(all_lines), "sets")
-    often = frequent(found)
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ask = ["key", "line", "size"]
-    first_round = settled(candidates(dealt(found, often, parts, None), similarity, NEAREST), "candidates")
-    pairs = settled(first_round.select(*ask, "key2", "line2", "size2").distinct(), "pairs")
+    found = settled(line_sets(docs, key, text, rank, similarity), "line-sets", "kind")
+    again = settled(places(found.where(F.col("kind") == _GONE)), "repeated-lines")
+    found = found.where(F.col("kind") == _SET)
+    often = settled(frequent(found, similarity), "frequent-words")
+    if not often.isEmpty():
+        found = with_cuts(found, often)
+    parts = 4 * _partitions(docs)
+    ask, other = ["key", "line", "size"], ["key2", "line2", "size2"]
+    met = candidates(dealt(found, parts, similarity, None), similarity, NEAREST)
+    met = met.groupBy(*ask).agg(
+        F.min(F.struct("differ", *other)).alias("best"), F.min(F.struct(*other)).alias("low"), F.max(F.struct(*other)).alias("high"),
+        F.sum("more").alias("more"),
+    )
+    met = settled(met.select(*ask, *[F.col(f"best.{c}") for c in other], ((F.col("more") > 0) | (F.col("low") != F.col("high"))).alias("others")), "candidates")
+    pairs = met.drop("others")
     hits = settled(verified(pairs, docs, key, text, rank, similarity).select(ask).distinct(), "similar")
-    open_ = settled(first_round.where("more > 0").select(ask).distinct().join(hits, ask, "left_anti"), "open")
+    open_ = settled(met.where("others").select(ask).join(hits, ask, "left_anti"), "open")
     if not open_.isEmpty():
-        size = F.col("n").cast("long") * (1 << _FRAG) + F.col("node").bitwiseAND((1 << _FRAG) - 1)
-        marked = found.withColumns({"key": F.col("first.key"), "line": F.col("first.line"), "size": size})
-        marked = marked.join(open_.withColumn("asks", F.lit(True)), ask, "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
-        word = F.explode(F.transform("prefix", lambda x: F.shiftrightunsigned(x, 8))).alias("word")
+        row = _asking(found, open_, similarity)
         asked = np.zeros(1 << 24, bool)  # a filter of fixed size; what it lets through beyond the asked does no harm
-        asked[marked.where("asks").select(word).distinct().toArrow().column(0).to_numpy()] = True
-        others = candidates(dealt(marked.drop(*ask), often, parts, asked), similarity, None).select(pairs.columns).distinct()
-        more = settled(others, "others").join(pairs, pairs.columns, "left_anti")
+        asked[row.select(F.explode("words")).distinct().toArrow().column(0).to_numpy()] = True
+        marked = found.join(row.groupBy("row").agg(F.collect_list(F.struct(*ask)).alias("asks")), "row", "left")
+        others = candidates(dealt(marked, parts, similarity, asked), similarity, None).select(pairs.columns).distinct()
+        more = settled(others.join(pairs, pairs.columns, "left_anti"), "others")
         hits = hits.unionByName(verified(more, docs, key, text, rank, similarity).select(ask).distinct())
-    placed = all_lines.select("key", "line", "node").join(found.select("node", "first"), "node")
-    again = placed.where((F.col("key") != F.col("first.key")) | (F.col("line") != F.col("first.line"))).select("key", "line")
     return again.unionByName(hits.select("key", "line")).distinct()
 
 
+def _asking(found: DataFrame, open_: DataFrame, similarity: Fraction) -> DataFrame:
+    """(row, key, line, size, words): where the asking sets lie, and the slots of their prefix words."""
+
+    def run(batches):
+        tool = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for row, pack in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sets = Sets(_columns(pack, tool), similarity)
+                size = sets.n.astype(np.int64) << _FRAG | (sets.node & U(0xFFFF)).astype(np.int64)
+                words = _lists((sets.prefix >> np.uint32(8)).astype(np.int32), sets.long)
+                columns = [pa.array(np.full(len(size), row, np.int32)), pa.array(sets.key), pa.array(sets.line), pa.array(size), words]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "key", "line", "size", "words"])
+
+    rows = found.select("row", "pack").mapInArrow(run, "row int, key long, line int, size long, words array<int>")
+    return settled(rows.join(open_, ["key", "line", "size"], "left_semi"), "asking")
+
+
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: Fraction = SIMILARITY, out: str = "lines") -> DataFrame:
     """``docs`` with the remaining lines as text and a struct column ``out``: ``n_lines``, ``removed`` (line numbers).
 

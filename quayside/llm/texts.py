@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from contextlib import contextmanager, suppress
+from functools import wraps
+
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +16,30 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 1000
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Let the session hand at most ``BATCH_ROWS`` rows at a time to Python."""
+@contextmanager
+def small_batches(spark: SparkSession):
+    """What is run inside hands at most ``BATCH_ROWS`` rows at a time to Python; the session is left as it was."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def released(run):
+    """``run`` for ``mapInArrow``; what it has freed goes back to the system at its end, as a worker lives on between tasks."""
+
+    @wraps(run)
+    def outer(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # not every C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return outer
 
 
 def packed(docs: DataFrame, key, text: str) -> DataFrame:
@@ -30,7 +53,7 @@ def packed(docs: DataFrame, key, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), packs], ["key", "pack"])
 
     rows = docs.select(key.alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, pack binary")
+    return rows.mapInArrow(released(run), f"key {rows.schema['key'].dataType.simpleString()}, pack binary")
 
 
 def unpacked(packs: pa.Array) -> pa.Array:

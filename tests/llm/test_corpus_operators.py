@@ -330,7 +330,7 @@ def gone_lines(texts, ids=None):
 @pytest.mark.parametrize("small", [False, True])
 def test_similar_lines(spark, monkeypatch, small):
     if small:  # words cut into blocks, one candidate for each line: the second round finds the rest
-        for name, value in (("NEAREST", 1), ("SPLIT", 5), ("HEAVY", 10_000), ("HELD_ROWS", 200), ("HELD_PAIRS", 10)):
+        for name, value in (("NEAREST", 1), ("SPLIT", 5), ("HELD_ROWS", 200), ("HELD_PAIRS", 10)):
             monkeypatch.setattr(lines, name, value)
     texts = corpus(11, 80)
     want = gone_lines(texts)
