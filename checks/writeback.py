@@ -19,7 +19,7 @@ NUMBERED = """SELECT *, row_number() OVER (PARTITION BY decision_type ORDER BY d
 PRICED = """SELECT d.*, t.id AS supplierinfo_id, t.price AS price_unit, t.currency_id AS tier_currency_id FROM numbered AS d
     LEFT JOIN product_product AS p ON p.id = d._odoo_product_id
     LEFT JOIN product_supplierinfo AS t ON t.partner_id = d._odoo_supplier_id AND t.product_tmpl_id = p.product_tmpl_id AND t.min_qty <= d.quantity
-    WHERE d.decision_type = 'PO' QUALIFY row_number() OVER (PARTITION BY d.decision_id ORDER BY t.min_qty DESC NULLS LAST, t.id) = 1"""
+    WHERE d.decision_type = 'PO' AND ifnull(d._odoo_supplier_id, 0) <> 0 QUALIFY row_number() OVER (PARTITION BY d.decision_id ORDER BY t.min_qty DESC NULLS LAST, t.id) = 1"""
 
 PLACES = """SELECT code, (SELECT min(l.id) FROM stock_location AS l WHERE l.warehouse_id = w.first_id AND l.usage = 'internal' AND l.name LIKE '%Stock%') AS location_id
     FROM (SELECT code, min(id) AS first_id FROM stock_warehouse GROUP BY code) AS w"""
@@ -60,6 +60,14 @@ def _sql(query: str, *steps: str) -> str:
     return with_relations(query, **{name: STEPS[name] for name in steps})
 
 
+def rules_kept() -> str:
+    """The rules that the decisions make while all existing ones are kept."""
+    steps = {name: STEPS[name] for name in ("numbered", "asked", "targets", "merged")} | {"kept": "SELECT * FROM stock_warehouse_orderpoint"}
+    order = ("numbered", "kept", "asked", "targets", "merged")
+    query = "SELECT product_id, new_location AS location_id, product_min_qty, product_max_qty, supplier_id FROM merged WHERE rule_id IS NULL"
+    return with_relations(query, **{name: steps[name] for name in order})
+
+
 def _batch(spark, sf_dir, variant="19"):
     source = erp(spark, sf_dir, variant)
     return plan_decisions(source["decisions"], source, COMPANY)
@@ -145,7 +153,9 @@ def oracle_sql():
         "decisions_numbered": _sql("SELECT decision_id, decision_type, row_no FROM numbered", "numbered"),
         "decision_types": _sql("SELECT DISTINCT decision_type FROM decisions WHERE decision_type IS NOT NULL"),
         "decision_outcome": _sql(
-            """SELECT decision_type, count(*) AS created, 0 AS updated, 0 AS errors FROM numbered WHERE decision_type IN ('PO', 'MO') GROUP BY decision_type
+            """SELECT decision_type, count(*) AS created, 0 AS updated, 0 AS errors FROM numbered WHERE decision_type = 'MO' GROUP BY decision_type
+            UNION ALL SELECT 'PO', count(*) FILTER (WHERE ifnull(_odoo_supplier_id, 0) <> 0), 0, count(*) FILTER (WHERE ifnull(_odoo_supplier_id, 0) = 0)
+                FROM numbered WHERE decision_type = 'PO'
             UNION ALL SELECT 'DO', count(*), 0, 0 FROM usable
             UNION ALL SELECT 'RESCHEDULE', 0, count(production_id), count(*) - count(production_id) FROM found
             UNION ALL SELECT 'ORDERPOINT', (SELECT count(*) FROM merged WHERE rule_id IS NULL), (SELECT count(*) FROM asked) - (SELECT count(*) FROM merged WHERE rule_id IS NULL),
@@ -157,6 +167,8 @@ def oracle_sql():
         "decision_messages": _sql(
             """SELECT decision_type, row_no, 'Row ' || row_no || ': missing product_id, min_quantity, or max_quantity' AS message FROM numbered
             WHERE decision_type = 'ORDERPOINT' AND row_no NOT IN (SELECT row_no FROM asked)
+            UNION ALL SELECT decision_type, row_no, 'Row ' || row_no || ': missing supplier_id' FROM numbered
+            WHERE decision_type = 'PO' AND ifnull(_odoo_supplier_id, 0) = 0
             UNION ALL SELECT DISTINCT decision_type, CAST(NULL AS BIGINT), 'Unknown decision type: ' || decision_type FROM numbered WHERE decision_type = 'FORECAST'""",
             "numbered", "asked",
         ),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,25 @@ from quayside.schemas import outbound_schema
 LANGUAGE_CODE = re.compile(r"^[a-z]{2}_[A-Z]{2}$")
 
 
+_ids_only: ContextVar[bool] = ContextVar("ids_only", default=False)
+
+
+@contextmanager
+def ids_only():
+    """Exports that are planned inside are meant for their id columns: joins that only bring along other columns are left
+    out, and those columns are NULL. Such a join, to one row at most, changes no row, but the optimiser can't know."""
+    token = _ids_only.set(True)
+    try:
+        yield
+    finally:
+        _ids_only.reset(token)
+
+
+def skipped(names) -> bool:
+    """Whether a join for the columns ``names`` is left out now."""
+    return _ids_only.get() and not any(n.endswith("_id") for n in names)
+
+
 def conform(df: DataFrame, entity: str, **values: str | Column) -> DataFrame:
     """Select the declared columns of ``entity`` in order, cast to their declared types.
 
@@ -81,6 +102,9 @@ def attach(
     What it cannot split well is a left join with many missing keys, which all hash alike: so both
     sides also join on a salt, which is 0 wherever there is a key and differs by ``row_id`` elsewhere.
     """
+    if how == "left" and skipped(take):
+        plain = {n: relation.schema[v].dataType if isinstance(v, str) else "string" for n, v in take.items()}
+        return rows.withColumns({n: F.lit(None).cast(kind) for n, kind in plain.items()})
     taken = [(F.col(v) if isinstance(v, str) else v).alias(n) for n, v in take.items()]
     if how == "inner":
         kept = [c for c in rows.columns if c == key or c not in take]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.columns import skipped
+
 # Ids that share a slice are joined to text together; slices are then joined in order.
 SLICE_WIDTH = 65536
 
@@ -34,6 +36,8 @@ def id_lists(links: DataFrame, key: str, order: str, **lists: str) -> DataFrame:
 
 def attach_lists(rows: DataFrame, key: str, links: DataFrame, link_key: str, order: str, **lists: str) -> DataFrame:
     """Left-join :func:`id_lists` to ``rows.key``; rows without links get the empty list ``''``."""
+    if skipped(()):
+        return rows.withColumns({name: F.lit("") for name in lists})
     made = id_lists(links, link_key, order, **lists).withColumnRenamed(link_key, key)
     joined = rows.drop(*lists).join(made, key, "left")
     return joined.withColumns({name: F.coalesce(F.col(name), F.lit("")) for name in lists})

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BANDS_PER_DOUBLING = 8
-
+from quayside.functions.durable import settled
+from quayside.functions.numbering import PART_BITS
 
 def lowest_id(df: DataFrame, *keys: str, name: str) -> DataFrame:
     """One row per key with its lowest id; rows without a full key are left out."""
@@ -21,64 +21,45 @@ def last_by(value: str, order: str, where: Column | None = None) -> Column:
     return F.max_by(value, F.col(order) if where is None else F.when(where, F.col(order)))
 
 
-def band(amount: Column) -> Column:
-    """A step function of ``amount`` that never falls. A double has some 33,000 bands at most."""
-    size = F.floor(F.least(F.log2(F.abs(amount)) * _BANDS_PER_DOUBLING, F.lit(1e6)))
-    return (
-        F.when(F.isnan(amount), F.lit(2_000_000))
-        .when(amount > 0, size)
-        .when(amount == 0, F.lit(-1_000_000))
-        .otherwise(F.lit(-2_000_000) - size)
-        .cast("int")
-    )
-
-
 def best_tier(
     asks: DataFrame, tiers: DataFrame, by: tuple[str, ...], ask: str, floor: str, take: tuple[str, ...]
 ) -> DataFrame:
     """``asks`` with the ``take`` columns of the tier that has the same ``by`` values and the highest
     ``floor`` not above ``ask``; the lowest id wins a tie. No such tier: NULLs.
 
-    Tiers nobody asks for are dropped first. Rows are never paired: each distinct asked amount and
-    each tier becomes a mark on a line, and a mark takes the last tier at or before it. The line is
-    cut into bands of amount, so a hot key spreads over many tasks; what a band inherits from lower
-    ones is worked out per band, of which a key has a bounded number.
+    An as-of lookup over one sorted line: asks and tiers are range-partitioned together on key and amount,
+    a tier before the asks it serves, and each ask takes the last tier before it, if that has its key. Amounts of a
+    hot key spread over as many partitions as they fill, and equal asks by their hash. A partition then needs one thing
+    of those before it, the last tier they hold: one row for each partition is carried on. Rows are
+    never paired; asks and tiers are read once and shuffled twice, sorted the first time and dealt by partition the second.
     """
-    first, last = Window.unboundedPreceding, Window.unboundedFollowing
-    asked = asks.dropna(subset=[*by, ask])
-    steps = (
-        tiers.dropna(subset=[*by, floor])
-        .join(asked.select(*by).distinct(), [*by], "left_semi")
-        .groupBy(*by, F.col(floor).cast("double").alias("_at"))
-        .agg(F.min("id").alias("_tier"))
-        .withColumn("_band", band(F.col("_at")))
-    )
-    nothing = F.lit(None).cast(tiers.schema["id"].dataType)
-    wanted = (
-        asked.select(*by, F.col(ask).cast("double").alias("_at"))
-        .distinct()
-        .withColumns({"_tier": nothing, "_band": band(F.col("_at"))})
-    )
+    order = [*by, "_at", "_kind", "_tie"]
+    kinds = {c: asks.schema[c].dataType for c in by}
+    keys = [F.col(c).cast(kinds[c]).alias(c) for c in by]
+    offered = tiers.dropna(subset=[*by, floor])
+    offered = offered.select(
+        *keys, F.col(floor).cast("double").alias("_at"), F.lit(1).alias("_kind"), (-F.col("id").cast("bigint")).alias("_tie"),
+        F.struct(*keys, *take).alias("_tier"), F.lit(None).cast(asks.schema).alias("_row"),
+    )
+    asked = asks.dropna(subset=[*by, ask]).select(
+        *by, F.col(ask).cast("double").alias("_at"), F.lit(2).alias("_kind"), F.xxhash64(*asks.columns).alias("_tie"),
+        F.lit(None).cast(offered.schema["_tier"].dataType).alias("_tier"), F.struct(*asks.columns).alias("_row"),
+    )
+    line = offered.unionByName(asked).repartitionByRange(*order).sortWithinPartitions(*order)
+    line = settled(line.select("_tier", "_row", F.monotonically_increasing_id().alias("_no")), "line")
+    line = line.withColumn("_part", F.shiftright("_no", PART_BITS))
 
-    marks = steps.withColumn("_kind", F.lit(1)).unionByName(wanted.withColumn("_kind", F.lit(2)))
-    line = Window.partitionBy(*by, "_band").orderBy("_at", "_kind")
-    in_band = marks.select(
-        *by,
-        "_band",
-        "_at",
-        "_kind",
-        F.last("_tier", ignorenulls=True).over(line.rowsBetween(first, Window.currentRow)).alias("_here"),
-        F.last("_tier", ignorenulls=True).over(line.rowsBetween(first, last)).alias("_top"),
-    )
-    below = Window.partitionBy(*by).orderBy("_band").rowsBetween(first, -1)
-    bands = in_band.groupBy(*by, "_band").agg(F.max("_top").alias("_top"))
-    inherited = bands.select(*by, "_band", F.last("_top", ignorenulls=True).over(below).alias("_below"))
-    # Every band has its line in ``inherited``. The left join keeps both reads of the marks alike, so
-    # that Spark shuffles them once.
-    best = in_band.filter("_kind = 2").join(inherited, [*by, "_band"], "left")
-    best = best.select(*by, F.col("_at").alias("_ask"), F.coalesce("_here", "_below").alias("_tier")).dropna()
-    found = best.join(tiers.select(F.col("id").alias("_tier"), *take), "_tier").drop("_tier")
-    priced = asked.withColumn("_ask", F.col(ask).cast("double")).join(found, [*by, "_ask"], "left")
-    # Rows that cannot have a tier stay out of the join, where their missing keys would meet.
-    open_ended = reduce(or_, [F.col(c).isNull() for c in (*by, ask)])
-    return priced.drop("_ask").unionByName(asks.filter(open_ended), allowMissingColumns=True)
+    ends = line.groupBy("_part").agg(F.max_by("_tier", F.when(F.col("_tier").isNotNull(), F.col("_no"))).alias("_end"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as partitions
+    ends = ends.select("_part", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    here = Window.partitionBy("_part").orderBy("_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = line.withColumn("_last", F.last("_tier", ignorenulls=True).over(here)).filter("_row IS NOT NULL")
+    found = found.join(ends, "_part").withColumn("_last", F.coalesce("_last", "_carried"))
+    same = reduce(and_, [F.col(f"_last.{c}") == F.col(f"_row.{c}") for c in by])
+    kept = [c for c in asks.columns if c not in take]
+    priced = found.select(*[F.col(f"_row.{c}").alias(c) for c in kept], *[F.when(same, F.col(f"_last.{c}")).alias(c) for c in take])
+    # Rows that cannot have a tier stay out of the line, where their missing keys would meet.
+    open_ended = asks.filter(reduce(or_, [F.col(c).isNull() for c in (*by, ask)]))
+    types = {f.name: f.dataType for f in tiers.schema.fields}
+    nothing = [F.lit(None).cast(types[c]).alias(c) for c in take]
+    return priced.unionByName(open_ended.select(*kept, *nothing))

@@ -7,16 +7,17 @@ wins, field by field. "First match" lookups take the lowest id.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.columns import attach
-from quayside.functions.durable import settled
 from quayside.functions.lookup import best_tier, last_by, lowest_id
-from quayside.sources.catalog import Erp
+from quayside.functions.numbering import of_group
+from quayside.sources.catalog import Catalog, Erp
 from quayside.sources.decisions import decision_types, ordered_decisions
 
 ORIGIN = "Planner"
@@ -24,9 +25,12 @@ ORIGIN = "Planner"
 
 @dataclass
 class Plan:
-    """Writes by name, counts per kind, and messages about rows that could not be used."""
+    """Writes by name, counts per kind, and messages about rows that could not be used.
 
-    writes: dict[str, DataFrame]
+    In a table of new records, ``_row`` is the first row that asked for the record.
+    """
+
+    writes: Mapping[str, DataFrame]
     counts: DataFrame
     messages: DataFrame | None = None
 
@@ -35,14 +39,20 @@ class Plan:
 class Batch:
     """Everything a batch of decisions leads to.
 
-    ``deletes`` holds the records of earlier batches to remove before the writes are applied.
+    ``deletes`` holds the records of earlier batches to remove before the writes are applied. ``placed`` are the writes
+    with ``_row`` wherever they are new records: the first row that asked for the record. A table is planned when it is
+    first asked for, so counts alone run no lookup.
     """
 
-    writes: dict[str, DataFrame]
+    placed: Mapping[str, DataFrame]
     deletes: dict[str, DataFrame]
     outcome: DataFrame
     messages: DataFrame
 
+    @property
+    def writes(self) -> Mapping[str, DataFrame]:
+        return Catalog({name: lambda name=name: self.placed[name].drop("_row") for name in self.placed})
+
 
 def _given(column: str) -> Column:
     """A key that is neither missing nor 0."""
@@ -61,12 +71,15 @@ def plan_purchases(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
     """One order per supplier, one line per decision, priced by the vendor's best tier.
 
     The order takes the currency of the last line whose tier has one. The line's price is that of
-    its tier; without a tier it is left to the loader.
+    its tier; without a tier it is left to the loader. A row without a supplier is an error: no order can be made for it.
     """
-    rows = attach(
-        rows, erp["product_product"], "_odoo_product_id", row_id="decision_id", product_tmpl_id="product_tmpl_id"
+    ordered = _given("_odoo_supplier_id")
+    messages = rows.filter(~ordered).select(
+        "decision_type", "row_no", F.concat(F.lit("Row "), F.col("row_no").cast("string"), F.lit(": missing supplier_id")).alias("message")
+    )
+    asked = attach(
+        rows.filter(ordered), erp["product_product"], "_odoo_product_id", row_id="decision_id", product_tmpl_id="product_tmpl_id"
     )
-    rows = settled(rows, "purchases")  # the lookup reads them four times
     tiers = erp["product_supplierinfo"].select(
         F.col("partner_id").alias("_odoo_supplier_id"),
         "product_tmpl_id",
@@ -76,34 +89,41 @@ def plan_purchases(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
         F.col("price").alias("price_unit"),
         F.col("currency_id").alias("tier_currency_id"),
     )
-    priced = best_tier(
-        rows,
-        tiers,
-        ("_odoo_supplier_id", "product_tmpl_id"),
-        "quantity",
-        "min_qty",
-        ("supplierinfo_id", "price_unit", "tier_currency_id"),
-    )
     unit = "product_uom" if erp.variant == "18" else "product_uom_id"
-    lines = priced.select(
-        "decision_id",
-        "row_no",
-        F.col("_odoo_supplier_id").alias("partner_id"),
-        F.col("_odoo_product_id").alias("product_id"),
-        F.col("quantity").alias("product_qty"),
-        F.col("_odoo_uom_id").alias(unit),
-        F.col("end_date").alias("date_planned"),
-        "supplierinfo_id",
-        "price_unit",
-        "tier_currency_id",
-    )
-    orders = lines.groupBy("partner_id").agg(
-        F.lit(origin).alias("origin"),
-        last_by("tier_currency_id", "row_no", F.col("tier_currency_id").isNotNull()).alias("currency_id"),
-        F.count("*").alias("line_count"),
-    )
-    writes = {"purchase_orders": orders, "purchase_order_lines": lines}
-    return Plan(writes, _counts(rows, "PO", created=F.lit(1)))
+
+    @cache
+    def lines() -> DataFrame:
+        priced = best_tier(
+            asked,
+            tiers,
+            ("_odoo_supplier_id", "product_tmpl_id"),
+            "quantity",
+            "min_qty",
+            ("supplierinfo_id", "price_unit", "tier_currency_id"),
+        )
+        return priced.select(
+            "decision_id",
+            "row_no",
+            F.col("_odoo_supplier_id").alias("partner_id"),
+            F.col("_odoo_product_id").alias("product_id"),
+            F.col("quantity").alias("product_qty"),
+            F.col("_odoo_uom_id").alias(unit),
+            F.col("end_date").alias("date_planned"),
+            "supplierinfo_id",
+            "price_unit",
+            "tier_currency_id",
+        )
+
+    def orders() -> DataFrame:
+        return lines().groupBy("partner_id").agg(
+            F.lit(origin).alias("origin"),
+            last_by("tier_currency_id", "row_no", F.col("tier_currency_id").isNotNull()).alias("currency_id"),
+            F.count("*").alias("line_count"),
+            F.min("row_no").alias("_row"),
+        )
+
+    writes = Catalog({"purchase_orders": orders, "purchase_order_lines": lines})
+    return Plan(writes, _counts(rows, "PO", created=ordered, errors=~ordered), messages)
 
 
 def plan_productions(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
@@ -119,6 +139,7 @@ def plan_productions(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
         F.col("end_date").alias("date_finished"),
         F.lit(0.0).alias("qty_producing"),
         F.lit(origin).alias("origin"),
+        F.col("row_no").alias("_row"),
     )
     return Plan({"production_orders": orders}, _counts(rows, "MO", created=F.lit(1)))
 
@@ -151,7 +172,7 @@ def plan_transfers(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
     usable = rows.join(place("origin_location", "location_id"), "origin_location")
     usable = usable.join(place("destination_location", "location_dest_id"), "destination_location")
     transfers = usable.groupBy("origin_location", "destination_location", "location_id", "location_dest_id").agg(
-        F.min_by("start_date", "row_no").alias("scheduled_date"), F.count("*").alias("move_count")
+        F.min_by("start_date", "row_no").alias("scheduled_date"), F.count("*").alias("move_count"), F.min("row_no").alias("_row")
     )
     typed = transfers.join(by_place.withColumnRenamed("default_location_src_id", "location_id"), "location_id", "left")
     typed = typed.select(
@@ -163,6 +184,7 @@ def plan_transfers(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
         "scheduled_date",
         "move_count",
         F.lit(origin).alias("origin"),
+        "_row",
     )
     moves = usable.select(
         "decision_id",
@@ -256,6 +278,7 @@ def plan_orderpoints(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
         last_by("max_quantity", "row_no").alias("product_max_qty"),
         last_by("supplier_id", "row_no", F.col("supplier_id").isNotNull()).alias("supplier_id"),
         F.count("*").alias("row_count"),
+        F.min("row_no").alias("_row"),
     )
     new = F.col("orderpoint_id").isNull()
     updates = merged.filter(~new).select("orderpoint_id", "product_min_qty", "product_max_qty", "supplier_id")
@@ -266,6 +289,7 @@ def plan_orderpoints(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
         "product_max_qty",
         "supplier_id",
         F.concat(F.lit(f"{origin}-"), F.col("product_id").cast("string")).alias("name"),
+        "_row",
     )
     made = F.when(new, 1).otherwise(0)
     counts = _counts(merged, "ORDERPOINT", created=made, updated=F.col("row_count") - made)
@@ -336,7 +360,7 @@ def plan_decisions(
     With ``cleanup`` the drafts of earlier batches are listed for deletion, and reorder rules among
     them no longer count as existing.
     """
-    numbered = ordered_decisions(decisions)
+    numbered = ordered_decisions(decisions, tuple(PLANNERS))
     deletes = {}
     if cleanup:
         stale = earlier_output(erp, company_id, origin)
@@ -345,7 +369,7 @@ def plan_decisions(
         relation = CLEANED["ORDERPOINT"]
         if relation in deletes:
             kept = erp[relation].join(deletes[relation], "id", "left_anti")
-            erp = Erp(erp.tables.replacing(**{relation: kept}), erp.variant, erp.languages, erp.price_key)
+            erp = replace(erp, tables=erp.tables.replacing(**{relation: kept}))
 
     strays = unknown_types(numbered)
     counts = strays.select(
@@ -356,12 +380,12 @@ def plan_decisions(
         F.lit(None).cast("bigint").alias("row_no"),
         F.concat(F.lit("Unknown decision type: "), F.col("decision_type")).alias("message"),
     )
-    writes: dict[str, DataFrame] = {}
+    writes: dict[str, Callable[[], DataFrame]] = {}
     for kind, planner in PLANNERS.items():
-        plan = planner(numbered.filter(F.col("decision_type") == kind), erp, origin)
-        writes |= plan.writes
+        plan = planner(of_group(numbered, "decision_type", kind), erp, origin)
+        writes |= {name: lambda plan=plan, name=name: plan.writes[name] for name in plan.writes}
         counts = counts.unionByName(plan.counts)
         if plan.messages is not None:
             messages = messages.unionByName(plan.messages)
     outcome = counts.groupBy("decision_type").agg(*[F.sum(c).alias(c) for c in ("created", "updated", "errors")])
-    return Batch(writes, deletes, outcome, messages)
+    return Batch(Catalog(writes), deletes, outcome, messages)

@@ -22,13 +22,17 @@ def conform_decisions(df: DataFrame) -> DataFrame:
 
 
 def read_decisions(spark: SparkSession, prefix: str) -> DataFrame:
-    """``decisions.parquet`` (a file or a folder) under ``prefix``."""
-    return conform_decisions(utc(spark).read.parquet(f"{prefix.rstrip('/')}/decisions.parquet"))
+    """``decisions.parquet`` (a file or a folder) under ``prefix``; its columns are those of all its files."""
+    return conform_decisions(utc(spark).read.option("mergeSchema", True).parquet(f"{prefix.rstrip('/')}/decisions.parquet"))
 
 
-def ordered_decisions(decisions: DataFrame) -> DataFrame:
-    """Decisions that have a type, with ``row_no``: their place among their type, by time and id."""
-    return number_rows(conform_decisions(decisions), "decision_type", ("decision_timestamp", "decision_id"))
+def ordered_decisions(decisions: DataFrame, folders: tuple[str, ...] = ()) -> DataFrame:
+    """Decisions that have a type, with ``row_no``: their place among their type, by time and id.
+
+    ``folders``: types that are read apart later, by ``numbering.of_group``.
+    """
+    order = ("decision_timestamp", "decision_id")
+    return number_rows(conform_decisions(decisions), "decision_type", order, folders=folders)
 
 
 def decision_types(decisions: DataFrame) -> DataFrame:

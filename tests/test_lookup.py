@@ -5,8 +5,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quayside.functions.lookup import band, best_tier, last_by, lowest_id
-from quayside.functions.numbering import number_rows
+from quayside.functions.lookup import best_tier, last_by, lowest_id
+from quayside.functions.numbering import number_rows, of_group
 
 
 def brute_force(asks, tiers):
@@ -44,12 +44,29 @@ def test_best_tier_any_amounts(spark, asks, tiers):
     assert spark_tiers(spark, a, t) == brute_force(a, t)
 
 
-def test_bands_never_fall(spark):
-    rng = random.Random(5)
-    xs = sorted([rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300) for _ in range(3000)] + [0.0, float("inf"), -float("inf")])
-    xs.append(float("nan"))
-    got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").coalesce(1).select(band(F.col("x"))).collect()]
-    assert got == sorted(got)
+def test_one_key_fills_all_tasks(spark):
+    """A pair with most of the amounts is spread over the partitions, and the plan has few exchanges."""
+    asks = spark.range(200_000).select(F.col("id").alias("ask_id"), F.lit(1).alias("k"), (F.col("id") % 99_991).cast("double").alias("qty"))
+    tiers = spark.range(50).select("id", F.lit(1).alias("k"), (F.col("id") * 2000).cast("double").alias("min_qty"))
+    found = best_tier(asks, tiers.withColumn("tier_id", F.col("id")), ("k",), "qty", "min_qty", ("tier_id",))
+    assert found.filter("NOT tier_id <=> CAST(floor(qty / 2000) AS BIGINT)").isEmpty() and found.count() == 200_000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 4 and "Python" not in plan
+    (path,) = {f.rsplit("/", 1)[0] for f in found.inputFiles()}
+    parts = spark.read.parquet(path).groupBy(F.shiftright("_no", 33)).count().collect()
+    assert len(parts) >= 4 and max(r["count"] for r in parts) < 100_000
+
+
+def test_lookup_keeps_rows_and_types(spark):
+    """Equal rows, text keys beside number keys, a taken column of another type, and asks that can have no tier."""
+    asks = spark.createDataFrame([("a", 1, 5.0), ("a", 1, 5.0), ("b", 1, 5.0), (None, 1, 5.0), ("a", 1, None)], "k string, m int, qty double")
+    tiers = spark.createDataFrame([(7, "a", 1, 5.0, "x"), (3, "a", 1, 5.0, "y"), (1, "a", 1, 9.0, "z"), (2, "b", 1, None, "n")], "id int, k string, m long, floor double, name string")
+    rows = sorted(map(str, best_tier(asks, tiers, ("k", "m"), "qty", "floor", ("name",)).collect()))
+    assert rows == sorted([
+        "Row(k='a', m=1, qty=5.0, name='y')", "Row(k='a', m=1, qty=5.0, name='y')", "Row(k='b', m=1, qty=5.0, name=None)",
+        "Row(k=None, m=1, qty=5.0, name=None)", "Row(k='a', m=1, qty=None, name=None)",
+    ])
+    assert best_tier(asks.limit(0), tiers, ("k", "m"), "qty", "floor", ("name",)).count() == 0
 
 
 def test_lowest_id_and_last_value(spark):
@@ -70,3 +87,15 @@ def test_rows_are_numbered_per_group(spark, partitions):
         group = sorted((r for r in rows if r[1] == kind), key=lambda r: (r[2], r[0]))
         want |= {r[0]: n for n, r in enumerate(group)}
     assert {r.id: r.row_no for r in number_rows(df, "kind", ("at", "id")).collect()} == want
+
+
+def test_groups_have_folders(spark):
+    """A wanted group is read from its folder alone; any number of other groups share one."""
+    rows = [(i, f"junk{i}" if i % 2 else "ab"[i % 4 // 2], i) for i in range(400)]
+    numbered = number_rows(spark.createDataFrame(rows, "id long, kind string, at long"), "kind", ("at",), folders=("a", "b"))
+    assert len({f.rsplit("/", 2)[1] for f in numbered.inputFiles() if "kind_folder" in f}) == 3
+    only = of_group(numbered, "kind", "a")
+    plan = only._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(kind_folder" in plan and "(kind_folder" in plan
+    assert sorted((r.row_no, r.id) for r in only.collect()) == [(n, 4 * n) for n in range(100)]
+    assert of_group(numbered, "kind", "junk1").count() == 0  # not a wanted group: it has no folder of its own

@@ -78,8 +78,12 @@ def loop(decisions, cleanup=True):
         outcome[kind] = (0, 0, 1)
         messages.append((kind, None, f"Unknown decision type: {kind}"))
 
-    headers, lines = {}, []
+    headers, lines, nobody = {}, [], 0
     for i, r in enumerate(by_kind.get("PO", [])):
+        if not r["_odoo_supplier_id"]:
+            nobody += 1
+            messages.append(("PO", i, f"Row {i}: missing supplier_id"))
+            continue
         head = headers.setdefault(r["_odoo_supplier_id"], [None, 0])
         fits = [t for t in tiers if t["partner_id"] == r["_odoo_supplier_id"] and t["product_tmpl_id"] == template.get(r["_odoo_product_id"], -1)
                 and r["quantity"] is not None and t["min_qty"] <= r["quantity"]]
@@ -88,7 +92,7 @@ def loop(decisions, cleanup=True):
         lines.append((r["decision_id"], i, r["_odoo_supplier_id"], tier["id"], tier["price"], tier["currency_id"], r["end_date"]))
     out["orders"] = {k: tuple(v) for k, v in headers.items()}
     out["lines"] = sorted(lines)
-    outcome["PO"], outcome["MO"] = (len(lines), 0, 0), (len(by_kind.get("MO", [])), 0, 0)
+    outcome["PO"], outcome["MO"] = (len(lines), 0, nobody), (len(by_kind.get("MO", [])), 0, 0)
 
     transfers, moves = {}, []
     for i, r in enumerate(by_kind.get("DO", [])):
