@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,23 +11,29 @@ from pyspark.sql import functions as F
 from checks.exports import entity_sql, erp
 from checks.writeback import COMPANY
 from checks.writeback import oracle_sql as writeback_sql
+from checks.writeback import rules_kept as writeback_rules_kept
 from quayside.functions.columns import json_text, language_key
 from quayside.functions.durable import scratch_path
 from quayside.functions.lists import id_lists
 from quayside.operators import export, runlog
 from quayside.operators.chunks import chunk_plan, entity_chunks, entity_cut, id_span, key_range, primary_relation
 from quayside.operators.integrity import LINKS, integrity_report
-from quayside.operators.profile import profile
+from quayside.operators.profile import capabilities, profile
 from quayside.operators.stock import packages
 from quayside.plans.export import read_entity, run_export, versions_of, write_entity
-from quayside.plans.manifest import manifest_files, read_manifest, recount, validate_files, validate_manifest
+from quayside.plans.manifest import (
+    file_facts, manifest_files, read_manifest, recount, validate_files, validate_manifest, write_manifest,
+)
+from quayside.plans.receive import receive
 from quayside.schemas import CHUNKABLE, ENTITIES, decision_schema, key_column
 from quayside.sources.catalog import parquet_catalog
-from quayside.sources.decisions import conform_decisions, read_decisions
+from quayside.sources.decisions import conform_decisions, decision_types, read_decisions
 from quayside.sources.driver_tables import RELATIONS, with_relations
-from quayside.sources.files import checksums, list_files, row_counts
+from quayside.sources.files import checksums, copy_file, list_files, row_counts
 from quayside.streaming.inbox import plan_stream
+from quayside.streaming.ledger import ledger
 
+AT = datetime(2024, 1, 1, tzinfo=UTC)
 MAX_ROWS = 4_000  # small, so that the test tables are cut at all
 EXPORTED = ("partner", "sale_order", "sale_order_line", "stock_quant", "pos_order_line")
 SOURCES = tuple(name for name in RELATIONS if name not in ("li", "ptype", "pbrand"))
@@ -97,9 +104,10 @@ def _manifest_rows(spark, sf_dir):
 
 def _document(spark, sf_dir):
     manifest = read_manifest(spark, _exported(spark, sf_dir))
+    document = manifest.document
     fields = [F.try_variant_get("manifest", f"$.{n}", "string").alias(n) for n in ("export_mode", "odoo_version", "company")]
     entries = manifest_files(manifest).agg(F.count_distinct("collector").alias("entities"), F.sum("rows").alias("rows"))
-    return manifest.select(*fields, F.try_variant_get("manifest", "$.run_uuid", "string").isNotNull().alias("named")).join(entries)
+    return document.select(*fields, F.try_variant_get("manifest", "$.run_uuid", "string").isNotNull().alias("named")).join(entries)
 
 
 def _full_export(spark, sf_dir):
@@ -107,7 +115,7 @@ def _full_export(spark, sf_dir):
     root = scratch_path(spark, "export")
     run_export(erp(spark, sf_dir), root, spark=spark, source_version="19.0")
     manifest = read_manifest(spark, root)
-    errors = manifest.select(F.size(F.try_variant_get("manifest", "$.errors", "array<string>"))).scalar()
+    errors = manifest.document.select(F.size(F.try_variant_get("manifest", "$.errors", "array<string>"))).scalar()
     return manifest_files(manifest).groupBy("collector").agg(F.sum("rows").alias("rows"), F.first(errors).alias("errors"))
 
 
@@ -183,6 +191,86 @@ def _streamed(name):
     return run
 
 
+def _drop(spark, sf_dir, inbox, name, run_uuid, files=None, entries=None):
+    """A drop with the decisions of the source and a manifest that lists them; ``files`` and ``entries`` change its parts."""
+    at = f"{inbox}/{name}"
+    decisions = conform_decisions(erp(spark, sf_dir)["decisions"])
+    if files is None:
+        decisions.write.parquet(f"{at}/decisions.parquet")
+    listed = file_facts(spark, files or at)
+    listed = entries(listed) if entries else listed
+    write_manifest(listed, at, company="", company_id=COMPANY, source_version="", run_uuid=run_uuid, started_at=None, finished_at=AT)
+
+
+def _received(spark, sf_dir):
+    at = scratch_path(spark, "inbound")
+    _drop(spark, sf_dir, at, "a", "1")
+    return receive(spark, f"{at}/a", erp(spark, sf_dir), COMPANY).batch.outcome
+
+
+def _damaged(spark, sf_dir):
+    """A drop that lists one lost file for each type of decision, and wrong checksums for those that are there."""
+    at, kinds = scratch_path(spark, "inbound"), decision_types(erp(spark, sf_dir)["decisions"])
+
+    def spoilt(listed):
+        lost = kinds.select(F.concat(F.lit("decisions.parquet/"), "decision_type", F.lit(".parquet")).alias("file"))
+        return listed.withColumn("checksum", F.lit("sha256:00")).unionByName(lost, allowMissingColumns=True)
+
+    _drop(spark, sf_dir, at, "a", "1", entries=spoilt)
+    got = receive(spark, f"{at}/a", erp(spark, sf_dir), COMPANY)
+    return got.errors.select("error", F.regexp_replace("detail", "(Checksum mismatch).*", "$1").alias("detail")).distinct()
+
+
+def _run_stream(spark, sf_dir, at, **options):
+    paths = [f"{at}/in", erp(spark, sf_dir), COMPANY, f"{at}/out", f"{at}/state"]
+    plan_stream(spark, *paths, manifests=True, **options).awaitTermination()
+    return f"{at}/out"
+
+
+def _by_manifest(spark, sf_dir):
+    at = scratch_path(spark, "drops")
+    _drop(spark, sf_dir, f"{at}/in", "a", "1")
+    return spark.read.parquet(f"{_run_stream(spark, sf_dir, at)}/outcome").drop("batch", "prefix")
+
+
+def _states(spark, out):
+    """What became of each drop, with the rows of its outcome."""
+    done = spark.read.parquet(f"{out}/outcome").groupBy("prefix").agg(F.sum(F.col("created") + F.col("updated") + F.col("errors")).alias("rows"))
+    states = ledger(spark, out).join(done, "prefix", "left")
+    return states.select(F.element_at(F.split("prefix", "/"), -1).alias("drop"), "state", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+def _repeated_drop(spark, sf_dir):
+    """The same drop again under another prefix, found by a later trigger."""
+    at = scratch_path(spark, "drops")
+    _drop(spark, sf_dir, f"{at}/in", "a", "1")
+    _run_stream(spark, sf_dir, at)
+    _drop(spark, sf_dir, f"{at}/in", "b", "1", files=f"{at}/in/a")
+    return _states(spark, _run_stream(spark, sf_dir, at))
+
+
+def _late_drop(spark, sf_dir):
+    """A drop whose manifest comes first and whose files come later; ``waited`` is what the first trigger saw."""
+    at = scratch_path(spark, "drops")
+    _drop(spark, sf_dir, f"{at}/kept", "a", "1")
+    _drop(spark, sf_dir, f"{at}/in", "a", "1", files=f"{at}/kept/a")
+    out = _run_stream(spark, sf_dir, at)
+    waited = ledger(spark, out).filter("state = 'waiting'").count() == 1
+    for path in spark.read.format("binaryFile").load(f"{at}/kept/a/decisions.parquet").select("path").collect():
+        copy_file(spark, path[0], f"{at}/in/a/decisions.parquet/{path[0].rsplit('/', 1)[-1]}")
+    return _states(spark, _run_stream(spark, sf_dir, at)).withColumn("waited", F.lit(waited))
+
+
+def _earlier_records(spark, sf_dir):
+    """The rules that a first drop makes, as a second one with the same wishes updates them by their planned ids."""
+    at = scratch_path(spark, "drops")
+    for name in ("a", "b"):
+        _drop(spark, sf_dir, f"{at}/in", name, name)
+    out = _run_stream(spark, sf_dir, at, cleanup=False)
+    made = spark.read.parquet(f"{out}/orderpoint_creates").select(F.col("planned_id").alias("orderpoint_id"), "product_id", "location_id")
+    return spark.read.parquet(f"{out}/orderpoint_updates").drop("batch", "prefix").join(made, "orderpoint_id").drop("orderpoint_id")
+
+
 def _runs(spark, sf_dir):
     source = erp(spark, sf_dir)
     return source["export_run"], source["export_chunk"]
@@ -213,6 +301,13 @@ def _named_chunks(spark, sf_dir):
     return chunks.select("id", runlog.chunk_file_name().alias("file"))
 
 
+def _capabilities(spark, sf_dir):
+    row = capabilities(erp(spark, sf_dir))
+    parts = [F.col(f"{g}.{f.name}").alias(f"{g}_{f.name}") for g in ("modules", "data") for f in row.schema[g].dataType.fields]
+    spoken = [F.array_join("languages.active", ",").alias("active"), *[F.col(f"languages.lang{i}").alias(f"lang{i}") for i in (1, 2, 3)]]
+    return row.select("mode", "odoo_version", "database", "warehouses", "companies", *parts, *spoken)
+
+
 def _language_texts(spark, sf_dir):
     """Language lookup with a present, a partly missing, an absent and a malformed language code."""
     codes = {"en": "en_US", "fr": "fr_FR", "de": "de_DE", "bad": "en_US'"}
@@ -256,6 +351,14 @@ def queries():
         "runlog_chunk_files": _named_chunks,
         "runlog_cancelled_runs": _cancelled(0),
         "runlog_cancelled_chunks": _cancelled(1),
+        "file_checksums_all": lambda s, d: checksums(s, d),
+        "capabilities_summary": _capabilities,
+        "receive_outcome": _received,
+        "receive_damaged": _damaged,
+        "stream_by_manifest": _by_manifest,
+        "stream_repeated_drop": _repeated_drop,
+        "stream_late_drop": _late_drop,
+        "stream_earlier_records": _earlier_records,
         "stream_outcome": _streamed("outcome"),
         "stream_transfers": _streamed("transfers"),
         "stream_messages": _streamed("messages"),
@@ -305,6 +408,16 @@ def oracle_sql():
         "active_languages": "(SELECT string_agg(code, ',' ORDER BY code) FROM res_lang WHERE active)",
         "mode": "'inventory'",
     }
+    names = {"stock": "stock", "sale": "sale", "purchase": "purchase", "mrp": "mrp", "mrp_subcontracting": "mrp_subcontracting",
+             "mrp_mps": "mrp_mps", "product_expiry": "product_expiry", "pos": "pos", "quality": "quality"}
+    data = {"inventory": "inventory_data", "open_moves": "open_moves", "manufacturing": "manufacturing_data", "orderpoints": "orderpoint_data",
+            "sales": "sale_data", "purchases": "purchase_data", "supplier_info": "supplier_info"}
+    code = "(SELECT code FROM res_lang WHERE active ORDER BY code LIMIT 1 OFFSET {})"
+    shown = {
+        "mode": flags["mode"], "odoo_version": flags["source_version"], "database": "''", "warehouses": flags["warehouse_count"],
+        "companies": flags["company_count"], "active": flags["active_languages"],
+    } | {f"modules_{n}": flags[f"has_{f}"] for n, f in names.items()} | {f"data_{n}": flags[f"has_{f}"] for n, f in data.items()}
+    shown |= {"lang1": f"ifnull({code.format(0)}, 'en_US')", "lang2": code.format(1), "lang3": code.format(2)}
     involved = {e for child, _, parent in LINKS for e in (child, parent)}
     exported = {f"x_{e}": entity_sql(e) for e in sorted(involved)}
     entity_rows = " UNION ALL ".join(
@@ -385,6 +498,18 @@ def oracle_sql():
         "runlog_cancelled_chunks": with_relations(
             f"SELECT id, state FROM export_chunk WHERE NOT (state IN ('pending', 'created') AND run_id IN (SELECT id FROM export_run WHERE {stopped}))"
         ),
+        "capabilities_summary": with_relations("SELECT " + ", ".join(f"{v} AS {k}" for k, v in shown.items())),
+        "receive_outcome": shared["decision_outcome"],
+        "receive_damaged": with_relations(
+            """SELECT DISTINCT 'Manifest validation failed' AS error, 'Missing file: decisions.parquet/' || decision_type || '.parquet' AS detail
+            FROM decisions WHERE decision_type IS NOT NULL UNION ALL SELECT 'Manifest validation failed', 'Checksum mismatch'"""
+        ),
+        "stream_by_manifest": shared["decision_outcome"],
+        "stream_repeated_drop": f"""SELECT 'a' AS "drop", 'planned' AS state, sum(created + updated + errors)::BIGINT AS rows FROM ({shared["decision_outcome"]}) AS o
+            UNION ALL SELECT 'b', 'repeated', 0""",
+        "stream_late_drop": f"""SELECT 'a' AS "drop", 'planned' AS state, sum(created + updated + errors)::BIGINT AS rows, TRUE AS waited
+            FROM ({shared["decision_outcome"]}) AS o""",
+        "stream_earlier_records": writeback_rules_kept(),
         "stream_outcome": shared["decision_outcome"],
         "stream_transfers": shared["plan_transfers"],
         "stream_messages": shared["decision_messages"],

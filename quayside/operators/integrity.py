@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.columns import ids_only
 from quayside.operators.registry import export
 from quayside.schemas import key_column
 from quayside.sources.catalog import Erp
@@ -67,7 +68,7 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataF
 def integrity_report(erp: Erp, links=LINKS) -> DataFrame:
     """Per dependency: how many rows of the child point to no parent, and by how many keys.
 
-    Each entity is exported once. A row hands out one (parent, id) pair for each of its keys, and one
+    Each entity is exported once, for its ids alone: no names are looked up. A row hands out one (parent, id) pair for each of its keys, and one
     for itself if it is a parent. Pairs are counted before they meet, in one grouping on (parent, id).
     """
     parts = []
@@ -77,7 +78,9 @@ def integrity_report(erp: Erp, links=LINKS) -> DataFrame:
         if entity in parents:
             pairs.append((F.lit(None).cast("string"), F.lit(entity), F.col(key_column(entity))))
         pairs = [F.struct(c.alias("key_column"), p.alias("parent"), i.alias("id")) for c, p, i in pairs]
-        rows = export(entity, erp).select(F.explode(F.array(*pairs)).alias("held")).filter("held.id IS NOT NULL")
+        with ids_only():
+            rows = export(entity, erp)
+        rows = rows.select(F.explode(F.array(*pairs)).alias("held")).filter("held.id IS NOT NULL")
         parts.append(rows.groupBy(F.lit(entity).alias("child"), "held").agg(F.count("*").alias("rows")))
 
     counted = reduce(DataFrame.unionByName, parts).select("child", "held.*", "rows")

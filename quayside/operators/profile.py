@@ -85,6 +85,39 @@ def profile(erp: Erp) -> DataFrame:
     return one.select(*[c.alias(n) for n, c in facts.items()]).withColumn("mode", mode_of())
 
 
+# How the manifest names the flags.
+_CAPABILITIES = {
+    "modules": {
+        "stock": "has_stock", "sale": "has_sale", "purchase": "has_purchase", "mrp": "has_mrp", "mrp_subcontracting": "has_mrp_subcontracting",
+        "mrp_mps": "has_mrp_mps", "product_expiry": "has_product_expiry", "pos": "has_pos", "quality": "has_quality",
+    },
+    "data": {
+        "inventory": "has_inventory_data", "open_moves": "has_open_moves", "manufacturing": "has_manufacturing_data",
+        "orderpoints": "has_orderpoint_data", "sales": "has_sale_data", "purchases": "has_purchase_data", "supplier_info": "has_supplier_info",
+    },
+}
+
+
+def capabilities(erp: Erp, database: str = "") -> DataFrame:
+    """The profile as a manifest shows it: one row with the groups ``modules``, ``data`` and ``languages``.
+
+    The second and third language are NULL if the source has fewer; the first falls back to ``en_US``.
+    """
+    groups = [F.struct(*[F.col(flag).alias(n) for n, flag in names.items()]).alias(group) for group, names in _CAPABILITIES.items()]
+    codes = F.col("active_languages")
+    first = F.coalesce(F.get(codes, F.lit(0)), F.lit("en_US")).alias("lang1")
+    rest = [F.get(codes, F.lit(i)).alias(f"lang{i + 1}") for i in (1, 2)]
+    return profile(erp).select(
+        "mode",
+        F.col("source_version").alias("odoo_version"),
+        F.lit(database).alias("database"),
+        *groups,
+        F.col("warehouse_count").alias("warehouses"),
+        F.col("company_count").alias("companies"),
+        F.struct(codes.alias("active"), first, *rest).alias("languages"),
+    )
+
+
 def languages(erp: Erp) -> tuple[str, ...]:
     """The active languages for an :class:`Erp`; a handful of codes."""
     spark = erp["res_lang"].sparkSession

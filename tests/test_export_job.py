@@ -5,14 +5,16 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from checks.exports import erp
 from quayside import __version__
+from quayside.functions.columns import ids_only
 from quayside.operators import EXPORTS, compatible, registry
-from quayside.operators.profile import modules, profile
+from quayside.operators.profile import capabilities, modules, profile
 from quayside.plans.export import read_entity, run_export, versions_of, write_entity
 from quayside.plans.manifest import (
-    build_manifest, file_facts, manifest_files, malformed_entries, read_manifest, recount, validate_manifest, write_manifest,
+    file_facts, manifest_facts, manifest_files, malformed_entries, read_manifest, recount, validate_manifest, write_manifest,
 )
 from quayside.operators.chunks import Cut
 from quayside.sources.catalog import Catalog, Erp
@@ -168,9 +170,88 @@ def test_crowded_key_range_becomes_several_files(spark, tmp_path):
     assert sorted(r[0] for r in read_entity(spark, "partner", str(tmp_path)).collect()) == ids
 
 
-def test_manifest_row(spark):
-    files = spark.createDataFrame([("b", 1), ("a", 2)], "file string, rows long")
+def test_manifest_facts(spark):
     begin = datetime(2024, 1, 1, tzinfo=UTC)
-    row = build_manifest(files, company="c", company_id=1, source_version="", run_uuid="u", started_at=begin,
-                         finished_at=datetime(2024, 1, 1, 0, 0, 2, tzinfo=UTC), errors=["x: y"]).first()
-    assert [f.file for f in row.files] == ["a", "b"] and row.errors == ["x: y"] and row.total_duration_seconds == 2.0
+    head, tail = manifest_facts(spark, company="c", company_id=1, source_version="", run_uuid="u", started_at=begin,
+                                finished_at=datetime(2024, 1, 1, 0, 0, 2, tzinfo=UTC), errors=["x: y"])
+    assert tail.first().errors == ["x: y"] and tail.first().total_duration_seconds == 2.0
+    assert head.first().company == "c" and head.first().export_mode == "full"
+
+
+FACTS = dict(company='a "b"\n', company_id=1, source_version="", run_uuid="u", started_at=None, finished_at=datetime(2024, 1, 1))
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_manifest_is_written_in_parts(spark, tmp_path, n):
+    files = spark.range(n).select(F.format_string("e/%05d \"x\n.parquet", F.lit(n) - F.col("id")).alias("file"), F.col("id").alias("rows"))
+    files = files.repartition(7)
+    for _ in range(2):  # written again, over the old one
+        write_manifest(files, str(tmp_path), **FACTS)
+    doc = document(tmp_path)
+    assert [f["file"] for f in doc["files"]] == [f'e/{i:05d} "x\n.parquet' for i in range(1, n + 1)]
+    assert doc["company"] == 'a "b"\n' and doc["run_uuid"] == "u" and list(doc)[-1] == "run_uuid"
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["manifest.json"]
+    manifest = read_manifest(spark, str(tmp_path))
+    assert sorted((r.file, r.rows) for r in manifest_files(manifest).collect()) == [(f["file"], f["rows"]) for f in doc["files"]]
+    assert malformed_entries(manifest).count() == 0
+    plan = manifest_files(manifest)._jdf.queryExecution().executedPlan().toString()
+    assert "wholetext" not in plan.lower() and "Generate" not in plan  # entries are lines, not one row
+
+
+def test_other_documents_are_read_whole(spark, tmp_path):
+    write_manifest(spark.createDataFrame([("a", 1), ("b", 2)], "file string, rows long"), str(tmp_path), **FACTS)
+    doc = document(tmp_path)
+    for text in (json.dumps(doc), json.dumps(doc, indent=2), json.dumps({"files": doc["files"], "x": {"files": []}}, indent=0)):
+        (tmp_path / ".manifest.json.crc").unlink(missing_ok=True)
+        (tmp_path / "manifest.json").write_text(text)
+        assert sorted(r.file for r in manifest_files(read_manifest(spark, str(tmp_path))).collect()) == ["a", "b"]
+    lines = ('{"x": 1, "files":[', '{"file": "a"}', '{"file": "b"}', "]")
+    (tmp_path / "manifest.json").write_text("\n".join(lines))
+    with pytest.raises(ValueError, match="not a JSON document"):
+        read_manifest(spark, str(tmp_path))
+
+
+def test_large_files_are_hashed_in_blocks(spark, tmp_path, monkeypatch):
+    for name, size in (("a b%é.parquet", 70_000), ("x/small.parquet", 10), ("x/large.parquet", 300_000)):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(bytes(i * i % 251 for i in range(size)))
+    before = sorted(map(tuple, checksums(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr("quayside.sources.files.STREAM_FROM", 50_000)
+    monkeypatch.setattr("quayside.sources.files._BLOCK", 999)
+    assert sorted(map(tuple, checksums(spark, str(tmp_path)).collect())) == before and len(before) == 3
+
+
+def test_a_file_beyond_a_row(spark, tmp_path):
+    size = 2**31 + 4096
+    with open(tmp_path / "huge.parquet", "wb") as file:
+        file.truncate(size)  # takes no disk
+    (row,) = checksums(spark, str(tmp_path)).collect()
+    total = hashlib.sha256()
+    for _ in range(2**31 // 2**20):
+        total.update(bytes(2**20))
+    total.update(bytes(4096))
+    assert (row.bytes, row.checksum) == (size, f"sha256:{total.hexdigest()}")
+
+
+def test_capabilities_are_grouped(spark, sf_dir, tmp_path):
+    source = erp(spark, sf_dir)
+    run_export(source, str(tmp_path), ["uom"], spark=spark, capabilities=capabilities(source, "db1"))
+    got = document(tmp_path)["capabilities"]
+    assert got["mode"] == "inventory" and got["database"] == "db1" and got["companies"] == 5
+    assert got["modules"] == {
+        "stock": True, "sale": True, "purchase": True, "mrp": False, "mrp_subcontracting": False, "mrp_mps": False, "product_expiry": False,
+        "pos": False, "quality": False,
+    }
+    assert set(got["data"]) == {"inventory", "open_moves", "manufacturing", "orderpoints", "sales", "purchases", "supplier_info"}
+    assert got["languages"]["lang1"] == got["languages"]["active"][0]
+
+
+def test_ids_only_leaves_out_name_joins(spark, sf_dir):
+    source = erp(spark, sf_dir)
+    with ids_only():
+        lean = EXPORTS["sale_order_line"](source)
+    full = EXPORTS["sale_order_line"](source)
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    ids = [c for c in full.columns if c.endswith("_id")]
+    assert lean.columns == full.columns and joins(lean) < joins(full)
+    assert lean.select(ids).exceptAll(full.select(ids)).isEmpty() and lean.count() == full.count()
