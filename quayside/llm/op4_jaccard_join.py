@@ -2,17 +2,19 @@
 
 Method: MinHash banding. Rows per band are fixed by ``ROWS``; the number of bands follows from the
 target recall at the threshold. Texts shuffle on their band hashes; texts that meet in a bucket are
-candidates, and every pair inside a connected group of candidates is verified on full n-gram sets.
+candidates, and every such pair is verified on full n-gram sets, once.
 
 1. Texts with the same words are one node; its copies are counted, never expanded.
-2. Each bucket gives the edges of a star, not its pairs; stars are joined into candidate groups.
-3. A group is verified by one task if it is small, else cut into blocks; every pair of blocks is one
+2. Buckets with the same nodes are one. A pair that meets in several is judged in the first of them.
+3. Families of near copies fill most of their bands with the same nodes again: where all pairs of a connected group are
+   fewer than the pairs of its buckets, the group is taken as one bucket. A chain of half similar texts is not.
+4. A bucket is verified by one task if it is small, else cut into blocks; every pair of blocks is one
    small task. A task gives each node's links and a spanning forest, so rows stay linear in each block.
-4. The forests are joined into classes.
+5. The forests are joined into classes.
 
-A group of g different texts costs g^2 / 2 comparisons, spread over its block pairs: counting each
-text's links exactly needs them. Nodes are 64-bit hashes: some 6 x 10^9 different texts are expected
-before two share one.
+A family of g different texts costs g^2 / 2 comparisons, spread over its block pairs: counting each
+text's links exactly needs them. Only candidates' texts travel, compressed, one for each node. Nodes are 64-bit
+hashes: some 6 x 10^9 different texts are expected before two share one.
 """
 
 from __future__ import annotations
@@ -22,13 +24,14 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
 
 from quayside.functions.durable import settled
 from quayside.llm.blocks import Block, U, blocks, mix
 from quayside.llm.components import components
+from quayside.llm.texts import released, small_batches, unpacked
 
 WORDS, SIMILARITY, RECALL, ROWS = 5, Fraction(4, 5), 0.9999, 5
 #: A block has about so many texts and n-grams at most.
@@ -85,27 +88,45 @@ def band_hashes(owner: np.ndarray, grams: np.ndarray, n: int, bands: int, rows:
 
 
 def signatures(docs: DataFrame, key: str, text: str, words: int, bands: int, rows: int) -> DataFrame:
-    """(key, node, n, bands) for each row; ``node`` is null for a text without words."""
+    """(key, row, node, n, bands, pack) for each row; ``node`` is null for a text without words, ``row`` a hash of key and
+    text, ``pack`` the compressed text."""
 
     def sign(batches):
+        tool = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            texts = batch.column(2)
+            for block in blocks(texts):
                 owner, grams, nodes = word_grams(block, words)
+                raw = block.data.tobytes()
+                packs = [tool.compress(raw[low:high]) for low, high in zip(block.bounds[:-1], block.bounds[1:], strict=True)]
                 columns = [
-                    batch.column(0).slice(block.first, block.n),
+                    batch.column(0).slice(block.first, block.n), batch.column(1).slice(block.first, block.n),
                     pa.array(nodes.view(np.int64), mask=nodes == 0),
                     pa.array(np.bincount(owner, minlength=block.n)),
-                    band_hashes(owner, grams, block.n, bands, rows),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "n", "bands"])
+                    band_hashes(owner, grams, block.n, bands, rows), pa.array(packs, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "row", "node", "n", "bands", "pack"])
 
     kind = docs.schema[key].dataType.simpleString()
-    rows_in = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows_in.mapInArrow(sign, f"key {kind}, node long, n long, bands array<long>")
+    rows_in = docs.select(F.col(key).alias("key"), F.xxhash64(key, text).alias("row"), F.col(text).alias("text"))
+    return rows_in.mapInArrow(released(sign), f"key {kind}, row long, node long, n long, bands array<long>, pack binary")
 
 
-def _verify(nodes, copies, part, sets, similarity: Fraction, across: bool):
-    """Links (copies counted) and root (smallest node reached) of the nodes of one pair of blocks."""
+def _elsewhere(seen: list[np.ndarray], bucket: int) -> np.ndarray | None:
+    """Which pairs of nodes already met in a bucket before this one; None: none did. ``seen``: the buckets of each node."""
+    owner = np.repeat(np.arange(len(seen)), [len(s) for s in seen])
+    flat = np.concatenate(seen)
+    owner, flat = owner[flat < bucket], flat[flat < bucket]
+    if not len(flat):
+        return None
+    _, column = np.unique(flat, return_inverse=True)
+    has = np.zeros((len(seen), int(column.max()) + 1), np.float32)
+    has[owner, column] = 1
+    return has @ has.T > 0
+
+
+def _verify(nodes, copies, part, sets, similarity: Fraction, across: bool, done: np.ndarray | None = None):
+    """Links (copies counted) and root (smallest node reached) of the nodes of one pair of blocks, but for pairs ``done``."""
     m = len(nodes)
     size = np.array([len(s) for s in sets])
     flat, owner = np.concatenate(sets), np.repeat(np.arange(m), size)
@@ -130,6 +151,8 @@ def _verify(nodes, copies, part, sets, similarity: Fraction, across: bool):
     np.fill_diagonal(linked, False)
     if across:
         linked &= part[:, None] != part[None, :]
+    if done is not None:
+        linked &= ~done
     links = linked @ copies
     root = nodes.copy()
     while True:
@@ -147,37 +170,49 @@ def _verifier(words: int, similarity: Fraction):
             if len(held) < 2:
                 return None
             nodes = np.array(list(held), np.int64)
-            copies, part, sets = zip(*held.values(), strict=True)
-            links, root = _verify(nodes, np.array(copies), np.array(part), sets, similarity, group[1] != group[2])
+            copies, part, seen, sets = zip(*held.values(), strict=True)
+            done = _elsewhere([np.array(s, np.int64) for s in seen], group[0])
+            links, root = _verify(nodes, np.array(copies), np.array(part), sets, similarity, group[1] != group[2], done)
             return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(root), pa.array(links)], ["node", "root", "links"])
 
         for batch in batches:
-            rows = batch.drop_columns(["text"]).to_pylist()
-            for block in blocks(batch.column("text")):
+            rows = batch.drop_columns(["pack"]).to_pylist()
+            for block in blocks(unpacked(batch.column("pack"))):
                 owner, grams, _ = word_grams(block, words)
                 cut = np.searchsorted(owner, np.arange(block.n + 1))
                 for i in range(block.n):
                     row = rows[block.first + i]
-                    at = row["comp"], row["i"], row["j"]
+                    at = row["bucket"], row["i"], row["j"]
                     if at != group:
                         if done := flush():
                             yield done
                         group, held = at, {}
-                    held[row["node"]] = (row["copies"], row["part"], np.unique(grams[cut[i] : cut[i + 1]]))
+                    held[row["node"]] = (row["copies"], row["part"], row["buckets"], np.unique(grams[cut[i] : cut[i + 1]]))
         if done := flush():
             yield done
 
-    return run
-
+    return released(run)
 
-def _node(words: int):
-    """The node of a text as a column function; 0 for a text without words."""
 
-    def run(texts: pa.Array) -> pa.Array:
-        found = [word_grams(b, words)[2] for b in blocks(texts)]
-        return pa.array((np.concatenate(found) if found else np.zeros(0, np.uint64)).view(np.int64))
-
-    return arrow_udf(run, "long").asNondeterministic()
+def meetings(nodes: DataFrame) -> DataFrame:
+    """(bucket, node): which nodes are to be compared with which; see the module's points 2 and 3."""
+    banded = nodes.select("node", F.explode("bands").alias("band"))
+    same = ["m", "lead", "last", "x", "y"]
+    buckets = banded.groupBy("band").agg(
+        F.count("*").alias("m"), F.min("node").alias("lead"), F.max("node").alias("last"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+    ).where("m > 1")
+    buckets = settled(buckets.groupBy(*same).agg(F.min("band").alias("band")).select("band", "m", "lead"), "buckets")
+    members = settled(banded.join(buckets.select("band", "lead"), "band"), "members")
+    groups = settled(components(members, "lead", "node"), "candidates")
+    pairs = F.sum(F.col("m").cast("double") * F.col("m"))
+    cost = buckets.join(groups, F.col("lead") == F.col("node")).groupBy("label").agg(pairs.alias("by_bucket"))
+    size = groups.groupBy("label").agg(F.count("*").alias("g"))
+    whole = F.col("g").cast("double") * F.col("g") <= F.col("by_bucket")
+    chosen = groups.join(size.join(cost, "label").select("label", whole.alias("whole")), "label")
+    chosen = settled(chosen.select("node", "label", "whole"), "groups")
+    apart = members.join(chosen.where(~F.col("whole")).select("node"), "node").select(F.col("band").alias("bucket"), "node")
+    return apart.unionByName(chosen.where("whole").select(F.col("label").alias("bucket"), "node"))
 
 
 def near_duplicates(
@@ -194,35 +229,34 @@ def near_duplicates(
     have one n-gram. Repeated rows link to each other. A null key is the highest. Other columns are not read;
     no rows give no rows.
     """
+    with small_batches(docs.sparkSession):
+        rows = _classified(docs, key, text, words, similarity, recall)
+    return rows.select(F.col("key").alias(key), "node", "class_id", "keeper", "n_links")
+
+
+def _classified(docs: DataFrame, key: str, text: str, words: int, similarity: Fraction, recall: float) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``row``, the hash of key and text."""
     bands = bands_for(float(similarity), recall, ROWS)
     signed = settled(signatures(docs, key, text, words, bands, ROWS), "signatures")
     nodes = signed.where("node is not null").groupBy("node").agg(
         F.count("*").alias("copies"), F.min("key").alias("key"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")
     )
     nodes = settled(nodes, "nodes")
-    banded = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last")
-    stars = banded.join(buckets, "band").select("lead", "node")
-    candidates = settled(components(stars, "lead", "node"), "candidates")
-
-    members = candidates.join(nodes.select("node", "copies", "key", "n"), "node")
-    sizes = members.groupBy("label").agg(F.count("*").alias("m"), F.sum("n").alias("grams"))
-    sizes = sizes.withColumn("parts", F.greatest(F.ceil(F.col("m") / BLOCK_TEXTS), F.ceil(F.col("grams") / BLOCK_GRAMS)))
-    members = members.join(sizes.select("label", "parts"), "label").withColumn(
-        "part", F.pmod(F.xxhash64("node"), F.col("parts"))
-    )
+    met = settled(meetings(nodes), "meetings")
+    facts = met.join(nodes.select("node", "n"), "node").groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n").alias("grams"))
+    parts = F.greatest(F.ceil(F.col("m") / BLOCK_TEXTS), F.ceil(F.col("grams") / BLOCK_GRAMS)).alias("parts")
+    # of each node at most as many buckets as bands
+    seen = met.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
     # one text for each node: an id may be missing or shared by many texts, and copies vanish before they travel
-    texts = docs.select(_node(words)(F.col(text)).alias("node"), F.col(text).alias("text")).where("node <> 0")
-    texts = texts.groupBy("node").agg(F.any_value("text").alias("text"))
-    found = members.join(texts, "node").select(
-        F.col("label").alias("comp"), "node", "copies", "part", "text",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"),
-    )
+    texts = signed.select("node", "pack").join(seen.select("node"), "node", "left_semi").groupBy("node").agg(F.any_value("pack").alias("pack"))
+    texts = settled(texts.join(seen, "node").join(nodes.select("node", "copies"), "node"), "texts")
+    found = met.join(facts.select("bucket", parts), "bucket").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    found = found.join(texts, "node").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     found = found.select(
-        "comp", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "copies", "part", "text"
+        "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "copies", "part", "buckets", "pack"
     )
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = found.repartition(partitions, "comp", "i", "j").sortWithinPartitions("comp", "i", "j")
+    found = found.repartition(partitions, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     verified = settled(found.mapInArrow(_verifier(words, similarity), "node long, root long, links long"), "verified")
 
     classes = components(verified, "root", "node")
@@ -234,8 +268,8 @@ def near_duplicates(
     )
     first = facts.groupBy("label").agg(F.min(F.struct(F.col("key").isNull(), "key", "node")).alias("first"))
     facts = facts.join(first, "label").select("node", "n_links", F.col("first.key").alias("class_id"), F.col("first.node").alias("best"))
-    return signed.select("key", "node").join(facts, "node", "left").select(
-        F.col("key").alias(key), "node",
+    return signed.select("key", "row", "node").join(facts, "node", "left").select(
+        "key", "row", "node",
         F.when(F.col("n_links").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(F.col("n_links").isNull(), True).otherwise((F.col("best") == F.col("node")) & F.col("key").eqNullSafe(F.col("class_id"))).alias("keeper"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
@@ -249,9 +283,8 @@ def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: that with the smallest id. Of rows with equal id and words one stays."""
-    kept = near_duplicates(docs).where("keeper").select(
-        F.col("doc_id").alias("__key"), F.coalesce("node", F.lit(0).cast("long")).alias("__at")
-    ).distinct()
-    tagged = docs.withColumn("__node", _node(WORDS)(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("__key")) & (F.col("__node") == F.col("__at"))
-    return tagged.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__node"]).drop("__node")
+    with small_batches(spark):
+        found = _classified(docs, "doc_id", "text", WORDS, SIMILARITY, RECALL)
+    kept = found.where("keeper").groupBy("key", F.coalesce("node", F.lit(0).cast("long")).alias("node")).agg(F.min("row").alias("__row"))
+    tagged = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    return tagged.join(settled(kept.select("__row"), "kept"), "__row", "left_semi").dropDuplicates(["__row"]).select(docs.columns)
