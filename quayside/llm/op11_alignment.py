@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.durable import settled
 from quayside.llm.blocks import blocks
+from quayside.llm.texts import released
 
 A_MODEL, B_MODEL = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Tokens of A that a lane has about; bytes of text merged at once.
@@ -41,9 +42,19 @@ def _byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: Fixed value: how a byte-level tokenizer of this kind cuts a text before it merges.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Below, all versions of Unicode agree which characters are letters, digits and blanks.
+_SETTLED = 0x250
+
+
 @dataclass(frozen=True)
 class ByteLevel:
-    """A byte-level BPE file of the tokenizers library; texts get a leading space."""
+    """A byte-level BPE file of the tokenizers library; texts get a leading space.
+
+    The ids of such a vocabulary rise in the order of its merges, so the faster encoder that only knows ranks gives the same
+    ids. It is used for texts whose characters are cut alike by both libraries, the file's own library for all others.
+    """
 
     path: str = A_MODEL
 
@@ -66,7 +77,30 @@ class ByteLevel:
 
         tool = Tokenizer.from_file(self.path)
         tool.encode_special_tokens = True
-        return lambda texts: [e.ids for e in tool.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        fast = self._by_rank()
+
+        def encode(texts: list[str]) -> list[list[int]]:
+            plain = [fast is not None and (t.isascii() or max(t) < chr(_SETTLED)) for t in texts]
+            others = iter(tool.encode_batch_fast([" " + t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
+            return [fast.encode_ordinary(" " + t) if p else next(others).ids for t, p in zip(texts, plain, strict=True)]
+
+        return encode
+
+    def _by_rank(self):
+        """The encoder by ranks, if the file is of the kind that it knows: each merge made the next id, texts are cut by ``PATTERN``."""
+        import tiktoken
+
+        with open(self.path, encoding="utf-8") as file:
+            model = json.load(file)
+        vocabulary, merges = model["model"]["vocab"], model["model"]["merges"]
+        made = ["".join(m if isinstance(m, list) else m.split(" ")) for m in merges]
+        cut = model["pre_tokenizer"]
+        known = model["normalizer"] is None and cut["type"] == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"]
+        if not known or [vocabulary[m] for m in made] != list(range(256, 256 + len(made))) or len(set(made)) != len(made):
+            return None
+        special = {t["id"] for t in model["added_tokens"]}
+        ranks = {w: i for i, w in enumerate(self.vocabulary()) if i not in special}
+        return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 @dataclass(frozen=True)
@@ -218,7 +252,7 @@ def _merged(docs: DataFrame, key: str, text: str, left, right, emit, kind: str)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, block.n), *columns.values()], ["key", *columns])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, {kind}")
+    return rows.mapInArrow(released(run), f"key {rows.schema['key'].dataType.simpleString()}, {kind}")
 
 
 def _lists(flat: np.ndarray, begin: np.ndarray) -> pa.Array:
@@ -285,7 +319,7 @@ def pair_counts(pairs: DataFrame, size: int) -> DataFrame:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["pair", "n"])
 
-    return pairs.mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return pairs.mapInArrow(released(run), "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def link_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", left=ByteLevel(), right=Pieces()) -> DataFrame:
@@ -316,7 +350,7 @@ def link_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", le
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "n_best", "count_sum"])
 
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema.fields if f.name != "pairs")
-    out = found.mapInArrow(run, f"{kind}, n_best long, count_sum long")
+    out = found.mapInArrow(released(run), f"{kind}, n_best long, count_sum long")
     order = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     return out.select(F.col("key").alias(key), *order)
 

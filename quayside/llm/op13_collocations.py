@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 
 from quayside.functions.durable import settled
 from quayside.llm.blocks import Block, U, blocks, mix
+from quayside.llm.texts import released, small_batches
 
 MIN_COUNT, MAX_WORDS, TOP, COVERED_PERCENT = 100, 5, 2000, 100
 HEAD, TILE, DENSE, SLOTS = 1 << 20, 1 << 10, 1 << 13, 1 << 22
-HELD = 1 << 21
+#: Pairs or words that a task holds before it hands on what it has counted.
+HELD = 1 << 19
 NO_LANG = "und"
 _HASHED, _BREAK, _STEP = U(1 << 63), U((1 << 64) - 1), U(0xD6E8FEB86659FD93)
 
@@ -93,7 +95,7 @@ def word_counts(docs: DataFrame, lang: str, text: str) -> DataFrame:
 
     names = ["lang", "word", "ident", "n"]
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    found = rows.mapInArrow(run, "lang string, word string, ident long, n long")
+    found = rows.mapInArrow(released(run), "lang string, word string, ident long, n long")
     return found.groupBy("lang", "word", "ident").agg(F.sum("n").alias("n"))
 
 
@@ -155,7 +157,7 @@ def coded(frequent: DataFrame, ranks) -> DataFrame:
             yield batch.append_column("code", pa.array(codes.view(np.int64)))
 
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frequent.schema.fields)
-    return frequent.mapInArrow(run, f"{kind}, code long")
+    return frequent.mapInArrow(released(run), f"{kind}, code long")
 
 
 def _packed(*columns: np.ndarray) -> bytes:
@@ -193,7 +195,7 @@ def encoded(docs: DataFrame, lang: str, text: str, ranks) -> DataFrame:
                 yield _sequence(out[keep])
 
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "codes binary")
+    return rows.mapInArrow(released(run), "codes binary")
 
 
 def _neighbours(pack: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,7 +217,7 @@ def reencoded(sequences: DataFrame, ranks) -> DataFrame:
                 if (codes != _BREAK).any():
                     yield _sequence(codes)
 
-    return sequences.mapInArrow(run, "codes binary")
+    return sequences.mapInArrow(released(run), "codes binary")
 
 
 def tally(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -308,9 +310,9 @@ def pair_counts(sequences: DataFrame, min_count: int) -> DataFrame:
         if held:
             yield done()
 
-    packs = sequences.mapInArrow(count, "bucket int, pack binary")
+    packs = sequences.mapInArrow(released(count), "bucket int, pack binary")
     packs = packs.repartition(partitions, "bucket").sortWithinPartitions("bucket")
-    return packs.mapInArrow(add, "left long, right long, ident long, n long")
+    return packs.mapInArrow(released(add), "left long, right long, ident long, n long")
 
 
 def phrases(docs: DataFrame, lang: str = "lang", text: str = "text", min_count: int = MIN_COUNT, max_words: int = MAX_WORDS):
@@ -362,7 +364,8 @@ def collocations(
     A null text has no words; a null language is ``und``. Texts of any length are read whole, repeated rows count each time. Columns
     beside the two are not read. Too few words, or no rows, give no rows.
     """
-    levels, totals = phrases(docs, lang, text, min_count, max_words)
+    with small_batches(docs.sparkSession):
+        levels, totals = phrases(docs, lang, text, min_count, max_words)
     found = None
     for level, longer in zip(levels[1:], levels[2:] + [None], strict=True):
         if longer is not None:
