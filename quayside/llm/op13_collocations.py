@@ -367,7 +367,7 @@ def collocations(
     with small_batches(docs.sparkSession):
         levels, totals = phrases(docs, lang, text, min_count, max_words)
     found = None
-    for level, longer in zip(levels[1:], levels[2:] + [None], strict=True):
+    for level, longer in zip(levels[1:], [*levels[2:], None], strict=False):  # without pairs there is no level beside the words
         if longer is not None:
             inside = longer.select(F.explode(F.array("left", "right")).alias("code"), F.col("n").alias("around"))
             level = level.join(inside.groupBy("code").agg(F.max("around").alias("around")), "code", "left")

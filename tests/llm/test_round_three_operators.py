@@ -236,8 +236,8 @@ def prose(seed=7, n=120):
 
 @pytest.mark.parametrize("small", [False, True])
 def test_phrases_against_a_loop(spark, monkeypatch, small):
-    if small:  # most words and pairs have no rank; tiny tiles, many flushes
-        for name, value in (("HEAD", 8), ("SLOTS", 64), ("TILE", 2), ("DENSE", 4), ("HELD", 500)):
+    if small:  # most words and pairs have no rank; many flushes
+        for name, value in (("HEAD", 8), ("HELD", 500)):
             monkeypatch.setattr(phrases, name, value)
     texts = prose()
     langs = [("en", "fr", None)[i % 3] for i in range(len(texts))]
@@ -248,6 +248,21 @@ def test_phrases_against_a_loop(spark, monkeypatch, small):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("tile", [2, 8, 1024])
+def test_tiles_count_pairs(monkeypatch, tile):
+    """Dense tiles, sparse ones, ranks beyond the tiles and hashes, by whatever size of tile."""
+    monkeypatch.setattr(phrases, "TILE", tile)
+    monkeypatch.setattr(phrases, "DENSE", 4 * tile)
+    rng = np.random.default_rng(tile)
+    pairs = rng.zipf(1.3, (2, 20_000)).astype(np.uint64) % np.uint64(6 * tile)
+    pairs[:, ::97] |= phrases._HASHED
+    want = collections.Counter(zip(*pairs.tolist(), strict=True))
+    got = phrases.tally(*pairs)
+    assert {(a, b): n for a, b, n in got.T.tolist()} == want and got.shape[1] == len(want)
+    again = phrases.summed([got, phrases.tally(*pairs[:, :100])])
+    assert again[2].sum() == 20_100 and again.shape[1] == len(want)
+
+
 def test_phrases_inside_longer_ones(spark):
     texts = prose(8)
     docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
