@@ -3,7 +3,8 @@
 Method: pages that a rule judges are the labels. Spark's FP-growth mines combinations of URL tokens that come
 with a verdict; combinations below a support or a confidence go, and so does one that a shorter one with at
 least its confidence makes needless. A URL is matched by an inverted index: each combination is listed under
-its rarest token, is looked up for the tokens a URL has, and must be contained whole. The surest match decides.
+its rarest token, is looked up for the tokens a URL has, and must be contained whole. The surest match decides. Tokens that the same labelled pages have, such as the
+parts of one template, are one token to the mining: the number of combinations doubles with each further one.
 
 Only DataFrame functions and Spark's own FP-growth run. A support of ``SUPPORT`` bounds the frequent tokens (a
 URL's tokens / SUPPORT of them at most), so they are collected as a list; URLs are judged once for each
@@ -72,6 +73,18 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.array_distinct(parts)).otherwise(nothing)
 
 
+def condensed(labelled: DataFrame, least: float) -> DataFrame:
+    """(token): of the tokens in ``least`` rows or more, the longest of each group that is in the same rows.
+
+    There are at most (tokens of a URL) / (support) of them. Rows are told apart by hashes of their tokens, 128 bits in all.
+    """
+    rows = labelled.groupBy("tokens").agg(F.count("*").alias("n")).select(F.explode("tokens").alias("token"), "tokens", "n")
+    marks = [F.bit_xor(F.xxhash64("tokens", F.lit(i))).alias(f"mark{i}") for i in (0, 1)]
+    found = rows.groupBy("token").agg(F.sum("n").alias("freq"), *marks).where(F.col("freq") >= least)
+    longest = F.max(F.struct(F.char_length("token").alias("size"), "token"))["token"]
+    return found.groupBy("freq", "mark0", "mark1").agg(longest.alias("token")).select("token")
+
+
 def mine(labelled: DataFrame, support: float, confidence: float) -> tuple[DataFrame, list[str]]:
     """(items, verdict, confidence, freq, rare) rules from rows (tokens, verdict), and the tokens in them.
 
@@ -83,8 +96,11 @@ def mine(labelled: DataFrame, support: float, confidence: float) -> tuple[DataFr
     kind = "items array<string>, verdict string, confidence double, freq long, rare string"
     if n < LEAST:
         return spark.createDataFrame([], kind), []
-    baskets = labelled.select(F.array_union("tokens", F.array(F.concat(F.lit(LABEL), F.col("verdict")))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=max(support, LEAST / n), minConfidence=1.0).fit(baskets)
+    least = max(support, LEAST / n)
+    kept = settled(condensed(labelled, least * n), "tokens")
+    named = F.array_intersect("tokens", F.array(*map(F.lit, sorted(r.token for r in kept.collect()))).cast("array<string>"))
+    baskets = labelled.select(F.array_union(named, F.array(F.concat(F.lit(LABEL), F.col("verdict")))).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=1.0).fit(baskets)
     sets = settled(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
     is_label = lambda x: x.startswith(LABEL)
     single = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq").alias("n"))
