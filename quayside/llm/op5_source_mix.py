@@ -109,7 +109,7 @@ def with_order(docs: DataFrame, key: str, text: str, members: Column, seed: int)
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     pattern = F.to_json(F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>")))))
     return docs.withColumns({"__size": size, "__pattern": pattern}).withColumn(
-        "__order", F.xxhash64(F.col(key), F.col("__size"), F.lit(seed))
+        "__order", F.xxhash64(F.col(key), F.xxhash64(text), F.lit(seed))
     )
 
 
