@@ -79,7 +79,8 @@ def runs(block: Block, length: int, gram: int) -> dict[str, np.ndarray]:
 
 
 def splitters(docs: DataFrame, text: str, parts: int, length: int, gram: int) -> np.ndarray:
-    """Order keys that cut the suffixes into ``parts`` like ranges, from at most some ``SAMPLE_TEXTS`` sampled texts.
+    """Order keys that cut the suffixes into ``parts`` like ranges, from a sample of ``SAMPLE_TEXTS`` texts, or of some for
+    each range if those are more.
 
     They decide who sorts what, not what is found.
     """
@@ -90,7 +91,7 @@ def splitters(docs: DataFrame, text: str, parts: int, length: int, gram: int) ->
                 yield pa.RecordBatch.from_arrays([pa.array(runs(block, length, gram)["order"].view(np.int64))], ["order"])
 
     total = docs.count()
-    some = docs.select(text).sample(min(1.0, SAMPLE_TEXTS / max(total, 1)), seed=6).where(F.col(text).isNotNull())
+    some = docs.select(text).sample(min(1.0, max(SAMPLE_TEXTS, 4 * parts) / max(total, 1)), seed=6).where(F.col(text).isNotNull())
     keys = some.mapInArrow(run, "order long").toArrow().column(0).to_numpy().view(np.uint64)
     keys = np.sort(keys)
     return keys[(np.arange(1, parts) * len(keys)) // parts] if len(keys) else keys
