@@ -571,7 +571,7 @@ def candidates(packs: DataFrame, similarity: Fraction, nearest: int | None) -> D
     return packs.mapInArrow(released(run), kind)
 
 
-def _slots(key: np.ndarray, line: np.ndarray) -> np.ndarray:
+def slots(key: np.ndarray, line: np.ndarray) -> np.ndarray:
     return (mix(key.astype(np.int64).view(np.uint64) + mix(line.astype(np.uint64) + U(1))) % U(SLOTS)).astype(np.int64)
 
 
@@ -582,7 +582,7 @@ def lookup(lines: DataFrame) -> np.ndarray:
     def run(batches):
         held = np.zeros(SLOTS, bool)
         for batch in batches:
-            held[_slots(batch.column(0).to_numpy(), batch.column(1).to_numpy())] = True
+            held[slots(batch.column(0).to_numpy(), batch.column(1).to_numpy())] = True
         some = np.flatnonzero(held.reshape(SLICES, -1).any(axis=1))
         parts = [np.packbits(held[i * width : (i + 1) * width]).tobytes() for i in some]
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(parts, pa.binary())], ["slice", "bits"])
@@ -608,7 +608,7 @@ def _chosen(block: Block, keys: np.ndarray, wanted: np.ndarray) -> tuple[Block,
     count = np.bincount(block.text_of(np.flatnonzero(block.data == 10)), minlength=block.n) + 1
     text = np.repeat(np.arange(block.n), count)
     number = np.arange(len(starts)) - np.repeat(np.cumsum(count) - count, count)
-    some = np.flatnonzero(wanted[_slots(keys[text], number)] & (ends > starts))
+    some = np.flatnonzero(wanted[slots(keys[text], number)] & (ends > starts))
     size = ends[some] - starts[some]
     bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
     data = block.data[np.repeat(starts[some] - bounds[:-1], size) + np.arange(bounds[-1])]

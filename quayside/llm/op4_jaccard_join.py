@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from quayside.functions.durable import settled
 from quayside.llm.blocks import Block, U, blocks, mix
 from quayside.llm.components import components
+from quayside.llm.op10_line_dedup import lookup, slots
 from quayside.llm.texts import released, small_batches, unpacked
 
 WORDS, SIMILARITY, RECALL, ROWS = 5, Fraction(4, 5), 0.9999, 5
@@ -194,6 +195,18 @@ def _verifier(words: int, similarity: Fraction):
     return released(run)
 
 
+def _sifted(packs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose node may be wanted, by a bitmap of fixed size: other texts need not travel to the join."""
+    bits = packs.sparkSession.sparkContext.broadcast(lookup(wanted.select(F.col("node").alias("key"), F.lit(0).alias("line"))))
+
+    def run(batches):
+        for batch in batches:
+            nodes = batch.column(0).to_numpy()
+            yield batch.filter(pa.array(bits.value[slots(nodes, np.zeros(len(nodes), np.int64))]))
+
+    return packs.mapInArrow(released(run), "node long, pack binary")
+
+
 def meetings(nodes: DataFrame) -> DataFrame:
     """(bucket, node): which nodes are to be compared with which; see the module's points 2 and 3."""
     banded = nodes.select("node", F.explode("bands").alias("band"))
@@ -248,7 +261,8 @@ def _classified(docs: DataFrame, key: str, text: str, words: int, similarity: Fr
     # of each node at most as many buckets as bands
     seen = met.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
     # one text for each node: an id may be missing or shared by many texts, and copies vanish before they travel
-    texts = signed.select("node", "pack").join(seen.select("node"), "node", "left_semi").groupBy("node").agg(F.any_value("pack").alias("pack"))
+    sifted = _sifted(signed.where("node is not null").select("node", "pack"), seen)
+    texts = sifted.join(seen.select("node"), "node", "left_semi").groupBy("node").agg(F.any_value("pack").alias("pack"))
     texts = settled(texts.join(seen, "node").join(nodes.select("node", "copies"), "node"), "texts")
     found = met.join(facts.select("bucket", parts), "bucket").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
     found = found.join(texts, "node").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
