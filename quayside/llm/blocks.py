@@ -8,7 +8,6 @@ same on every machine and for every batching.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +29,26 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-@cache
+#: Powers that a worker keeps, for each point; a longer text has its own for as long as it is hashed.
+KEPT_POWERS = 1 << 21
+_KEPT: dict[int, np.ndarray] = {}
+
+
 def _powers_of(base: int, bits: int) -> np.ndarray:
-    powers = np.ones(1 << bits, np.uint64)
+    powers = np.ones(1 << bits, np.uint32)
     for i in range(bits):  # each round knows twice as many
-        powers[1 << i : 2 << i] = powers[: 1 << i] * U(pow(base, 1 << i, _PRIME)) % U(_PRIME)
+        powers[1 << i : 2 << i] = powers[: 1 << i].astype(np.uint64) * U(pow(base, 1 << i, _PRIME)) % U(_PRIME)
     return powers
 
 
 def _powers(n: int, base: int) -> np.ndarray:
-    return _powers_of(base, max(16, int(n).bit_length()))[:n]
+    """The first ``n`` powers; of all tables of a point only the longest is kept."""
+    powers = _KEPT.get(base)
+    if powers is None or len(powers) < n:
+        powers = _powers_of(base, max(16, int(n).bit_length()))
+        if len(powers) <= KEPT_POWERS:
+            _KEPT[base] = powers
+    return powers[:n]
 
 
 class Block:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from quayside.llm.blocks import U, mix
+from quayside.llm.texts import release
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA, SEED, OFFSET, LONG = 1.0, 2, 10, 40
@@ -339,6 +340,7 @@ def encode(
     words = vocabulary(model)
 
     def run(keys: pa.Array, texts: pa.Array) -> pa.Array:
+        release()  # what this worker's earlier tasks have left
         tool = _sampler(words, theta, seed)
         seeds = mix(keys.to_numpy(zero_copy_only=False).view(np.uint64) + U(seed))
         done, at = [], 0

@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 
 from quayside.functions.durable import settled
 from quayside.llm.blocks import Block, U, blocks, mix
-from quayside.llm.texts import unpacked
+from quayside.llm.texts import released, small_batches, unpacked
 
 LENGTH, GRAM = 200, 32
 SAMPLE_TEXTS = 2000
-HELD_ROWS, HELD_BYTES = 1 << 18, 1 << 21
+HELD_ROWS, HELD_BYTES = 1 << 18, 1 << 20
 #: Bytes of text handled at once; a window takes some 100 bytes of memory.
-SCAN_BYTES = 1 << 19
+SCAN_BYTES = 1 << 18
+#: Texts cut at once.
+CUT_ROWS = 256
 _LOW = U(0xFFFFFFFF)
 
 
@@ -92,7 +94,7 @@ def splitters(docs: DataFrame, text: str, parts: int, length: int, gram: int) ->
 
     total = docs.count()
     some = docs.select(text).sample(min(1.0, max(SAMPLE_TEXTS, 4 * parts) / max(total, 1)), seed=6).where(F.col(text).isNotNull())
-    keys = some.mapInArrow(run, "order long").toArrow().column(0).to_numpy().view(np.uint64)
+    keys = some.mapInArrow(released(run), "order long").toArrow().column(0).to_numpy().view(np.uint64)
     keys = np.sort(keys)
     return keys[(np.arange(1, parts) * len(keys)) // parts] if len(keys) else keys
 
@@ -128,7 +130,7 @@ def suffixes(docs: DataFrame, key: str, text: str, cuts: np.ndarray, length: int
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"bucket int, anchor long, whole long, key {kind}, tid int, at long")
+    return rows.mapInArrow(released(run), f"bucket int, anchor long, whole long, key {kind}, tid int, at long")
 
 
 def _whole_groups(batches, columns, limit):
@@ -200,7 +202,7 @@ def sorted_ranges(rows: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["key", "tid", "begin", "end", "bucket", "flags"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, tid int, begin long, end long, bucket int, flags int")
+    return rows.mapInArrow(released(run), f"key {kind}, tid int, begin long, end long, bucket int, flags int")
 
 
 def _packs(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -217,7 +219,7 @@ def _packs(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), tid, packs], ["key", "tid", "pack"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, tid int, pack binary")
+    return rows.mapInArrow(released(run), f"key {rows.schema['key'].dataType.simpleString()}, tid int, pack binary")
 
 
 def passages(asked: DataFrame, docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
@@ -258,7 +260,7 @@ def passages(asked: DataFrame, docs: DataFrame, key: str, text: str, length: int
     both = wanted.select(F.col("key").alias("k"), F.col("tid").alias("t"), "wanted").join(texts, same)
     kind = docs.schema[key].dataType.simpleString()
     return both.select("key", "tid", "wanted", "pack").mapInArrow(
-        run, f"bucket int, anchor long, key {kind}, tid int, at long, flags int, bytes binary"
+        released(run), f"bucket int, anchor long, key {kind}, tid int, at long, flags int, bytes binary"
     )
 
 
@@ -306,14 +308,16 @@ def compared(rows: DataFrame, length: int) -> DataFrame:
             yield solve(table, cut)
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, tid int, begin long, end long, window long")
+    return rows.mapInArrow(released(run), f"key {kind}, tid int, begin long, end long, window long")
 
 
-def _flat(values: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, int]:
-    values = values.combine_chunks().cast(pa.large_binary())
+def _flat(values: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, int]:
+    values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+    values = values.cast(pa.large_binary())
     _, offsets, data = values.buffers()
     bounds = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1]
-    return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0], 0
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return data[bounds[0] : bounds[-1]], bounds - bounds[0], 0
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -327,11 +331,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     cuts = splitters(docs, text, parts, length, gram)
     rows = suffixes(docs, key, text, cuts, length, gram).repartitionById(parts, F.shiftright("bucket", 1))
     rows = rows.sortWithinPartitions("bucket", "anchor", "whole")
-    found = settled(sorted_ranges(rows, length), "ranges")
+    with small_batches(docs.sparkSession):
+        found = settled(sorted_ranges(rows, length), "ranges")
     asked = found.where("bucket >= 0")
     ranges = passages(asked, docs, key, text, length).repartitionById(parts, F.shiftright("bucket", 1))
     ranges = ranges.sortWithinPartitions("bucket", "anchor")
-    windows = settled(compared(ranges, length), "windows")
+    with small_batches(docs.sparkSession):
+        windows = settled(compared(ranges, length), "windows")
     across = windows.where("window is not null").groupBy("window").agg(F.collect_list(F.struct("key", "tid", "begin", "end")).alias("w"))
     across = across.where(F.size("w") > 1).select(F.explode("w").alias("w")).select("w.*")  # one of each range at most
     return (
@@ -346,29 +352,35 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     See ``repeated_spans``; a null text counts as empty.
     """
 
+    def without(rows: pa.RecordBatch) -> pa.RecordBatch:
+        data, bounds, _ = _flat(unpacked(rows.column("pack")))
+        spans = rows.column("spans")
+        sizes = spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        owner, flat = np.repeat(np.arange(len(sizes)), sizes), spans.flatten()
+        begin, end = (bounds[owner] + flat.field(n).to_numpy() for n in ("begin", "end"))
+        order = np.lexsort((begin, owner))
+        owner, begin, reach = owner[order], begin[order], np.maximum.accumulate(end[order])
+        new = np.ones(len(owner), bool)  # a span that touches the one before is one run with it, if their text is one
+        new[1:] = (begin[1:] > reach[:-1]) | (owner[1:] != owner[:-1])
+        first = np.flatnonzero(new)
+        begin, end = begin[first], reach[np.append(first[1:], len(owner))[: len(first)] - 1]
+        edge = np.zeros(len(data) + 1, np.int32)
+        np.add.at(edge, begin, 1)
+        np.add.at(edge, end, -1)
+        stays = np.cumsum(edge[:-1], dtype=np.int32) == 0
+        left = np.concatenate([[0], np.cumsum(stays)])[bounds]
+        kept = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(sizes), [None, pa.py_buffer(np.ascontiguousarray(left)), pa.py_buffer(data[stays])]
+        )
+        size = np.diff(bounds)
+        count = np.bincount(owner[first], minlength=len(sizes))
+        columns = [rows.column("key"), pa.array(size), pa.array(size - np.diff(left)), pa.array(count), kept.cast(pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, [key, "n_bytes", "n_removed", "n_spans", "kept"])
+
     def run(batches):
         for batch in batches:
-            texts = unpacked(batch.column("pack"))
-            spans = batch.column("spans").to_pylist()
-            n_bytes, removed, count, kept = [], [], [], []
-            for value, covered in zip(texts.to_pylist(), spans, strict=True):
-                merged: list[list[int]] = []
-                for begin, end in sorted((s["begin"], s["end"]) for s in covered or ()):
-                    if merged and begin <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], end)
-                    else:
-                        merged.append([begin, end])
-                edges = [0, *(x for m in merged for x in m), len(value)]
-                rest = b"".join(value[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                n_bytes.append(len(value))
-                removed.append(len(value) - len(rest))
-                count.append(len(merged))
-                kept.append(rest)
-            columns = [
-                batch.column("key"), pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()),
-                pa.array(count, pa.int64()), pa.array(kept, pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, [key, "n_bytes", "n_removed", "n_spans", "kept"])
+            for low in range(0, batch.num_rows, CUT_ROWS):
+                yield without(batch.slice(low, CUT_ROWS))
 
     spans = repeated_spans(docs, key, text, length, gram).groupBy("key", "tid")
     spans = spans.agg(F.collect_list(F.struct("begin", "end")).alias("spans"))  # as many as a text has anchors
@@ -376,7 +388,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     same = F.col("k").eqNullSafe(F.col("key")) & (F.col("t") == F.col("tid"))
     rows = _packs(docs, key, text).join(spans, same, "left").select("key", "spans", "pack")
     kind = docs.schema[key].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return rows.mapInArrow(released(run), f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:

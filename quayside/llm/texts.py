@@ -29,15 +29,20 @@ def small_batches(spark: SparkSession):
         spark.conf.set(name, before)
 
 
+def release() -> None:
+    """Give what a worker has freed back to the system, as it lives on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def released(run):
-    """``run`` for ``mapInArrow``; what it has freed goes back to the system at its end, as a worker lives on between tasks."""
+    """``run`` for ``mapInArrow``; what it has freed goes back to the system at its end."""
 
     @wraps(run)
     def outer(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        with suppress(OSError, AttributeError):  # not every C library has it
-            ctypes.CDLL(None).malloc_trim(0)
+        release()
 
     return outer
 

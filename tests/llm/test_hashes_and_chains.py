@@ -94,3 +94,18 @@ def test_buckets_with_the_same_nodes_are_one(spark):
     for r in near.meetings(nodes).collect():
         met.setdefault(r.bucket, set()).add(r.node)
     assert sorted(map(sorted, met.values())) == [[1, 2], [2, 3]]
+
+
+def test_hash_tables_do_not_pile_up():
+    """Blocks of many sizes leave one table for each point, and a long text none."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        for bits in (17, 18, 19, 20, 22):
+            data = np.full(1 << bits, 97, np.uint8)
+            Block(data, np.array([0, len(data)]), 0).hashes(np.array([0]), np.array([len(data)]))
+            del data
+        assert tracemalloc.get_traced_memory()[0] < 40 << 20
+    finally:
+        tracemalloc.stop()
