@@ -255,3 +255,12 @@ def test_ids_only_leaves_out_name_joins(spark, sf_dir):
     ids = [c for c in full.columns if c.endswith("_id")]
     assert lean.columns == full.columns and joins(lean) < joins(full)
     assert lean.select(ids).exceptAll(full.select(ids)).isEmpty() and lean.count() == full.count()
+
+
+def test_an_export_leaves_no_shuffle_files(spark, sf_dir, tmp_path):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = disk.getAllFiles().size()
+    run_export(erp(spark, sf_dir), str(tmp_path), ["sale_order_line", "stock_move"], spark=spark, max_rows=1_000)
+    left = disk.getAllFiles().size() - before
+    assert left < 100, left  # of the cut and the manifest
+    assert read_entity(spark, "stock_move", str(tmp_path)).count() > 1_000
