@@ -264,3 +264,12 @@ def test_an_export_leaves_no_shuffle_files(spark, sf_dir, tmp_path):
     left = disk.getAllFiles().size() - before
     assert left < 100, left  # of the cut and the manifest
     assert read_entity(spark, "stock_move", str(tmp_path)).count() > 1_000
+
+
+def test_rows_are_counted_by_path(spark, tmp_path):
+    """A name is spelled once for each file: rows are grouped by the path as it is."""
+    spark.range(100).repartition(3).write.parquet(f"{tmp_path}/a +b%20c")
+    counted = row_counts(spark, str(tmp_path))
+    rows = counted.collect()
+    assert sum(r.rows for r in rows) == 100 and all(r.file.startswith("a +b%20c/part-") for r in rows)
+    assert "Aggregate [path#" in counted._jdf.queryExecution().optimizedPlan().toString()
