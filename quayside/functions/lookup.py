@@ -31,12 +31,15 @@ def best_tier(
     a tier before the asks it serves, and each ask takes the last tier before it, if that has its key. Amounts of a
     hot key spread over as many partitions as they fill, and equal asks by their hash. A partition then needs one thing
     of those before it, the last tier they hold: one row for each partition is carried on. Rows are
-    never paired; asks and tiers are read once and shuffled twice, sorted the first time and dealt by partition the second.
+    never paired. Tiers whose key nobody asks for are left out before; asks and the other tiers are shuffled twice, sorted the
+    first time and dealt by partition the second.
     """
     order = [*by, "_at", "_kind", "_tie"]
     kinds = {c: asks.schema[c].dataType for c in by}
     keys = [F.col(c).cast(kinds[c]).alias(c) for c in by]
-    offered = tiers.dropna(subset=[*by, floor])
+    known = asks.dropna(subset=[*by, ask]).select(*by).distinct()
+    offered = tiers.dropna(subset=[*by, floor]).withColumns({c: F.col(c).cast(kinds[c]) for c in by})
+    offered = offered.join(known, list(by), "left_semi")
     offered = offered.select(
         *keys, F.col(floor).cast("double").alias("_at"), F.lit(1).alias("_kind"), (-F.col("id").cast("bigint")).alias("_tie"),
         F.struct(*keys, *take).alias("_tier"), F.lit(None).cast(asks.schema).alias("_row"),

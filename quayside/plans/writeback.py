@@ -77,9 +77,10 @@ def plan_purchases(rows: DataFrame, erp: Erp, origin: str = ORIGIN) -> Plan:
     messages = rows.filter(~ordered).select(
         "decision_type", "row_no", F.concat(F.lit("Row "), F.col("row_no").cast("string"), F.lit(": missing supplier_id")).alias("message")
     )
-    asked = attach(
-        rows.filter(ordered), erp["product_product"], "_odoo_product_id", row_id="decision_id", product_tmpl_id="product_tmpl_id"
-    )
+    wanted = rows.filter(ordered).select(
+        "decision_id", "row_no", "_odoo_supplier_id", "_odoo_product_id", "quantity", "_odoo_uom_id", "end_date"
+    )  # the lookup carries whole rows
+    asked = attach(wanted, erp["product_product"], "_odoo_product_id", row_id="decision_id", product_tmpl_id="product_tmpl_id")
     tiers = erp["product_supplierinfo"].select(
         F.col("partner_id").alias("_odoo_supplier_id"),
         "product_tmpl_id",

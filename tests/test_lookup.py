@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from quayside.functions import lookup
 from quayside.functions.lookup import best_tier, last_by, lowest_id
 from quayside.functions.numbering import number_rows, of_group
 
@@ -99,3 +100,14 @@ def test_groups_have_folders(spark):
     assert "PartitionFilters: [isnotnull(kind_folder" in plan and "(kind_folder" in plan
     assert sorted((r.row_no, r.id) for r in only.collect()) == [(n, 4 * n) for n in range(100)]
     assert of_group(numbered, "kind", "junk1").count() == 0  # not a wanted group: it has no folder of its own
+
+
+def test_tiers_that_nobody_asks_for_stay_out_of_the_line(spark, monkeypatch):
+    """Tiers outnumber asks by far; only those of a key that is asked for are sorted and written."""
+    held, settled = [], lookup.settled
+    monkeypatch.setattr(lookup, "settled", lambda df, name: held.append(settled(df, name)) or held[-1])
+    asks = spark.createDataFrame([(1, 5.0, 10), (1, 0.5, 11), (9, 5.0, 12)], "k long, q double, id long")
+    tiers = spark.range(1000).selectExpr("id % 100 AS k", "1.0 + id div 100 AS floor", "id", "id AS price")
+    got = {r.id: r.price for r in best_tier(asks, tiers, ("k",), "q", "floor", ("price",)).collect()}
+    assert got == {10: 401, 11: None, 12: 409}
+    assert held[0].filter("_tier IS NOT NULL").count() == 20
