@@ -21,6 +21,22 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
 
+def _is_space(data: np.ndarray) -> np.ndarray:
+    """``SPACE`` for each byte, by comparisons, which are faster than looking it up."""
+    return (data == 0x20) | (data - np.uint8(9) < 5)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo the prime, in place: 2^31 is 1 modulo 2^31 - 1, so high bits are added to low ones, without a division."""
+    high = np.empty_like(x)
+    for _ in range(2):
+        np.right_shift(x, U(31), out=high)
+        x &= U(_PRIME)
+        x += high
+    np.subtract(x, U(_PRIME), out=high)  # wraps to a large number where x is below the prime
+    return np.minimum(x, high, out=x)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every input bit over all 64 bits."""
     with np.errstate(over="ignore"):
@@ -65,22 +81,26 @@ class Block:
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A hash of the bytes of each span."""
         if self._prefix is None:
-            self._prefix = [self._sums(p) for p in _POINTS]
+            values = self.data.astype(np.uint64) + U(1)
+            self._prefix = [self._sums(values, p) for p in _POINTS]
         parts = []
         for point, prefix in zip(_POINTS, self._prefix, strict=True):
-            back = _powers(len(self.data) + 1, pow(point, -1, _PRIME))[starts]
-            parts.append((prefix[ends] - prefix[starts]) % U(_PRIME) * back % U(_PRIME))
+            part = _reduced(prefix[ends] - prefix[starts])
+            part *= _powers(len(self.data) + 1, pow(point, -1, _PRIME))[starts]
+            parts.append(_reduced(part))
         return mix(parts[0] << U(32) | parts[1])
 
-    def _sums(self, point: int) -> np.ndarray:
-        terms = (self.data.astype(np.uint64) + U(1)) * _powers(len(self.data), point)
+    def _sums(self, values: np.ndarray, point: int) -> np.ndarray:
+        terms = values * _powers(len(values), point)
         if len(terms) > 1 << 24:  # below, the sum of products stays under 2^64
-            terms %= U(_PRIME)
-        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
+            terms = _reduced(terms)
+        out = np.zeros(len(terms) + 1, np.uint64)
+        np.cumsum(terms, out=out[1:])
+        return out
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Byte starts and ends of all words; no word crosses a text."""
-        return self.runs(SPACE[self.data])
+        return self.runs(_is_space(self.data))
 
     def lines(self) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of all ``\\n``-split lines, empty ones and the last one included."""

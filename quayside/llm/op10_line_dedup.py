@@ -39,7 +39,7 @@ SIMILARITY = Fraction(4, 5)
 _BITS = 18
 BUCKETS, SLICES, SLOTS = 1 << _BITS, 64, 1 << 24
 SPLIT, NEAREST, HELD_ROWS, HELD_PAIRS = 8192, 1, 1 << 17, 1 << 20
-SCAN_BYTES = 1 << 19
+SCAN_BYTES = 1 << 17  # numpy's arrays for a larger block go back to the system each time, which takes longer than the work
 LAST = (1 << 63) - 1
 _FRAG = 16
 _SET, _GONE = 0, 1
@@ -54,11 +54,7 @@ def rarity(docs: DataFrame, text: str) -> np.ndarray:
     """How many words fall to each counter, over all texts."""
 
     def count(batches):
-        total = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            for block in blocks(batch.column(0), SCAN_BYTES):
-                total += np.bincount((block.hashes(*block.words()) & U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-        yield _slices(total)
+        yield _slices(_counted(block for batch in batches for block in blocks(batch.column(0), SCAN_BYTES)))
 
     def add(batches):
         total = {}
@@ -78,6 +74,19 @@ def rarity(docs: DataFrame, text: str) -> np.ndarray:
     return out.reshape(-1)
 
 
+def _counted(blocks_) -> np.ndarray:
+    """How many words fall to each counter; the table, larger than a block, is gone through once for many blocks."""
+    total = np.zeros(BUCKETS, np.int64)
+    held, size = [], 0
+    for block in blocks_:
+        held.append((block.hashes(*block.words()) & U(BUCKETS - 1)).astype(np.uint32))
+        size += len(held[-1])
+        if size > HELD_PAIRS:
+            total += np.bincount(np.concatenate(held), minlength=BUCKETS)
+            held, size = [], 0
+    return total + np.bincount(np.concatenate(held), minlength=BUCKETS) if held else total
+
+
 def _slices(total: np.ndarray) -> pa.RecordBatch:
     parts = [p.tobytes() for p in total.reshape(SLICES, -1)]
     return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts)], ["slice", "counts"])
@@ -98,7 +107,7 @@ class Lines:
         # a one-to-one map of 64-bit hashes to numbers that ascend with frequency
         tokens = rank[(hashed & U(BUCKETS - 1)).astype(np.int64)] << U(64 - _BITS) | hashed >> U(_BITS)
         begins, _ = block.lines()
-        line = np.searchsorted(begins, starts, side="right") - 1
+        line = np.repeat(np.arange(len(begins)), np.diff(np.searchsorted(starts, begins), append=len(starts)))
         order = _by_line(line, tokens)
         tokens, line = tokens[order], line[order]
         new = np.ones(len(line), bool)
@@ -117,10 +126,15 @@ class Lines:
         """Parity bitmaps, one after another, and their words: a power of two from 1 for each 64 words of a line."""
         width = _width(self.size)
         begin = np.cumsum(width) - width
-        bit = self.mixed & (np.repeat(64 * width, self.size).astype(np.uint64) - U(1))
-        word = np.repeat(begin, self.size) + (bit >> U(6)).astype(np.int64)
         flat = np.zeros(int(width.sum()), np.uint64)
-        np.bitwise_xor.at(flat, word, U(1) << (bit & U(63)))
+        if len(width):
+            flat[begin] = np.bitwise_xor.reduceat(U(1) << (self.mixed & U(63)), self.begin)  # right for one word of bits
+        wide = np.flatnonzero(width > 1)
+        if len(wide):
+            flat[_spread(width, wide)] = 0
+            bit = self.mixed[_spread(self.size, wide)] & (np.repeat(64 * width[wide], self.size[wide]).astype(np.uint64) - U(1))
+            word = np.repeat(begin[wide], self.size[wide]) + (bit >> U(6)).astype(np.int64)
+            np.bitwise_xor.at(flat, word, U(1) << (bit & U(63)))
         return flat, width
 
 
