@@ -23,7 +23,8 @@ def sale_order_line(erp: Erp) -> DataFrame:
     """Product lines of sales orders.
 
     Partner and warehouse join the orders, the smaller side, before the lines do: the lines then
-    shuffle for the order key and the product key only.
+    shuffle for the product key and the order key only. The orders bring the most columns and join last: none of
+    those shuffle for the product, and lines of one order come out side by side, which a later shuffle packs well.
     """
     lines = fill(
         erp["sale_order_line"].filter(F.col("product_id").isNotNull()),
@@ -41,9 +42,9 @@ def sale_order_line(erp: Erp) -> DataFrame:
     orders = attach(orders, erp["stock_warehouse"], "warehouse_id", warehouse_code="code")
     same = ("partner_id", "partner_name", "is_company", "commitment_date", "date_order", "warehouse_id",
             "warehouse_code", "picking_policy")
-    rows = attach(lines, orders, "order_id", "inner", so_name="name", so_state="state", **{c: c for c in same})
-    rows = attach(rows, product_names(erp), "product_id", "inner", product_name="product_name")
+    rows = attach(lines, product_names(erp), "product_id", "inner", product_name="product_name")
     rows = attach(rows, uom_names(erp), "uom_id", uom_name="uom_name")
+    rows = attach(rows, orders, "order_id", "inner", so_name="name", so_state="state", **{c: c for c in same})
     return conform(rows, "sale_order_line", _odoo_sol_id="id", _odoo_so_id="order_id")
 
 
