@@ -14,7 +14,8 @@ candidates, and every such pair is verified on full n-gram sets, once.
 
 A family of g different texts costs g^2 / 2 comparisons, spread over its block pairs: counting each
 text's links exactly needs them. Only candidates' texts travel, compressed, one for each node. Nodes are 64-bit
-hashes: some 6 x 10^9 different texts are expected before two share one.
+hashes: some 6 x 10^9 different texts are expected before two share one. Every step is written before the next begins, and what
+it shuffled is removed then.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.durable import settled
+from quayside.functions.durable import settled, shuffles_removed
 from quayside.llm.blocks import Block, U, blocks, mix
 from quayside.llm.components import components
 from quayside.llm.op10_line_dedup import lookup, slots
@@ -242,7 +243,7 @@ def near_duplicates(
     have one n-gram. Repeated rows link to each other. A null key is the highest. Other columns are not read;
     no rows give no rows.
     """
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession), shuffles_removed(docs.sparkSession):
         rows = _classified(docs, key, text, words, similarity, recall)
     return rows.select(F.col("key").alias(key), "node", "class_id", "keeper", "n_links")
 
@@ -297,7 +298,7 @@ def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: that with the smallest id. Of rows with equal id and words one stays."""
-    with small_batches(spark):
+    with small_batches(spark), shuffles_removed(spark):
         found = _classified(docs, "doc_id", "text", WORDS, SIMILARITY, RECALL)
     kept = found.where("keeper").groupBy("key", F.coalesce("node", F.lit(0).cast("long")).alias("node")).agg(F.min("row").alias("__row"))
     tagged = docs.withColumn("__row", F.xxhash64("doc_id", "text"))

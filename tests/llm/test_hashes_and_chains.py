@@ -109,3 +109,15 @@ def test_hash_tables_do_not_pile_up():
         assert tracemalloc.get_traced_memory()[0] < 40 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join([*words[5 * i : 5 * i + 200], f"x{k}"]) for i in range(4) for k in range(3)]
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    docs = frame(spark, texts)
+    before = disk.getAllFiles().size()
+    found = near.near_duplicates(docs)
+    left = disk.getAllFiles().size() - before
+    assert left < 10, left  # 48 if Spark keeps them
+    assert min(r.n_links for r in found.collect()) >= 2
