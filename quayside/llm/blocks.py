@@ -67,6 +67,11 @@ def _powers(n: int, base: int) -> np.ndarray:
     return powers[:n]
 
 
+def forget_powers() -> None:
+    """For tasks that hash no spans: what a worker's earlier tasks have kept is freed."""
+    _KEPT.clear()
+
+
 class Block:
     """Some whole texts: ``data`` are their bytes, text ``i`` is ``data[bounds[i]:bounds[i + 1]]``."""
 

@@ -33,3 +33,38 @@ def test_the_pipeline_hands_small_batches_to_python(spark, tmp_path, monkeypatch
     spark.range(3 * BATCH_ROWS).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", lambda s, docs, d: docs.mapInArrow(sizes, "n long"))])
     assert max(r.n for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) <= BATCH_ROWS
+
+
+def test_a_block_of_pieces_takes_little_memory():
+    import tracemalloc
+
+    texts = some_texts(600)
+    size = np.cumsum([len(t) for t in texts])
+    assert size[-1] > 1 << 17
+    block = texts[: int(np.searchsorted(size, pieces.BLOCK_CHARS)) + 1]
+    tool = pieces.Sampler(pieces.vocabulary(), pieces.THETA, pieces.SEED)
+    tracemalloc.start()
+    try:
+        tool.encode(block, mix(np.arange(len(block)).astype(U)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 3 << 20, peak  # 4.8 MB with blocks of four times as many characters
+
+
+def test_an_encoded_block_is_freed_without_the_garbage_collector():
+    import gc
+    import tracemalloc
+
+    tool = pieces.Sampler(pieces.vocabulary(), pieces.THETA, pieces.SEED)
+    gc.collect()
+    gc.disable()
+    tracemalloc.start()
+    try:
+        for k in range(10):
+            tool.encode([" ".join(f"w{i}x{k}" for i in range(5000))], np.array([k], U))
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+    assert held < 1 << 20, held  # with the index in a cycle, all words of the ten blocks
