@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +20,30 @@ def _relative(spark: SparkSession, root: str, path: str = "_metadata.file_path")
     return decoded(F.substring(path, len(tail) + 2, 1 << 20))
 
 
+@contextmanager
+def listed_together(spark: SparkSession):
+    """A path that is opened inside is listed by a few tasks for each core, many folders each.
+
+    Spark would start a task for each folder, which takes many times as long as listing it.
+    """
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """``file`` (relative to ``root``) and ``bytes`` of every file below it, in name order.
 
     The contents are not read.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    return files.load(root).select(_relative(spark, root).alias("file"), F.col("length").alias("bytes")).orderBy("file")
+    with listed_together(spark):
+        files = files.load(root)
+    return files.select(_relative(spark, root).alias("file"), F.col("length").alias("bytes")).orderBy("file")
 
 
 #: Files from this size on are read in blocks by a task's own reader; smaller ones are one row of Spark's.
@@ -39,7 +58,9 @@ def checksums(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Dat
     one task block by block; each such file is a task of its own. Large files are opened by pyarrow, which knows local
     paths, HDFS and the usual object stores.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    with listed_together(spark):
+        files = files.load(root)
     kind = "file string, bytes bigint, checksum string"
     small = files.filter(F.col("length") < STREAM_FROM).select(
         _relative(spark, root).alias("file"),
@@ -99,6 +120,7 @@ def row_counts(spark: SparkSession, root: str) -> DataFrame:
     path; it is spelled as a name once for each file, not for each row.
     """
     files = spark.read.schema("_no_column int").option("recursiveFileLookup", True)
-    files = files.option("pathGlobFilter", "*.parquet").parquet(root)
+    with listed_together(spark):
+        files = files.option("pathGlobFilter", "*.parquet").parquet(root)
     counted = files.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("rows"))
     return counted.select(_relative(spark, root, "path").alias("file"), "rows")
