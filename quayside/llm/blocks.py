@@ -77,7 +77,7 @@ class Block:
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, first: int):
         self.data, self.bounds, self.first, self.n = data, bounds, first, len(bounds) - 1
-        self._prefix = None
+        self._prefix = {}
 
     def text_of(self, positions: np.ndarray) -> np.ndarray:
         """The text number of each byte position."""
@@ -85,15 +85,17 @@ class Block:
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A hash of the bytes of each span."""
-        if self._prefix is None:
-            values = self.data.astype(np.uint64) + U(1)
-            self._prefix = [self._sums(values, p) for p in _POINTS]
-        parts = []
-        for point, prefix in zip(_POINTS, self._prefix, strict=True):
-            part = _reduced(prefix[ends] - prefix[starts])
-            part *= _powers(len(self.data) + 1, pow(point, -1, _PRIME))[starts]
-            parts.append(_reduced(part))
-        return mix(parts[0] << U(32) | parts[1])
+        return mix(self.at_point(0, starts, ends) << U(32) | self.at_point(1, starts, ends))
+
+    def at_point(self, i: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Each span's polynomial at one of the two points, below the prime."""
+        point = _POINTS[i]
+        if i not in self._prefix:
+            self._prefix[i] = self._sums(self.data.astype(np.uint64) + U(1), point)
+        prefix = self._prefix[i]
+        part = _reduced(prefix[ends] - prefix[starts])
+        part *= _powers(len(self.data) + 1, pow(point, -1, _PRIME))[starts]
+        return _reduced(part)
 
     def _sums(self, values: np.ndarray, point: int) -> np.ndarray:
         terms = values * _powers(len(values), point)

@@ -79,7 +79,7 @@ def _counted(blocks_) -> np.ndarray:
     total = np.zeros(BUCKETS, np.int64)
     held, size = [], 0
     for block in blocks_:
-        held.append((block.hashes(*block.words()) & U(BUCKETS - 1)).astype(np.uint32))
+        held.append((block.at_point(0, *block.words()) & U(BUCKETS - 1)).astype(np.uint32))
         size += len(held[-1])
         if size > HELD_PAIRS:
             total += np.bincount(np.concatenate(held), minlength=BUCKETS)
@@ -103,9 +103,9 @@ class Lines:
 
     def __init__(self, block: Block, rank: np.ndarray):
         starts, ends = block.words()
-        hashed = block.hashes(starts, ends)
-        # a one-to-one map of 64-bit hashes to numbers that ascend with frequency
-        tokens = rank[(hashed & U(BUCKETS - 1)).astype(np.int64)] << U(64 - _BITS) | hashed >> U(_BITS)
+        one, other = block.at_point(0, starts, ends), block.at_point(1, starts, ends)
+        # a one-to-one map of the two 31-bit numbers to one that ascends with frequency; the first alone picks the counter
+        tokens = rank[(one & U(BUCKETS - 1)).astype(np.int64)] << U(64 - _BITS) | one >> U(_BITS) << U(31) | other
         begins, _ = block.lines()
         line = np.repeat(np.arange(len(begins)), np.diff(np.searchsorted(starts, begins), append=len(starts)))
         order = _by_line(line, tokens)
@@ -175,6 +175,13 @@ def _spread(size: np.ndarray, some: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
+def _pieces(rows: list[np.ndarray], flat: list[tuple[np.ndarray, np.ndarray]], first: np.ndarray):
+    """Rows cut before each of ``first``, with the items that belong to them: ``flat`` has all items and the size of each row's."""
+    begins = [np.append(0, np.cumsum(size)) for _, size in flat]
+    for low, high in zip(first.tolist(), [*first[1:].tolist(), len(rows[0])], strict=True):
+        yield [c[low:high] for c in rows] + [items[b[low] : b[high]] for (items, _), b in zip(flat, begins, strict=True)]
+
+
 def _prefix_size(n: np.ndarray, similarity: Fraction) -> np.ndarray:
     """How many of ``n`` words meet those of every similar set: n - ceil(n t) + 1."""
     return n + (-n * similarity.numerator) // similarity.denominator + 1
@@ -239,7 +246,9 @@ def line_sets(docs: DataFrame, key: str, text: str, rank: np.ndarray, similarity
             bucket = (mix(sets.node) % U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             targets, first = np.unique(bucket[order], return_index=True)
-            packs = [_packed(sets.take(some).columns, tool) for some in np.split(order, first[1:])] if len(order) else []
+            sets = sets.take(order)
+            pieces = _pieces(sets.columns[:4], [(sets.prefix, sets.long), (sets.bits, sets.width)], first)
+            packs = [_packed(piece, tool) for piece in pieces]
             kinds = [_SET] * len(packs)
             if len(gone[0]):  # they only pass through, anywhere
                 targets = np.append(targets, int(mix(gone[0][:1].astype(np.uint64))[0] % U(buckets)))
@@ -440,7 +449,8 @@ def dealt(found: DataFrame, parts: int, similarity: Fraction, asked: np.ndarray
             bucket = (mix(cols[0].astype(np.uint64) << U(32) | cols[1]) % U(parts)).astype(np.int64)
             order = np.lexsort((cols[4], cols[0], bucket))
             targets, first = np.unique(bucket[order], return_index=True)
-            out = [_packed([c[some] for c in cols[:-1]] + [cols[-1][_spread(width, some)]], tool) for some in np.split(order, first[1:])]
+            bits = cols[-1][_spread(width, order)]
+            out = [_packed(piece, tool) for piece in _pieces([c[order] for c in cols[:-1]], [(bits, width[order])], first)]
             return pa.RecordBatch.from_arrays([pa.array(targets.astype(np.int32)), pa.array(out, pa.binary())], ["bucket", "pack"])
 
         for batch in batches:
