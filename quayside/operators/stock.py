@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.columns import attach, conform, fill, optional
+from quayside.functions.durable import step
 from quayside.functions.lists import attach_lists
 from quayside.operators.names import product_names, translated
 from quayside.operators.registry import exports
@@ -104,7 +105,7 @@ def stock_move(erp: Erp) -> DataFrame:
         erp["stock_move"], production_id=None, sale_line_id=None, purchase_line_id=None, is_subcontract=False
     )
     rows = attach(moves, product_names(erp), "product_id", "inner", product_name="product_name")
-    rows = attach(rows, erp["stock_picking"], "picking_id", picking_name="name")
+    rows = step(attach(rows, erp["stock_picking"], "picking_id", picking_name="name"), "moves")
     links = erp["stock_move_move_rel"]
     rows = attach_lists(rows, "id", links, "move_orig_id", "move_dest_id", move_orig_ids="move_dest_id")
     rows = attach_lists(rows, "id", links, "move_dest_id", "move_orig_id", move_dest_ids="move_orig_id")
