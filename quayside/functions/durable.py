@@ -47,15 +47,16 @@ def settled(df: DataFrame, name: str = "settled", *folders: str) -> DataFrame:
 
 
 @contextmanager
-def set_aside(df: DataFrame, name: str = "aside"):
-    """``df`` written to the shared folder and read back, for what runs inside only: what it shuffled and the steps it was
-    made in are removed when it is written, its own files at the end."""
+def set_aside(df: DataFrame, name: str = "aside", steps_done: bool = False):
+    """``df`` written to the shared folder and read back, for what runs inside only: what it shuffled is removed when it is
+    written, and the steps made so far if they are done with (see :func:`in_steps`); its own files at the end."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     try:
         with shuffles_removed(spark):
             df.write.option("compression", "zstd").parquet(path)
-        _remove_steps()
+        if steps_done:
+            _remove_steps()
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         _remove(spark, path)

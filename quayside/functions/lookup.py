@@ -8,7 +8,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.functions.durable import settled
+from quayside.functions.durable import set_aside, settled, shuffles_removed
 from quayside.functions.numbering import PART_BITS
 
 def lowest_id(df: DataFrame, *keys: str, name: str) -> DataFrame:
@@ -31,7 +31,7 @@ def best_tier(
     a tier before the asks it serves, and each ask takes the last tier before it, if that has its key. Amounts of a
     hot key spread over as many partitions as they fill, and equal asks by their hash. A partition then needs one thing
     of those before it, the last tier they hold: one row for each partition is carried on. Rows are
-    never paired. Tiers whose key nobody asks for are left out before; asks and the other tiers are shuffled twice, sorted the
+    never paired. Tiers whose key nobody asks for are left out before, and the rest are set aside; asks and the other tiers are shuffled twice, sorted the
     first time and dealt by partition the second.
     """
     order = [*by, "_at", "_kind", "_tie"]
@@ -48,8 +48,9 @@ def best_tier(
         *by, F.col(ask).cast("double").alias("_at"), F.lit(2).alias("_kind"), F.xxhash64(*asks.columns).alias("_tie"),
         F.lit(None).cast(offered.schema["_tier"].dataType).alias("_tier"), F.struct(*asks.columns).alias("_row"),
     )
-    line = offered.unionByName(asked).repartitionByRange(*order).sortWithinPartitions(*order)
-    line = settled(line.select("_tier", "_row", F.monotonically_increasing_id().alias("_no")), "line")
+    with set_aside(offered, "offered") as fitting, shuffles_removed(asks.sparkSession):
+        line = fitting.unionByName(asked).repartitionByRange(*order).sortWithinPartitions(*order)
+        line = settled(line.select("_tier", "_row", F.monotonically_increasing_id().alias("_no")), "line")
     line = line.withColumn("_part", F.shiftright("_no", PART_BITS))
 
     ends = line.groupBy("_part").agg(F.max_by("_tier", F.when(F.col("_tier").isNotNull(), F.col("_no"))).alias("_end"))

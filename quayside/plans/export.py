@@ -55,7 +55,7 @@ def write_entity(
         written(stamped(df, source_version))
         return
     key = key_column(entity)
-    with set_aside(df, entity) as rows:
+    with set_aside(df, entity, steps_done=True) as rows:
         chunks = in_chunks(stamped(rows, source_version), entity, cut)
         written(chunks.repartitionByRange(key).sortWithinPartitions(key), "key_from")
 

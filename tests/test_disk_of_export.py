@@ -77,3 +77,12 @@ def test_threads_put_the_setting_back(spark):
     assert spark.conf.get(name) == "true"
     second.__exit__(None, None, None)
     assert spark.conf.get(name, None) == at_first
+
+
+def test_steps_outlast_what_is_set_aside_beside_them(spark):
+    """Only the write that ends an export takes its steps along."""
+    with in_steps():
+        kept = step(spark.range(5), "s")
+        with set_aside(spark.range(3)) as rows:
+            assert rows.count() == 3 and kept.count() == 5
+        assert kept.count() == 5
