@@ -5,8 +5,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from quayside.functions.durable import shared_folder
 from quayside.functions.lookup import best_tier
+from quayside.functions.numbering import number_rows
 
 
 @pytest.fixture
@@ -32,3 +34,15 @@ def test_a_lookup_leaves_its_line_alone(spark, shuffled):
     assert not shuffled()
     assert [p.name.split("-")[0] for p in set(folder.glob("*")) - before] == ["line"]
     assert found.count() == 2000
+
+
+def test_numbering_leaves_no_shuffles_of_its_rows(spark, shuffled):
+    number_rows(spark.range(500).selectExpr("id", "CAST(id % 3 AS STRING) AS kind"), "kind", ("id",))
+    assert len(shuffled()) <= 8  # of the counts for each partition, which are written next
+
+
+@pytest.mark.parametrize("name", ["stream_messages", "stream_earlier_records"])
+def test_a_stream_leaves_no_shuffles(spark, sf_dir, shuffled, name):
+    rows = queries()[name](spark, sf_dir)
+    assert len(shuffled()) <= 40, len(shuffled())
+    assert rows.count() > 0
