@@ -3,6 +3,9 @@
 import threading
 from pathlib import Path
 
+import pytest
+
+from __spark_entry__ import queries
 from checks.exports import erp
 from quayside.functions.durable import in_steps, set_aside, shared_folder, shuffles_removed, step
 from quayside.operators import export
@@ -86,3 +89,10 @@ def test_steps_outlast_what_is_set_aside_beside_them(spark):
         with set_aside(spark.range(3)) as rows:
             assert rows.count() == 3 and kept.count() == 5
         assert kept.count() == 5
+
+
+@pytest.mark.parametrize("variant", ["19", "18"])
+def test_stock_moves_are_exported_in_steps(spark, sf_dir, variant):
+    """The last step reads two lists and the named moves; what made them is not part of its query."""
+    files = queries()[f"export_stock_move_{variant}"](spark, sf_dir).inputFiles()
+    assert {f.split("/quayside/")[-1].split("-")[0] for f in files} == {"lists", "moves"}
